@@ -170,3 +170,169 @@ parts AS (
   FROM part
 ),
 {rank_area_sql('counts', 'parts', n)}"""
+
+
+# --- session jobs -------------------------------------------------------------
+
+def _sql_list(values, numeric=False) -> str:
+    return "[" + ", ".join(str(int(v)) if numeric else _q(str(v)) for v in values) + "]"
+
+
+def session_filter_sql(params) -> str:
+    conds = []
+    if params.start_age not in (None, "") and params.end_age not in (None, ""):
+        conds.append(f"coalesce(age BETWEEN {int(params.start_age)} AND {int(params.end_age)}, false)")
+    if params.list_of("professionals"):
+        conds.append(f"coalesce(list_contains({_sql_list(params.list_of('professionals'))}, professional), false)")
+    if params.list_of("cities"):
+        conds.append(f"coalesce(list_contains({_sql_list(params.list_of('cities'))}, city), false)")
+    if params.sex:
+        conds.append(f"coalesce(sex = {_q(params.sex)}, false)")
+    if params.list_of("keywords"):
+        conds.append(f"list_has_any(kw_list, {_sql_list(params.list_of('keywords'))})")
+    if params.list_of("category_ids"):
+        conds.append(f"list_has_any(cat_list, {_sql_list(params.list_of('category_ids'), True)})")
+    return " AND ".join(conds) if conds else "true"
+
+
+def profile_ctes(params) -> str:
+    """actions, users, sess, profile, filtered."""
+    return f"""{actions_cte(params.start_date, params.end_date)}, {USERS_CTE},
+sess AS (
+  SELECT session_id, min(user_id) AS user_id, min(action_time) AS start_ts, max(action_time) AS end_ts,
+         count(*) AS step_length,
+         coalesce(list_sort(list_distinct(list(search_keyword))), []) AS kw_list,
+         coalesce(list_sort(list_distinct(list(click_category_id) FILTER (WHERE click_category_id <> -1))), []) AS cat_list
+  FROM actions GROUP BY session_id
+),
+profile AS (
+  SELECT s.session_id, s.user_id, strftime(s.start_ts, '%Y-%m-%d %H:%M:%S') AS start_time, s.start_ts,
+         CAST(epoch(s.end_ts) - epoch(s.start_ts) AS BIGINT) AS visit_length, s.step_length,
+         nullif(array_to_string(s.kw_list, ','), '') AS search_keywords,
+         nullif(array_to_string(s.cat_list, ','), '') AS click_category_ids,
+         s.kw_list, s.cat_list, u.age, u.professional, u.sex, u.city
+  FROM sess s JOIN users u ON s.user_id = u.user_id
+),
+filtered AS (SELECT * FROM profile WHERE {session_filter_sql(params)})"""
+
+
+PROFILE_SELECT = ("session_id, user_id, start_time, visit_length, step_length, search_keywords, "
+                  "click_category_ids, age, professional, sex, city")
+
+
+def session_profile_sql(params) -> str:
+    return f"WITH {profile_ctes(params)}\nSELECT {PROFILE_SELECT} FROM profile"
+
+
+def filtered_sessions_sql(params) -> str:
+    return f"WITH {profile_ctes(params)}\nSELECT {PROFILE_SELECT} FROM filtered"
+
+
+def ratio_sql(a: str, n: str) -> str:
+    """HALF_UP(a / n, 2) for non-negative integers, NULL when n = 0."""
+    return f"CASE WHEN {n} = 0 THEN NULL ELSE ((200 * {a} + {n}) // (2 * {n})) / 100.0 END"
+
+
+def length_report_sql(params) -> str:
+    from visitlens.operators.session_fold import STEP_BINS, VISIT_BINS
+
+    def cond(col, lo, hi):
+        return f"{col} >= {lo}" if hi is None else f"{col} BETWEEN {lo} AND {hi}"
+    counts = ["count(*) AS session_count"]
+    counts += [f"count(*) FILTER (WHERE {cond('visit_length', lo, hi)}) AS v_{n}" for n, lo, hi in VISIT_BINS]
+    counts += [f"count(*) FILTER (WHERE {cond('step_length', lo, hi)}) AS s_{n}" for n, lo, hi in STEP_BINS]
+    ratios = ["session_count"]
+    ratios += [f"{ratio_sql('v_' + n, 'session_count')} AS visit_length_{n}_ratio" for n, _, _ in VISIT_BINS]
+    ratios += [f"{ratio_sql('s_' + n, 'session_count')} AS step_length_{n}_ratio" for n, _, _ in STEP_BINS]
+    return (f"WITH {profile_ctes(params)},\nc AS (SELECT {', '.join(counts)} FROM filtered)\n"
+            f"SELECT {', '.join(ratios)} FROM c")
+
+
+def sample_ctes(params, total: int = 100, seed: str = "visitlens") -> str:
+    return f"""{profile_ctes(params)},
+s AS (SELECT *, strftime(start_ts, '%Y-%m-%d') AS d, hour(start_ts) AS h,
+             md5(session_id || {_q(seed)}) AS hk FROM filtered),
+hc AS (SELECT d, h, count(*) AS hour_n FROM s GROUP BY d, h),
+dc AS (SELECT d, sum(hour_n) AS day_n FROM hc GROUP BY d),
+nd AS (SELECT count(*) AS n_days FROM dc),
+qt AS (SELECT hc.d, hc.h,
+              least(CAST(floor((hc.hour_n / dc.day_n) * floor({total} / nd.n_days)) AS BIGINT), hc.hour_n) AS quota
+       FROM hc JOIN dc ON hc.d = dc.d CROSS JOIN nd),
+rk AS (SELECT s.*, row_number() OVER (PARTITION BY d, h ORDER BY hk, session_id) AS rn FROM s),
+sample AS (SELECT rk.* FROM rk JOIN qt ON rk.d = qt.d AND rk.h = qt.h WHERE rk.rn <= qt.quota)"""
+
+
+def session_sample_sql(params, total: int = 100, seed: str = "visitlens") -> str:
+    return (f"WITH {sample_ctes(params, total, seed)}\n"
+            "SELECT session_id, start_time, search_keywords, click_category_ids FROM sample")
+
+
+def sample_detail_sql(params, total: int = 100, seed: str = "visitlens") -> str:
+    return f"""WITH {sample_ctes(params, total, seed)}
+SELECT user_id, session_id, page_id, strftime(action_time, '%Y-%m-%d %H:%M:%S') AS action_time,
+       search_keyword, click_category_id, click_product_id, order_category_ids, order_product_ids,
+       pay_category_ids, pay_product_ids, city_id
+FROM actions WHERE session_id IN (SELECT session_id FROM sample)"""
+
+
+def category_counts_ctes(params) -> str:
+    return f"""{profile_ctes(params)},
+fa AS (SELECT * FROM actions WHERE session_id IN (SELECT session_id FROM filtered)),
+tags AS (
+  SELECT click_category_id AS cat, 'c' AS kind FROM fa WHERE click_category_id <> -1
+  UNION ALL
+  SELECT CAST(trim(unnest(string_split(order_category_ids, ','))) AS BIGINT), 'o' FROM fa WHERE order_category_ids IS NOT NULL
+  UNION ALL
+  SELECT CAST(trim(unnest(string_split(pay_category_ids, ','))) AS BIGINT), 'p' FROM fa WHERE pay_category_ids IS NOT NULL
+),
+cc AS (SELECT cat AS categoryid,
+              count(*) FILTER (WHERE kind = 'c') AS click_count,
+              count(*) FILTER (WHERE kind = 'o') AS order_count,
+              count(*) FILTER (WHERE kind = 'p') AS pay_count
+       FROM tags GROUP BY cat),
+top AS (SELECT * FROM cc ORDER BY click_count DESC, order_count DESC, pay_count DESC, categoryid LIMIT 10)"""
+
+
+def top_categories_sql(params) -> str:
+    return f"WITH {category_counts_ctes(params)}\nSELECT categoryid, click_count, order_count, pay_count FROM top"
+
+
+def top_sessions_sql(params) -> str:
+    return f"""WITH {category_counts_ctes(params)},
+ps AS (SELECT click_category_id AS categoryid, session_id, count(*) AS click_count
+       FROM fa WHERE click_category_id IN (SELECT categoryid FROM top)
+       GROUP BY click_category_id, session_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY categoryid ORDER BY click_count DESC, session_id) AS rn FROM ps)
+SELECT categoryid, session_id, click_count FROM r WHERE rn <= 10"""
+
+
+# --- page conversion ------------------------------------------------------------
+
+def page_conversion_ctes(params) -> str:
+    flow = params.page_flow()
+    steps = ", ".join(f"({i + 1}, {a}, {b})" for i, (a, b) in enumerate(zip(flow, flow[1:])))
+    return f"""{actions_cte(params.start_date, params.end_date)},
+seq AS (SELECT page_id, lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, action_id) AS next_page
+        FROM actions),
+trans AS (SELECT page_id AS from_page, next_page AS to_page, count(*) AS n
+          FROM seq WHERE next_page IS NOT NULL GROUP BY page_id, next_page),
+steps(step, from_page, to_page) AS (VALUES {steps}),
+sc AS (SELECT s.step, CAST(s.from_page AS BIGINT) AS from_page, CAST(s.to_page AS BIGINT) AS to_page,
+              coalesce(t.n, 0) AS pair_count
+       FROM steps s LEFT JOIN trans t ON s.from_page = t.from_page AND s.to_page = t.to_page),
+st AS (SELECT count(*) AS n FROM actions WHERE page_id = {flow[0]}),
+r AS (SELECT sc.*, coalesce(lag(pair_count) OVER (ORDER BY step), (SELECT n FROM st)) AS prev FROM sc)"""
+
+
+def page_conversion_sql(params, rounded: bool = False) -> str:
+    rate = ratio_sql("pair_count", "prev") if rounded else \
+        "CASE WHEN prev = 0 THEN NULL ELSE pair_count / prev END"
+    return (f"WITH {page_conversion_ctes(params)}\n"
+            f"SELECT step, from_page, to_page, pair_count, {rate} AS rate FROM r")
+
+
+def page_conversion_text_sql(params) -> str:
+    return f"""WITH {page_conversion_ctes(params)},
+rr AS (SELECT step, CAST(from_page AS VARCHAR) || '_' || CAST(to_page AS VARCHAR) || '='
+              || coalesce(CAST({ratio_sql('pair_count', 'prev')} AS VARCHAR), 'null') AS t FROM r)
+SELECT string_agg(t, '|' ORDER BY step) AS convert_rate FROM rr"""
