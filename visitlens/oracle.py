@@ -87,7 +87,7 @@ def ad_clicks_cte(start: str | None = None, end: str | None = None) -> str:
     where = events_where(start, end)
     where = (where + " AND " if where else "WHERE ") + "event_type = 'click'"
     return f"""ad_clicks AS (
-  SELECT epoch_ms(ts) AS ts_ms,
+  SELECT epoch_us(ts) // 1000 AS ts_ms,
          'P' || CAST(user_id % 10 AS VARCHAR) AS province,
          'C' || CAST(user_id % 30 AS VARCHAR) AS city,
          user_id AS userid,
@@ -107,11 +107,11 @@ def course_cte(start: str | None = None, end: str | None = None, name: str = "co
          '10.' || CAST(user_id % 8 AS VARCHAR) || '.' || CAST(event_id % 4 AS VARCHAR) || '.1' AS ip,
          '187014' || lpad(CAST(user_id AS VARCHAR), 5, '0') AS phone,
          CAST({VIDEO_LENGTH} AS BIGINT) AS video_length,
-         epoch_ms(ts) // 1000 AS start_video_time,
+         epoch_us(ts) // 1000000 AS start_video_time,
          CAST(CASE WHEN event_type = 'click'
-                   THEN epoch_ms(ts) // 1000 + 6 * CAST(json_extract_string(props, '$.k') AS BIGINT)
+                   THEN epoch_us(ts) // 1000000 + 6 * CAST(json_extract_string(props, '$.k') AS BIGINT)
                    ELSE 0 END AS BIGINT) AS end_video_time,
-         epoch_ms(ts) // 1000 AS event_time
+         epoch_us(ts) // 1000000 AS event_time
   FROM events {where}
 )"""
 
@@ -336,3 +336,142 @@ def page_conversion_text_sql(params) -> str:
 rr AS (SELECT step, CAST(from_page AS VARCHAR) || '_' || CAST(to_page AS VARCHAR) || '='
               || coalesce(CAST({ratio_sql('pair_count', 'prev')} AS VARCHAR), 'null') AS t FROM r)
 SELECT string_agg(t, '|' ORDER BY step) AS convert_rate FROM rr"""
+
+
+# --- course jobs ----------------------------------------------------------------
+
+def _day_int(day: str) -> int:
+    return int(day.replace("-", ""))
+
+
+def behaviour_cte(day: str) -> str:
+    return f"""{course_cte(day, day, 'course')},
+beh AS (SELECT uid, event_key, start_video_time, end_video_time, video_length,
+               CAST(strftime(epoch_ms(event_time * 1000), '%Y%m%d') AS INTEGER) AS dt FROM course)"""
+
+
+COMPLETED_SQL = "event_key = 'endVideo' AND end_video_time - start_video_time >= video_length"
+
+
+def daily_study_sql(day: str) -> str:
+    return f"""WITH {behaviour_cte(day)}
+SELECT count(DISTINCT CASE WHEN event_key = 'startVideo' THEN uid END) AS watch_video_count,
+       count(DISTINCT CASE WHEN {COMPLETED_SQL} THEN uid END) AS complete_video_count, dt
+FROM beh WHERE dt = {_day_int(day)} GROUP BY dt"""
+
+
+def daily_study_union_sql(day: str) -> str:
+    return f"""WITH {behaviour_cte(day)}
+SELECT sum(watch_video_count) AS watch_video_count, sum(complete_video_count) AS complete_video_count, dt FROM (
+  SELECT count(DISTINCT uid) AS watch_video_count, 0 AS complete_video_count, dt
+  FROM beh WHERE dt = {_day_int(day)} AND event_key = 'startVideo' GROUP BY dt
+  UNION ALL
+  SELECT 0, count(DISTINCT uid), dt FROM beh WHERE dt = {_day_int(day)} AND {COMPLETED_SQL} GROUP BY dt
+) GROUP BY dt"""
+
+
+def course_lines_cte() -> str:
+    """Raw course lines (error events give 16 fields)."""
+    key = "CASE " + " ".join(f"WHEN event_type = {_q(s)} THEN {_q(d)}" for s, d in COURSE_EVENT.items()) \
+        + " ELSE event_type END"
+    head = ("CAST(user_id AS VARCHAR), 'user' || CAST(user_id AS VARCHAR), "
+            "CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END, '1', '0', 'ios', 'auto', 'wifi', "
+            "'10.' || CAST(user_id % 8 AS VARCHAR) || '.' || CAST(event_id % 4 AS VARCHAR) || '.1', "
+            "'187014' || lpad(CAST(user_id AS VARCHAR), 5, '0'), CAST(event_id % 2 AS VARCHAR), "
+            f"'{VIDEO_LENGTH}', CAST(epoch_us(ts) // 1000000 AS VARCHAR), "
+            "CAST(CASE WHEN event_type = 'click' THEN epoch_us(ts) // 1000000 + 6 * CAST(json_extract_string(props, '$.k') AS BIGINT) ELSE 0 END AS VARCHAR), "
+            "'1.0'")
+    return f"""lines AS (
+  SELECT CASE WHEN event_type = 'error' THEN concat_ws(chr(9), {head}, {key})
+              ELSE concat_ws(chr(9), {head}, {key}, CAST(epoch_us(ts) // 1000000 AS VARCHAR)) END AS value
+  FROM events
+),
+valid AS (SELECT string_split(value, chr(9)) AS f FROM lines
+          WHERE len(string_split(rtrim(value, chr(9)), chr(9))) = 17)"""
+
+
+def clean_course_log_sql() -> str:
+    parts = []
+    for i in range(1, 18):
+        if i == 2:
+            parts.append("replace(f[2], chr(10), '')")
+        elif i == 10:
+            parts.append("CASE WHEN f[10] IS NOT NULL AND f[10] <> '' THEN substr(f[10], 1, 3) || substr(f[10], 8, 4) ELSE f[10] END")
+        else:
+            parts.append(f"f[{i}]")
+    return f"WITH {course_lines_cte()}\nSELECT concat_ws(chr(9), {', '.join(parts)}) AS line FROM valid"
+
+
+def unpaid_followups_sql(window_days: int = 4, slide_days: int = 2, min_visits: int = 2) -> str:
+    w, s = window_days * 86400, slide_days * 86400
+    k = ", ".join(f"({i})" for i in range(-(-w // s)))
+    return f"""WITH {course_cte()}, {VIP_CTE},
+o AS (SELECT uid, phone, event_time FROM course WHERE event_key = 'enterOrderPage'),
+wins AS (SELECT o.uid, o.phone, (o.event_time // {s}) * {s} - kk.k * {s} AS ws
+         FROM o, (VALUES {k}) kk(k)),
+c AS (SELECT uid, phone, ws, count(*) AS visits FROM wins
+      WHERE ws + {w} > 0 GROUP BY uid, phone, ws HAVING count(*) > {min_visits})
+SELECT DISTINCT uid, phone FROM c WHERE uid NOT IN (SELECT uid FROM vip_user)"""
+
+
+def new_vips_sql(as_of: str | None = None, recent_days: int = 2) -> str:
+    recent = ""
+    if as_of is not None:
+        recent = (f"WHERE epoch(TIMESTAMP '{as_of}') - epoch(CAST(dt AS TIMESTAMP)) < {recent_days * 86400}")
+    return f"""WITH {course_cte()}, {IP_RANGES_CTE},
+o AS (SELECT CAST(string_split(ip, '.')[1] AS BIGINT) * 16777216 + CAST(string_split(ip, '.')[2] AS BIGINT) * 65536
+             + CAST(string_split(ip, '.')[3] AS BIGINT) * 256 + CAST(string_split(ip, '.')[4] AS BIGINT) AS ip_num,
+             strftime(epoch_ms(event_time * 1000), '%Y-%m-%d') AS dt
+      FROM course WHERE event_key = 'completeOrder'),
+r AS (SELECT o.dt, coalesce(i.region, {_q(UNKNOWN_REGION)}) AS province
+      FROM o LEFT JOIN ip_ranges i ON o.ip_num BETWEEN i.start_num AND i.end_num),
+c AS (SELECT province, count(*) AS cnt, dt FROM r GROUP BY province, dt)
+SELECT province, cnt, dt FROM c {recent}"""
+
+
+# --- ad stream twins --------------------------------------------------------------
+
+def _kept_clicks_cte() -> str:
+    return f"""{ad_clicks_cte()}, {BLACKLIST_CTE},
+kept AS (SELECT *, epoch_ms(ts_ms) AS ts FROM ad_clicks WHERE userid NOT IN (SELECT userid FROM blacklist))"""
+
+
+def user_click_counts_sql() -> str:
+    return f"""WITH {_kept_clicks_cte()}
+SELECT strftime(ts, '%Y%m%d') AS date, userid, adid, count(*) AS click_count
+FROM kept GROUP BY strftime(ts, '%Y%m%d'), userid, adid"""
+
+
+def blacklist_after_batch_sql(threshold: int) -> str:
+    return f"""WITH {_kept_clicks_cte()},
+uc AS (SELECT strftime(ts, '%Y%m%d') AS date, userid, adid, count(*) AS click_count
+       FROM kept GROUP BY strftime(ts, '%Y%m%d'), userid, adid)
+SELECT userid FROM blacklist
+UNION ALL
+SELECT DISTINCT userid FROM uc WHERE click_count > {threshold} AND userid NOT IN (SELECT userid FROM blacklist)"""
+
+
+def ad_stat_sql() -> str:
+    return f"""WITH {_kept_clicks_cte()}
+SELECT strftime(ts, '%Y%m%d') AS date, province, city, adid, count(*) AS click_count
+FROM kept GROUP BY strftime(ts, '%Y%m%d'), province, city, adid"""
+
+
+def province_top3_sql(n: int = 3) -> str:
+    return f"""WITH {_kept_clicks_cte()},
+p AS (SELECT strftime(ts, '%Y%m%d') AS date, province, adid, count(*) AS click_count
+      FROM kept GROUP BY strftime(ts, '%Y%m%d'), province, adid),
+r AS (SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, adid) AS rn FROM p)
+SELECT date, province, adid, click_count FROM r WHERE rn <= {n}"""
+
+
+def click_trend_sql(last_hour: bool = False) -> str:
+    where = ""
+    if last_hour:
+        where = ("WHERE date_trunc('minute', ts) > "
+                 "(SELECT date_trunc('minute', max(ts)) FROM kept) - INTERVAL 60 MINUTE")
+    return f"""WITH {_kept_clicks_cte()},
+m AS (SELECT date_trunc('minute', ts) AS mt, adid FROM kept {where})
+SELECT strftime(mt, '%Y%m%d') AS date, strftime(mt, '%H') AS hour, strftime(mt, '%M') AS minute,
+       adid, count(*) AS click_count
+FROM m GROUP BY mt, adid"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from visitlens import oracle as O
 from visitlens.params import TaskParams
-from visitlens.plans import page, product, session
+from visitlens.plans import ads, course, page, product, session
 from visitlens.session import configure
 
 FLAGSHIP = "b10_area_top3"
@@ -21,6 +21,10 @@ P_ALL = TaskParams(start_age=25, end_age=55, professionals="BUILDING,MACHINERY,H
 # the sample runs over three days (FIXTURES.md: over 30 days the hourly
 # floor leaves almost nothing)
 P_SAMPLE = TaskParams(start_date="2024-01-01", end_date="2024-01-03")
+STUDY_DAY = "2024-01-05"
+# no driver user reaches 100 clicks of one ad in a day; 1 exercises the rule
+TEST_THRESHOLD = 1
+VIP_AS_OF = "2024-01-30 12:00:00"
 
 
 def _q(fn):
@@ -48,6 +52,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "b9_page_conversion_text": _q(lambda s, d: page.page_conversion_text(s, d, P)),
         "b10_area_top3": _q(lambda s, d: product.area_top3(s, d, P)),
         "b10_area_top3_lineitem": _q(lambda s, d: product.area_top3_lineitem(s, d)),
+        "b11_daily_study": _q(lambda s, d: course.daily_study(s, d, STUDY_DAY)),
+        "b11_daily_study_union": _q(lambda s, d: course.daily_study(s, d, STUDY_DAY, union_form=True)),
+        "b12_clean_course_log": _q(lambda s, d: course.clean_course_log(s, d)),
+        "b13_ad_user_click_count": _q(lambda s, d: ads.blacklist_user_counts(s, d)),
+        "b13_ad_blacklist": _q(lambda s, d: ads.blacklist_after_batch(s, d, TEST_THRESHOLD)),
+        "b14_ad_stat": _q(lambda s, d: ads.ad_stat_twin(s, d)),
+        "b15_province_top3": _q(lambda s, d: ads.province_top3_twin(s, d)),
+        "b16_click_trend": _q(lambda s, d: ads.click_trend_twin(s, d)),
+        "b16_click_trend_last_hour": _q(lambda s, d: ads.click_trend_last_hour(s, d)),
+        "b17_unpaid_followups": _q(lambda s, d: course.unpaid_followups(s, d)),
+        "b18_new_vips": _q(lambda s, d: course.new_vips(s, d)),
+        "b18_new_vips_recent": _q(lambda s, d: course.new_vips(s, d, VIP_AS_OF)),
     }
 
 
@@ -67,4 +83,16 @@ def oracle_sql() -> dict[str, str]:
         "b9_page_conversion_text": O.page_conversion_text_sql(P),
         "b10_area_top3": O.area_top3_sql(P.start_date, P.end_date),
         "b10_area_top3_lineitem": O.area_top3_lineitem_sql(),
+        "b11_daily_study": O.daily_study_sql(STUDY_DAY),
+        "b11_daily_study_union": O.daily_study_union_sql(STUDY_DAY),
+        "b12_clean_course_log": O.clean_course_log_sql(),
+        "b13_ad_user_click_count": O.user_click_counts_sql(),
+        "b13_ad_blacklist": O.blacklist_after_batch_sql(TEST_THRESHOLD),
+        "b14_ad_stat": O.ad_stat_sql(),
+        "b15_province_top3": O.province_top3_sql(),
+        "b16_click_trend": O.click_trend_sql(),
+        "b16_click_trend_last_hour": O.click_trend_sql(last_hour=True),
+        "b17_unpaid_followups": O.unpaid_followups_sql(),
+        "b18_new_vips": O.new_vips_sql(),
+        "b18_new_vips_recent": O.new_vips_sql(VIP_AS_OF),
     }
