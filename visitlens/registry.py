@@ -10,6 +10,7 @@ from visitlens import oracle as O
 from visitlens.params import TaskParams
 from visitlens.plans import ads, course, page, product, session
 from visitlens.session import configure
+from visitlens.streaming import runs
 
 FLAGSHIP = "b10_area_top3"
 
@@ -64,6 +65,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "b17_unpaid_followups": _q(lambda s, d: course.unpaid_followups(s, d)),
         "b18_new_vips": _q(lambda s, d: course.new_vips(s, d)),
         "b18_new_vips_recent": _q(lambda s, d: course.new_vips(s, d, VIP_AS_OF)),
+        # the streams themselves, run to completion over files staged from the
+        # tables (threshold 100: no driver user reaches it, so the results
+        # must equal the batch twins)
+        "st_ad_user_click_count": _q(lambda s, d: runs.run_ad_stream(s, d).user_clicks.read()),
+        "st_ad_stat": _q(lambda s, d: runs.run_ad_stream(s, d).ad_stat.read()),
+        "st_province_top3": _q(lambda s, d: runs.run_ad_stream(s, d).province_top3.read()),
+        "st_click_trend": _q(lambda s, d: runs.run_ad_stream(s, d).trend.read()),
+        "st_unpaid_followups": _q(lambda s, d: runs.run_unpaid_stream(s, d)),
+        "st_new_vips": _q(lambda s, d: runs.run_vip_stream(s, d)),
     }
 
 
@@ -95,4 +105,10 @@ def oracle_sql() -> dict[str, str]:
         "b17_unpaid_followups": O.unpaid_followups_sql(),
         "b18_new_vips": O.new_vips_sql(),
         "b18_new_vips_recent": O.new_vips_sql(VIP_AS_OF),
+        "st_ad_user_click_count": O.user_click_counts_sql(),
+        "st_ad_stat": O.ad_stat_sql(),
+        "st_province_top3": O.province_top3_sql(),
+        "st_click_trend": O.click_trend_sql(),
+        "st_unpaid_followups": O.unpaid_followups_sql(),
+        "st_new_vips": O.new_vips_sql(),
     }
