@@ -11,7 +11,7 @@ from visitlens.operators.joins import broadcast_bounded
 def ipv4_to_long(ip) -> F.Column:
     """Dotted IPv4 text -> number; NULL when malformed."""
     parts = F.split(ip if not isinstance(ip, str) else F.col(ip), r"\.")
-    octets = [parts.getItem(i).try_cast("bigint") for i in range(4)]
+    octets = [F.get(parts, i).try_cast("bigint") for i in range(4)]
     ok = (F.size(parts) == 4)
     for o in octets:
         ok = ok & o.between(0, 255)

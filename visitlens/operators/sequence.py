@@ -6,76 +6,71 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_PAIR, _FIRST, _LAST, _VISIT = 0, 1, 2, 3
+_PAIR, _EDGE, _VISIT = 0, 1, 2
 
 
 def transition_counts(df: DataFrame, group: str, order: list[str], value: str,
                       partitions: int | None = None) -> DataFrame:
     """Count (value, next value) pairs of consecutive rows of each group in
-    ``order`` (ties must be broken by the last order column), and the rows
-    per value. Output: ``kind`` ('pair' | 'visit'), ``from_value``,
-    ``to_value``, ``n``.
+    ``order`` (the last order column must break ties), and rows per value.
+    Output: ``kind`` ('pair' | 'visit'), ``from_value``, ``to_value`` (NULL
+    for visits), ``n``.
 
-    Skew-safe: rows are range-partitioned on (group, order...), so one huge
-    group is cut into slices over several tasks instead of one. ``lead`` runs
-    inside each slice; the pair that crosses a slice boundary is rebuilt from
-    one first and one last row per slice (a table of at most groups +
-    partitions rows). Pairs, visits and slice ends come out of one
-    aggregation with partial combine, so everything after it is small.
+    Skew-safe: rows are range-partitioned on (group, order...), so a huge
+    group is cut into consecutive slices over several tasks instead of one.
+    ``lead`` runs inside each slice. Range bounds are sampled keys and each
+    bound falls in its own slice, so every slice but the last is non-empty:
+    a group that goes on past slice s goes on in slice s + 1. Its last row
+    in s and first row in s + 1 therefore meet under the key (group, s + 1)
+    in the same aggregation that counts pairs and visits (partial combine
+    before the shuffle); no self-join, and the input is scanned once.
     """
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [group] + list(order)
-    ordered = F.struct(*[F.col(c) for c in order])
     sliced = (df.select(*keys, value)
               .repartitionByRange(n_parts, *keys)
               .withColumn("_slice", F.spark_partition_id()))
     w = Window.partitionBy(group, "_slice").orderBy(*order)
-    local = sliced.select(group, "_slice", value, ordered.alias("_ord"),
-                          F.lead(value).over(w).alias("_next"),
+    local = sliced.select(group, "_slice", F.col(value).cast("bigint").alias("_v"),
+                          F.lead(value).over(w).cast("bigint").alias("_next"),
                           F.row_number().over(w).alias("_rn"))
-    v = F.col(value).cast("bigint")
-    nxt = F.col("_next").cast("bigint")
-    null_g = F.lit(None).cast(df.schema[group].dataType)
-    null_l = F.lit(None).cast("bigint")
-    null_i = F.lit(None).cast("int")
+    v, nxt = F.col("_v"), F.col("_next")
+    nl = F.lit(None).cast("bigint")
+    ng = F.lit(None).cast(df.schema[group].dataType)
+    ni = F.lit(None).cast("int")
+
+    def entry(k, a, b, g, s, first, last):
+        return F.struct(F.lit(k).alias("k"), a.alias("a"), b.alias("b"), g.alias("g"), s.alias("s"),
+                        first.alias("f"), last.alias("l"))
+
     entries = F.array(
-        F.when(nxt.isNotNull(), F.struct(F.lit(_PAIR).alias("k"), v.alias("a"), nxt.alias("b"),
-                                         null_g.alias("g"), null_i.alias("s"))),
-        F.struct(F.lit(_VISIT).alias("k"), v.alias("a"), null_l.alias("b"), null_g.alias("g"), null_i.alias("s")),
-        F.when(F.col("_rn") == 1, F.struct(F.lit(_FIRST).alias("k"), v.alias("a"), null_l.alias("b"),
-                                          F.col(group).alias("g"), F.col("_slice").alias("s"))),
-        F.when(nxt.isNull(), F.struct(F.lit(_LAST).alias("k"), v.alias("a"), null_l.alias("b"),
-                                      F.col(group).alias("g"), F.col("_slice").alias("s"))),
+        F.when(nxt.isNotNull(), entry(_PAIR, v, nxt, ng, ni, nl, nl)),
+        entry(_VISIT, v, nl, ng, ni, nl, nl),
+        F.when(F.col("_rn") == 1, entry(_EDGE, nl, nl, F.col(group), F.col("_slice"), v, nl)),
+        F.when(nxt.isNull(), entry(_EDGE, nl, nl, F.col(group), F.col("_slice") + 1, nl, v)),
     )
     e = local.select(F.explode(F.filter(entries, lambda x: x.isNotNull())).alias("e")).select("e.*")
-    # pairs and visits are keyed by value(s); slice ends by (group, slice),
-    # whose single value rides along in max(a)
-    a_key = F.when(F.col("k").isin(_PAIR, _VISIT), F.col("a")).alias("a_key")
-    agg = e.groupBy("k", "g", "s", a_key, "b").agg(F.count(F.lit(1)).alias("n"), F.max("a").alias("a"))
-    pairs = agg.where(F.col("k") == _PAIR).select(F.col("a").alias("from_value"),
-                                                  F.col("b").alias("to_value"), "n")
-    visits = agg.where(F.col("k") == _VISIT).select(F.col("a").alias("from_value"),
-                                                    F.lit(None).cast("bigint").alias("to_value"), "n")
-    firsts = agg.where(F.col("k") == _FIRST).select("g", "s", F.col("a").alias("first_v"))
-    lasts = agg.where(F.col("k") == _LAST).select("g", "s", F.col("a").alias("last_v"))
-    # next slice of the same group (a group spans few slices)
-    following = firsts.withColumn("next_first", F.lead("first_v").over(Window.partitionBy("g").orderBy("s")))
-    cross = (lasts.join(following.select("g", "s", "next_first"), ["g", "s"])
-             .where(F.col("next_first").isNotNull())
-             .select(F.col("last_v").alias("from_value"), F.col("next_first").alias("to_value"),
-                     F.lit(1).cast("bigint").alias("n")))
-    all_pairs = (pairs.unionByName(cross).groupBy("from_value", "to_value")
-                 .agg(F.sum("n").alias("n")).withColumn("kind", F.lit("pair")))
-    return all_pairs.unionByName(visits.withColumn("kind", F.lit("visit")))
+    agg = e.groupBy("k", "a", "b", "g", "s").agg(F.count(F.lit(1)).alias("n"),
+                                                 F.max("f").alias("f"), F.max("l").alias("l"))
+    edge = F.col("k") == _EDGE
+    out = (agg.where(~edge | (F.col("f").isNotNull() & F.col("l").isNotNull()))
+           .select(F.when(F.col("k") == _VISIT, "visit").otherwise("pair").alias("kind"),
+                   F.when(edge, F.col("l")).otherwise(F.col("a")).alias("from_value"),
+                   F.when(edge, F.col("f")).otherwise(F.col("b")).alias("to_value"),
+                   F.when(edge, F.lit(1).cast("bigint")).otherwise(F.col("n")).alias("n")))
+    return out.groupBy("kind", "from_value", "to_value").agg(F.sum("n").alias("n"))
 
 
 def flow_steps(spark: SparkSession, flow: list[int]) -> DataFrame:
-    """(step, from_page, to_page) of a page flow; one row per step (Q27)."""
-    rows = [(i + 1, int(a), int(b)) for i, (a, b) in enumerate(zip(flow, flow[1:]))]
+    """(step, kind, from_page, to_page) of a page flow: step 0 is the visit
+    count of the first page, then one row per consecutive pair (Q27)."""
+    rows = [(0, "visit", int(flow[0]), None)]
+    rows += [(i + 1, "pair", int(a), int(b)) for i, (a, b) in enumerate(zip(flow, flow[1:]))]
     schema = T.StructType([T.StructField("step", T.IntegerType(), False),
+                           T.StructField("kind", T.StringType(), False),
                            T.StructField("from_page", T.LongType(), False),
-                           T.StructField("to_page", T.LongType(), False)])
+                           T.StructField("to_page", T.LongType(), True)])
     return spark.createDataFrame(rows, schema)
 
 

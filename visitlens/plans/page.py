@@ -24,18 +24,14 @@ def page_conversion(spark: SparkSession, sf_dir: str, params: TaskParams = TaskP
     flow = params.page_flow()
     acts = src.actions(spark, sf_dir, params.start_date, params.end_date)
     counts = transition_counts(acts, "session_id", ["action_time", "action_id"], "page_id")
-    pairs = counts.where(F.col("kind") == "pair").select(
-        F.col("from_value").alias("from_page"), F.col("to_value").alias("to_page"),
-        F.col("n").alias("pair_count"))
-    # the start count rides as step 0, so the chained lag divides step 1 by it
-    start = counts.where((F.col("kind") == "visit") & (F.col("from_value") == F.lit(flow[0]))).select(
-        F.lit(0).alias("step"), F.lit(None).cast("bigint").alias("from_page"),
-        F.lit(flow[0]).cast("bigint").alias("to_page"), F.col("n").alias("pair_count"))
-    steps = flow_steps(spark, flow)  # one row per step of the flow
-    per_step = (steps.join(pairs, ["from_page", "to_page"], "left")
-                .withColumn("pair_count", F.coalesce("pair_count", F.lit(0).cast("bigint")))
-                .select("step", "from_page", "to_page", "pair_count")
-                .unionByName(start))
+    # one join of the step table (step 0 = visits of the first page) with the
+    # counts; the count chain is consumed once
+    c = counts.select("kind", F.col("from_value").alias("from_page"),
+                      F.coalesce("to_value", F.lit(-1)).alias("_to"), F.col("n").alias("pair_count"))
+    steps = flow_steps(spark, flow).withColumn("_to", F.coalesce("to_page", F.lit(-1).cast("bigint")))
+    per_step = (steps.join(c, ["kind", "from_page", "_to"], "left")
+                .select("step", "from_page", "to_page",
+                        F.coalesce("pair_count", F.lit(0).cast("bigint")).alias("pair_count")))
     out = chained_rates(per_step).where(F.col("step") >= 1)
     if rounded:
         out = out.withColumn("rate", round_half_up("rate", 2))

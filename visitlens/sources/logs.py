@@ -51,13 +51,13 @@ def parse_ad_lines(lines: DataFrame) -> DataFrame:
     Malformed lines get NULLs and are dropped; ``ad_rejects`` returns them.
     """
     parts = F.split(F.col("value"), " ")
-    ms = parts.getItem(0).try_cast("bigint")
+    ms = F.get(parts, 0).try_cast("bigint")
     parsed = lines.select(
         F.timestamp_millis(ms).alias("ts"),
-        parts.getItem(1).alias("province"),
-        parts.getItem(2).alias("city"),
-        parts.getItem(3).try_cast("bigint").alias("userid"),
-        parts.getItem(4).try_cast("bigint").alias("adid"),
+        F.get(parts, 1).alias("province"),
+        F.get(parts, 2).alias("city"),
+        F.get(parts, 3).try_cast("bigint").alias("userid"),
+        F.get(parts, 4).try_cast("bigint").alias("adid"),
         F.size(parts).alias("_n"),
     )
     ok = (F.col("_n") == 5) & F.col("ts").isNotNull() & F.col("userid").isNotNull() & F.col("adid").isNotNull()
@@ -66,8 +66,8 @@ def parse_ad_lines(lines: DataFrame) -> DataFrame:
 
 def ad_rejects(lines: DataFrame) -> DataFrame:
     parts = F.split(F.col("value"), " ")
-    ok = ((F.size(parts) == 5) & parts.getItem(0).try_cast("bigint").isNotNull()
-          & parts.getItem(3).try_cast("bigint").isNotNull() & parts.getItem(4).try_cast("bigint").isNotNull())
+    ok = ((F.size(parts) == 5) & F.get(parts, 0).try_cast("bigint").isNotNull()
+          & F.get(parts, 3).try_cast("bigint").isNotNull() & F.get(parts, 4).try_cast("bigint").isNotNull())
     return lines.where(~ok)
 
 
@@ -86,14 +86,14 @@ def parse_course_lines(lines: DataFrame) -> DataFrame:
     event_key, event_time (epoch s) and ``ts``."""
     f = F.col("fields")
     return course_fields(lines).select(
-        f.getItem(F_UID).try_cast("bigint").alias("uid"),
-        f.getItem(F_USERNAME).alias("username"),
-        f.getItem(F_IP).alias("ip"),
-        f.getItem(F_PHONE).alias("phone"),
-        f.getItem(F_VIDEO_LENGTH).try_cast("bigint").alias("video_length"),
-        f.getItem(F_START_VIDEO).try_cast("bigint").alias("start_video_time"),
-        f.getItem(F_END_VIDEO).try_cast("bigint").alias("end_video_time"),
-        f.getItem(F_EVENT_KEY).alias("event_key"),
-        f.getItem(F_EVENT_TIME).try_cast("bigint").alias("event_time"),
-        F.timestamp_seconds(f.getItem(F_EVENT_TIME).try_cast("bigint")).alias("ts"),
+        F.get(f, F_UID).try_cast("bigint").alias("uid"),
+        F.get(f, F_USERNAME).alias("username"),
+        F.get(f, F_IP).alias("ip"),
+        F.get(f, F_PHONE).alias("phone"),
+        F.get(f, F_VIDEO_LENGTH).try_cast("bigint").alias("video_length"),
+        F.get(f, F_START_VIDEO).try_cast("bigint").alias("start_video_time"),
+        F.get(f, F_END_VIDEO).try_cast("bigint").alias("end_video_time"),
+        F.get(f, F_EVENT_KEY).alias("event_key"),
+        F.get(f, F_EVENT_TIME).try_cast("bigint").alias("event_time"),
+        F.timestamp_seconds(F.get(f, F_EVENT_TIME).try_cast("bigint")).alias("ts"),
     )

@@ -57,7 +57,7 @@ def run_ad_stream(spark: SparkSession, sf_dir: str, threshold: int = 100, files:
     root = scratch(spark, "ads")
     lines = src.ad_click_lines(spark, sf_dir)
     staged = stage_lines(lines, f"{root}/input", files,
-                         F.split("value", " ").getItem(0).try_cast("bigint"))
+                         F.get(F.split("value", " "), 0).try_cast("bigint"))
     tables = AdTables.at(spark, f"{root}/tables")
     tables.seed_blacklist(src.initial_blacklist(spark, sf_dir))
     q = start_ad_stream(read_text_stream(spark, staged, 1), tables, f"{root}/checkpoint",
