@@ -35,3 +35,17 @@ def test_versioned_table_read_before(spark):
     assert _rows(t.read()) == [(3,)]
     t.vacuum(keep=1)
     assert t.versions() == [1]
+
+
+def test_partitioned_versions_touch_only_changed_days(spark):
+    schema = T.StructType([T.StructField("date", T.StringType()), T.StructField("n", T.LongType())])
+    t = VersionedTable(spark, f"{checkpoint_dir(spark)}/pvt-{uuid.uuid4().hex}", schema, "date")
+    t.write(spark.createDataFrame([("d1", 1), ("d2", 2)], schema), 0)
+    t.write(spark.createDataFrame([("d2", 5)], schema), 1)  # only day d2 changes
+    assert _rows(t.read()) == [("d1", 1), ("d2", 5)]
+    assert _rows(t.read(before=1)) == [("d1", 1), ("d2", 2)]
+    assert _rows(t.read(partitions=["d2"])) == [("d2", 5)]
+    assert len(t.latest_paths()) == 2
+    t.write(spark.createDataFrame([("d2", 6)], schema), 2)
+    t.vacuum(keep=1)
+    assert _rows(t.read()) == [("d1", 1), ("d2", 6)]

@@ -3,7 +3,8 @@
 The merge meanings of the reference's MySQL upserts are plain DataFrame
 functions (``merge_overwrite``, ``merge_add``, ``replace_groups``,
 ``append_new``). ``VersionedTable`` stores each result under
-``<path>/v=<version>``; a version counts once Spark's commit wrote its
+``<path>/v=<version>`` (only the touched partitions when the table has a
+partition column); a version counts once Spark's commit wrote its
 ``_SUCCESS`` marker. A stream writes version = batch id computed from the
 newest version below it, so a replayed batch rewrites the same version with
 the same rows (idempotent: Q16, K12). A table format with MERGE or a JDBC
@@ -99,46 +100,104 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _unescape(name: str) -> str:
+    """Partition folder value -> text (Spark escapes with %XX)."""
+    import re
+    return re.sub(r"%([0-9A-Fa-f]{2})", lambda m: chr(int(m.group(1), 16)), name)
+
+
 class VersionedTable:
-    """A table whose versions are whole Parquet directories ``v=<n>``."""
+    """A table stored as versions ``v=<n>`` written by micro-batch ``n``.
+
+    Without ``partition_col`` a version is the whole table. With it, a
+    version holds only the partitions its batch touched (``v=<n>/_p=<value>``)
+    and a read takes, per partition, the newest committed version; a batch
+    then costs the partitions it changes, not the table. A version counts
+    once its ``_SUCCESS`` marker exists.
+    """
 
     PREFIX = "v="
+    PART = "_p"
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
+                 partition_col: str | None = None):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.partition_col = partition_col
 
-    def versions(self) -> list[int]:
+    def _committed(self) -> dict[int, object]:
         fs, root = _fs(self.spark, self.path)
         if not fs.exists(root):
-            return []
-        out = []
+            return {}
+        out = {}
         for st in fs.listStatus(root):
             name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(self.PREFIX):
-                if fs.exists(st.getPath().suffix("/_SUCCESS")):
-                    out.append(int(name[len(self.PREFIX):]))
-        return sorted(out)
+            if st.isDirectory() and name.startswith(self.PREFIX) and fs.exists(st.getPath().suffix("/_SUCCESS")):
+                version = int(name[len(self.PREFIX):])
+                if self.partition_col is None:
+                    out[version] = None
+                else:
+                    out[version] = [c.getPath().getName()[len(self.PART) + 1:]
+                                    for c in fs.listStatus(st.getPath())
+                                    if c.isDirectory() and c.getPath().getName().startswith(self.PART + "=")]
+        return out
+
+    def versions(self) -> list[int]:
+        return sorted(self._committed())
 
     def _dir(self, version: int) -> str:
         return f"{self.path}/{self.PREFIX}{version:012d}"
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """Newest committed version (below ``before`` when given); an empty
-        frame with the table schema when there is none."""
-        vs = [v for v in self.versions() if before is None or v < before]
-        if not vs:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self._dir(vs[-1]))
+    def _empty(self) -> DataFrame:
+        return self.spark.createDataFrame([], self.schema)
+
+    def latest_paths(self, before: int | None = None, partitions: list | None = None) -> list[str]:
+        committed = {v: p for v, p in self._committed().items() if before is None or v < before}
+        if not committed:
+            return []
+        if self.partition_col is None:
+            return [self._dir(max(committed))]
+        newest = {}
+        for v in sorted(committed):
+            for part in committed[v]:
+                newest[part] = v
+        if partitions is not None:
+            wanted = {str(x) for x in partitions}
+            newest = {p: v for p, v in newest.items() if _unescape(p) in wanted}
+        return [f"{self._dir(v)}/{self.PART}={p}" for p, v in sorted(newest.items())]
+
+    def read(self, before: int | None = None, partitions: list | None = None) -> DataFrame:
+        """Newest committed state (of versions below ``before``; only the
+        given partition values when ``partitions`` is set)."""
+        paths = self.latest_paths(before, partitions)
+        if not paths:
+            return self._empty()
+        return self.spark.read.schema(self.schema).parquet(*paths)
 
     def write(self, df: DataFrame, version: int) -> None:
-        df.select(*[f.name for f in self.schema]).write.mode("overwrite").parquet(self._dir(version))
+        """Write version ``version``; a rerun of the same batch replaces it.
+        Partitioned: ``df`` must hold whole partitions (old rows merged in)."""
+        out = df.select(*[f.name for f in self.schema])
+        if self.partition_col is None:
+            out.write.mode("overwrite").parquet(self._dir(version))
+        else:
+            (out.withColumn(self.PART, F.col(self.partition_col).cast("string"))
+             .write.mode("overwrite").partitionBy(self.PART).parquet(self._dir(version)))
 
     def vacuum(self, keep: int = 2) -> None:
-        """Delete all but the newest ``keep`` versions."""
+        """Drop versions (or partition folders) shadowed ``keep`` times."""
         fs, _ = _fs(self.spark, self.path)
         jvm = self.spark.sparkContext._jvm
-        for v in self.versions()[:-keep]:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(self._dir(v)), True)
+        committed = self._committed()
+        if self.partition_col is None:
+            for v in sorted(committed)[:-keep]:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(self._dir(v)), True)
+            return
+        seen: dict = {}
+        for v in sorted(committed, reverse=True):
+            for part in committed[v]:
+                seen[part] = seen.get(part, 0) + 1
+                if seen[part] > keep:
+                    fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self._dir(v)}/{self.PART}={part}"), True)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from visitlens.functions.columns import format_date_key
 from visitlens.plans import ads
 from visitlens.sinks.tables import VersionedTable, append_new, merge_add, replace_groups
 from visitlens.sources.logs import parse_ad_lines
@@ -48,11 +49,13 @@ class AdTables:
     @classmethod
     def at(cls, spark: SparkSession, root: str) -> "AdTables":
         root = root.rstrip("/")
+        # the count tables are partitioned by day: a batch rewrites only the
+        # days it touched; the blacklist (bounded by the user count) is whole
         return cls(VersionedTable(spark, f"{root}/ad_blacklist", BLACKLIST_SCHEMA),
-                   VersionedTable(spark, f"{root}/ad_user_click_count", USER_CLICK_SCHEMA),
-                   VersionedTable(spark, f"{root}/ad_stat", AD_STAT_SCHEMA),
-                   VersionedTable(spark, f"{root}/ad_province_top3", PROVINCE_TOP_SCHEMA),
-                   VersionedTable(spark, f"{root}/ad_click_trend", TREND_SCHEMA))
+                   VersionedTable(spark, f"{root}/ad_user_click_count", USER_CLICK_SCHEMA, "date"),
+                   VersionedTable(spark, f"{root}/ad_stat", AD_STAT_SCHEMA, "date"),
+                   VersionedTable(spark, f"{root}/ad_province_top3", PROVINCE_TOP_SCHEMA, "date"),
+                   VersionedTable(spark, f"{root}/ad_click_trend", TREND_SCHEMA, "date"))
 
     def seed_blacklist(self, users: DataFrame) -> None:
         """Initial ``ad_blacklist`` (only when the table has no version)."""
@@ -66,25 +69,28 @@ def process_ad_batch(tables: AdTables, lines: DataFrame, batch_id: int, threshol
     try:
         listed = tables.blacklist.read(before=batch_id)
         kept = ads.remove_blacklisted(clicks, listed)
+        # the days of this batch (a handful of values): only these partitions
+        # of the count tables are read and rewritten
+        days = [r[0] for r in kept.select(format_date_key("ts")).distinct().collect()]
         # Running (day, user, ad) totals, then users over the threshold
         delta = ads.user_click_counts(kept)
         keys = ["date", "userid", "adid"]
-        tables.user_clicks.write(merge_add(tables.user_clicks.read(before=batch_id), delta, keys, "click_count"),
+        tables.user_clicks.write(merge_add(tables.user_clicks.read(batch_id, days), delta, keys, "click_count"),
                                  batch_id)
-        touched = tables.user_clicks.read(before=batch_id + 1).join(delta.select(*keys), keys, "left_semi")
+        touched = tables.user_clicks.read(batch_id + 1, days).join(delta.select(*keys), keys, "left_semi")
         fresh = ads.over_threshold_users(touched, listed, threshold)
         tables.blacklist.write(append_new(listed, fresh, ["userid"]), batch_id)
         # Running totals by (day, province, city, ad)
         stat_delta = ads.ad_stat(kept)
-        tables.ad_stat.write(merge_add(tables.ad_stat.read(before=batch_id), stat_delta,
+        tables.ad_stat.write(merge_add(tables.ad_stat.read(batch_id, days), stat_delta,
                                        ["date", "province", "city", "adid"], "click_count"), batch_id)
         # Re-rank only the (day, province) groups this batch touched
         groups = stat_delta.select("date", "province").distinct()
-        current = tables.ad_stat.read(before=batch_id + 1).join(groups, ["date", "province"], "left_semi")
-        tables.province_top3.write(replace_groups(tables.province_top3.read(before=batch_id),
+        current = tables.ad_stat.read(batch_id + 1, days).join(groups, ["date", "province"], "left_semi")
+        tables.province_top3.write(replace_groups(tables.province_top3.read(batch_id, days),
                                                   ads.province_top3(current), ["date", "province"]), batch_id)
         # Full event-time count per minute (Q26 fixed)
-        tables.trend.write(merge_add(tables.trend.read(before=batch_id), ads.click_trend(kept),
+        tables.trend.write(merge_add(tables.trend.read(batch_id, days), ads.click_trend(kept),
                                      ["date", "hour", "minute", "adid"], "click_count"), batch_id)
     finally:
         clicks.unpersist()

@@ -64,8 +64,10 @@ def start_vip_stream(lines: DataFrame, ranges: DataFrame, table: VersionedTable,
              .groupBy(F.window("ts", "1 day"), "province").agg(F.count(F.lit(1)).alias("cnt")))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("province", "cnt", format_date(F.col("window.start")).alias("dt"))
-        table.write(merge_overwrite(table.read(before=batch_id), rows, ["province", "dt"]), batch_id)
+        rows = batch.select("province", "cnt", format_date(F.col("window.start")).alias("dt")).persist()
+        days = [r[0] for r in rows.select("dt").distinct().collect()]  # the batch's days only
+        table.write(merge_overwrite(table.read(batch_id, days), rows, ["province", "dt"]), batch_id)
+        rows.unpersist()
 
     return _writer(daily, sink, checkpoint, "update", available_now, processing_time).start()
 
