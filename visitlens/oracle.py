@@ -362,7 +362,8 @@ FROM beh WHERE dt = {_day_int(day)} GROUP BY dt"""
 
 def daily_study_union_sql(day: str) -> str:
     return f"""WITH {behaviour_cte(day)}
-SELECT sum(watch_video_count) AS watch_video_count, sum(complete_video_count) AS complete_video_count, dt FROM (
+SELECT CAST(sum(watch_video_count) AS BIGINT) AS watch_video_count,
+       CAST(sum(complete_video_count) AS BIGINT) AS complete_video_count, dt FROM (
   SELECT count(DISTINCT uid) AS watch_video_count, 0 AS complete_video_count, dt
   FROM beh WHERE dt = {_day_int(day)} AND event_key = 'startVideo' GROUP BY dt
   UNION ALL
