@@ -1,6 +1,6 @@
 """Sinks: run-id append, merge meanings, versioned tables."""
 
 from visitlens.sinks.tables import (  # noqa: F401
-    VersionedTable, append_jdbc, append_new, append_result, merge_add, merge_overwrite,
+    VersionedTable, append_batch, append_jdbc, append_new, append_result, merge_add, merge_overwrite,
     register_view, replace_groups, save_table, with_run_id, write_day_table, write_text,
 )

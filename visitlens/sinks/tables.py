@@ -67,6 +67,13 @@ def append_jdbc(df: DataFrame, url: str, table: str, run_id: str | None = None,
     with_run_id(df, run_id).write.mode("append").jdbc(url, table, properties=properties or {})
 
 
+def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Append-only log written per micro-batch: ``<path>/batch_id=<n>``,
+    overwritten when the batch is replayed (exactly one copy per batch).
+    Reading ``path`` returns every batch with its ``batch_id``."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+
 def write_text(df: DataFrame, path: str, files: int | None = None) -> None:
     """K8: one text column to files. ``files`` coalesces the output (the
     reference writes 3); leave it unset at scale so every task writes."""

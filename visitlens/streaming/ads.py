@@ -19,8 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from visitlens.functions.columns import format_date_key
 from visitlens.plans import ads
-from visitlens.sinks.tables import VersionedTable, append_new, merge_add, replace_groups
-from visitlens.sources.logs import parse_ad_lines
+from visitlens.sinks.tables import VersionedTable, append_batch, append_new, merge_add, replace_groups
+from visitlens.sources.logs import ad_rejects, parse_ad_lines
 
 S, L = T.StringType(), T.LongType()
 
@@ -45,6 +45,7 @@ class AdTables:
     ad_stat: VersionedTable
     province_top3: VersionedTable
     trend: VersionedTable
+    rejects_path: str
 
     @classmethod
     def at(cls, spark: SparkSession, root: str) -> "AdTables":
@@ -55,7 +56,12 @@ class AdTables:
                    VersionedTable(spark, f"{root}/ad_user_click_count", USER_CLICK_SCHEMA, "date"),
                    VersionedTable(spark, f"{root}/ad_stat", AD_STAT_SCHEMA, "date"),
                    VersionedTable(spark, f"{root}/ad_province_top3", PROVINCE_TOP_SCHEMA, "date"),
-                   VersionedTable(spark, f"{root}/ad_click_trend", TREND_SCHEMA, "date"))
+                   VersionedTable(spark, f"{root}/ad_click_trend", TREND_SCHEMA, "date"),
+                   f"{root}/ad_rejects")
+
+    def rejects(self) -> DataFrame:
+        """Malformed lines with the batch that delivered them."""
+        return self.blacklist.spark.read.parquet(self.rejects_path)
 
     def seed_blacklist(self, users: DataFrame) -> None:
         """Initial ``ad_blacklist`` (only when the table has no version)."""
@@ -65,8 +71,10 @@ class AdTables:
 
 def process_ad_batch(tables: AdTables, lines: DataFrame, batch_id: int, threshold: int = 100) -> None:
     """One micro-batch of B13-B16, in order."""
-    clicks = parse_ad_lines(lines).persist()
+    lines = lines.persist()
+    clicks = parse_ad_lines(lines)
     try:
+        append_batch(ad_rejects(lines), tables.rejects_path, batch_id)  # P6 reject output
         listed = tables.blacklist.read(before=batch_id)
         kept = ads.remove_blacklisted(clicks, listed)
         # the days of this batch (a handful of values): only these partitions
@@ -93,7 +101,7 @@ def process_ad_batch(tables: AdTables, lines: DataFrame, batch_id: int, threshol
         tables.trend.write(merge_add(tables.trend.read(batch_id, days), ads.click_trend(kept),
                                      ["date", "hour", "minute", "adid"], "click_count"), batch_id)
     finally:
-        clicks.unpersist()
+        lines.unpersist()
 
 
 def start_ad_stream(lines: DataFrame, tables: AdTables, checkpoint: str, threshold: int = 100,
