@@ -71,7 +71,8 @@ def flow_steps(spark: SparkSession, flow: list[int]) -> DataFrame:
                            T.StructField("kind", T.StringType(), False),
                            T.StructField("from_page", T.LongType(), False),
                            T.StructField("to_page", T.LongType(), True)])
-    return spark.createDataFrame(rows, schema)
+    from visitlens.sources.fixtures import literal_table
+    return literal_table(spark, rows, schema)
 
 
 def chained_rates(step_counts: DataFrame) -> DataFrame:

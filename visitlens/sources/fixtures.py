@@ -123,6 +123,16 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small fixed table built on the JVM side (no Python worker, no RDD);
+    its row count is known when the plan is built."""
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+               for row in rows]
+    if not structs:
+        return spark.createDataFrame([], schema)
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def city_dim(spark: SparkSession) -> DataFrame:
     """The 10-row city dimension (a literal, so its size is fixed)."""
     schema = T.StructType([
@@ -130,7 +140,7 @@ def city_dim(spark: SparkSession) -> DataFrame:
         T.StructField("city_name", T.StringType(), False),
         T.StructField("area", T.StringType(), False),
     ])
-    return spark.createDataFrame(CITY_ROWS, schema)
+    return literal_table(spark, CITY_ROWS, schema)
 
 
 def ip_ranges(spark: SparkSession) -> DataFrame:
@@ -142,7 +152,7 @@ def ip_ranges(spark: SparkSession) -> DataFrame:
         T.StructField("end_num", T.LongType(), False),
         T.StructField("region", T.StringType(), False),
     ])
-    return spark.createDataFrame(rows, schema)
+    return literal_table(spark, rows, schema)
 
 
 def vip_users(spark: SparkSession, sf_dir: str) -> DataFrame:
