@@ -30,12 +30,11 @@ def merge_overwrite(old: DataFrame, delta: DataFrame, keys: list[str]) -> DataFr
 
 
 def merge_add(old: DataFrame, delta: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """K2: values of equal keys are added; new keys are inserted."""
-    o = old.select(*keys, F.col(value).alias("_old"))
-    d = delta.groupBy(*keys).agg(F.sum(value).alias("_delta"))
-    return (o.join(d, keys, "full_outer")
-            .select(*keys, (F.coalesce("_old", F.lit(0)) + F.coalesce("_delta", F.lit(0)))
-                    .cast(old.schema[value].dataType).alias(value)))
+    """K2: values of equal keys are added; new keys are inserted. One
+    aggregation over the union (partial combine, one shuffle)."""
+    both = old.select(*keys, value).unionByName(delta.select(*keys, value))
+    return (both.groupBy(*keys).agg(F.sum(value).cast(old.schema[value].dataType).alias(value))
+            .select(*old.columns))
 
 
 def replace_groups(old: DataFrame, delta: DataFrame, group_keys: list[str]) -> DataFrame:
@@ -187,7 +186,10 @@ class VersionedTable:
         if self.partition_col is None:
             out.write.mode("overwrite").parquet(self._dir(version))
         else:
+            # rebalance: AQE packs each partition into few files and splits a
+            # partition that is too big for one task
             (out.withColumn(self.PART, F.col(self.partition_col).cast("string"))
+             .hint("rebalance", self.PART)
              .write.mode("overwrite").partitionBy(self.PART).parquet(self._dir(version)))
 
     def vacuum(self, keep: int = 2) -> None:

@@ -72,6 +72,7 @@ class AdTables:
 def process_ad_batch(tables: AdTables, lines: DataFrame, batch_id: int, threshold: int = 100) -> None:
     """One micro-batch of B13-B16, in order."""
     lines = lines.persist()
+    persisted = [lines]
     clicks = parse_ad_lines(lines)
     try:
         append_batch(ad_rejects(lines), tables.rejects_path, batch_id)  # P6 reject output
@@ -80,28 +81,33 @@ def process_ad_batch(tables: AdTables, lines: DataFrame, batch_id: int, threshol
         # the days of this batch (a handful of values): only these partitions
         # of the count tables are read and rewritten
         days = [r[0] for r in kept.select(format_date_key("ts")).distinct().collect()]
-        # Running (day, user, ad) totals, then users over the threshold
+        # Running (day, user, ad) totals, then users over the threshold.
+        # Merged totals are kept for the batch (recomputable from the
+        # versions below it if an executor is lost) instead of read back.
         delta = ads.user_click_counts(kept)
         keys = ["date", "userid", "adid"]
-        tables.user_clicks.write(merge_add(tables.user_clicks.read(batch_id, days), delta, keys, "click_count"),
-                                 batch_id)
-        touched = tables.user_clicks.read(batch_id + 1, days).join(delta.select(*keys), keys, "left_semi")
+        totals = merge_add(tables.user_clicks.read(batch_id, days), delta, keys, "click_count").persist()
+        tables.user_clicks.write(totals, batch_id)
+        touched = totals.join(delta.select(*keys), keys, "left_semi")
         fresh = ads.over_threshold_users(touched, listed, threshold)
         tables.blacklist.write(append_new(listed, fresh, ["userid"]), batch_id)
         # Running totals by (day, province, city, ad)
         stat_delta = ads.ad_stat(kept)
-        tables.ad_stat.write(merge_add(tables.ad_stat.read(batch_id, days), stat_delta,
-                                       ["date", "province", "city", "adid"], "click_count"), batch_id)
+        stat = merge_add(tables.ad_stat.read(batch_id, days), stat_delta,
+                         ["date", "province", "city", "adid"], "click_count").persist()
+        tables.ad_stat.write(stat, batch_id)
         # Re-rank only the (day, province) groups this batch touched
         groups = stat_delta.select("date", "province").distinct()
-        current = tables.ad_stat.read(batch_id + 1, days).join(groups, ["date", "province"], "left_semi")
+        current = stat.join(groups, ["date", "province"], "left_semi")
         tables.province_top3.write(replace_groups(tables.province_top3.read(batch_id, days),
                                                   ads.province_top3(current), ["date", "province"]), batch_id)
+        persisted += [totals, stat]
         # Full event-time count per minute (Q26 fixed)
         tables.trend.write(merge_add(tables.trend.read(batch_id, days), ads.click_trend(kept),
                                      ["date", "hour", "minute", "adid"], "click_count"), batch_id)
     finally:
-        lines.unpersist()
+        for df in persisted:
+            df.unpersist()
 
 
 def start_ad_stream(lines: DataFrame, tables: AdTables, checkpoint: str, threshold: int = 100,
