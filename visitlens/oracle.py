@@ -344,7 +344,7 @@ def _day_int(day: str) -> int:
     return int(day.replace("-", ""))
 
 
-def behaviour_cte(day: str) -> str:
+def behaviour_cte(day: str | None) -> str:
     return f"""{course_cte(day, day, 'course')},
 beh AS (SELECT uid, event_key, start_video_time, end_video_time, video_length,
                CAST(strftime(epoch_ms(event_time * 1000), '%Y%m%d') AS INTEGER) AS dt FROM course)"""
@@ -353,21 +353,29 @@ beh AS (SELECT uid, event_key, start_video_time, end_video_time, video_length,
 COMPLETED_SQL = "event_key = 'endVideo' AND end_video_time - start_video_time >= video_length"
 
 
-def daily_study_sql(day: str) -> str:
+def _dt_filter(day: str | None) -> str:
+    return f"WHERE dt = {_day_int(day)}" if day else ""
+
+
+def daily_study_sql(day: str | None) -> str:
     return f"""WITH {behaviour_cte(day)}
 SELECT count(DISTINCT CASE WHEN event_key = 'startVideo' THEN uid END) AS watch_video_count,
        count(DISTINCT CASE WHEN {COMPLETED_SQL} THEN uid END) AS complete_video_count, dt
-FROM beh WHERE dt = {_day_int(day)} GROUP BY dt"""
+FROM beh {_dt_filter(day)} GROUP BY dt"""
+
+
+def _day_cond(day: str | None) -> str:
+    return f"dt = {_day_int(day)} AND" if day else ""
 
 
-def daily_study_union_sql(day: str) -> str:
+def daily_study_union_sql(day: str | None) -> str:
     return f"""WITH {behaviour_cte(day)}
 SELECT CAST(sum(watch_video_count) AS BIGINT) AS watch_video_count,
        CAST(sum(complete_video_count) AS BIGINT) AS complete_video_count, dt FROM (
   SELECT count(DISTINCT uid) AS watch_video_count, 0 AS complete_video_count, dt
-  FROM beh WHERE dt = {_day_int(day)} AND event_key = 'startVideo' GROUP BY dt
+  FROM beh WHERE {_day_cond(day)} event_key = 'startVideo' GROUP BY dt
   UNION ALL
-  SELECT 0, count(DISTINCT uid), dt FROM beh WHERE dt = {_day_int(day)} AND {COMPLETED_SQL} GROUP BY dt
+  SELECT 0, count(DISTINCT uid), dt FROM beh WHERE {_day_cond(day)} {COMPLETED_SQL} GROUP BY dt
 ) GROUP BY dt"""
 
 

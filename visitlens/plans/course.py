@@ -25,20 +25,25 @@ def _completed():
         ((F.col("end_video_time") - F.col("start_video_time")) >= F.col("video_length"))
 
 
-def study_counts(behaviour: DataFrame, day: str) -> DataFrame:
+def _for_day(behaviour: DataFrame, day: str | None) -> DataFrame:
+    return behaviour if day is None else behaviour.where(F.col("dt") == _day_int(day))
+
+
+def study_counts(behaviour: DataFrame, day: str | None) -> DataFrame:
     """B11 (A11): distinct users who started a video and who completed one,
-    for partition ``dt = day``, in one aggregation pass."""
-    t = behaviour.where(F.col("dt") == _day_int(day))
+    for partition ``dt = day`` (every day when ``day`` is None), in one
+    aggregation pass."""
+    t = _for_day(behaviour, day)
     return (t.groupBy("dt")
             .agg(F.count_distinct(F.when(F.col("event_key") == "startVideo", F.col("uid"))).alias("watch_video_count"),
                  F.count_distinct(F.when(_completed(), F.col("uid"))).alias("complete_video_count"))
             .select(*STUDY_COLUMNS))
 
 
-def study_counts_union(behaviour: DataFrame, day: str) -> DataFrame:
+def study_counts_union(behaviour: DataFrame, day: str | None) -> DataFrame:
     """B11 in the reference's form (U1): two zero-padded measures, UNION ALL,
     then a sum by day."""
-    t = behaviour.where(F.col("dt") == _day_int(day))
+    t = _for_day(behaviour, day)
     watch = (t.where(F.col("event_key") == "startVideo").groupBy("dt")
              .agg(F.count_distinct("uid").alias("watch_video_count"))
              .withColumn("complete_video_count", F.lit(0).cast("bigint")))
@@ -51,7 +56,9 @@ def study_counts_union(behaviour: DataFrame, day: str) -> DataFrame:
             .select(*STUDY_COLUMNS))
 
 
-def daily_study(spark: SparkSession, sf_dir: str, day: str = "2024-01-05", union_form: bool = False) -> DataFrame:
+def daily_study(spark: SparkSession, sf_dir: str, day: str | None = "2024-01-05",
+                union_form: bool = False) -> DataFrame:
+    """B11 for one day, or for every day of the log when ``day`` is None."""
     t = src.course_table(spark, sf_dir, day)
     return study_counts_union(t, day) if union_form else study_counts(t, day)
 

@@ -19,11 +19,10 @@ from visitlens.functions.predicates import session_filter
 from visitlens.operators.joins import broadcast_bounded
 from visitlens.operators.sample import stratified_sample
 from visitlens.operators.session_fold import length_ratios
-from visitlens.operators.topn import top_k, top_n_per_group
 from visitlens.params import TaskParams
 from visitlens.plans import page, product
-from visitlens.plans.session import (DETAIL_COLUMNS, SAMPLE_COLUMNS, TOP_CATEGORY_COLUMNS,
-                                     TOP_SESSION_COLUMNS, category_counts, profile_frame)
+from visitlens.plans.session import (DETAIL_COLUMNS, SAMPLE_COLUMNS, profile_frame, rank_categories,
+                                     rank_sessions)
 from visitlens.session import checkpoint_dir, configure
 from visitlens.sinks.tables import append_result
 from visitlens.sources import fixtures as src
@@ -46,15 +45,8 @@ def session_reports(spark: SparkSession, sf_dir: str, params: TaskParams, sample
     detail = (acts.join(broadcast_bounded(sample.select("session_id"), sample_total), "session_id", "left_semi")
               .withColumn("action_time", format_time("action_time")).select(*DETAIL_COLUMNS))
     kept = acts.join(filtered.select("session_id"), "session_id", "left_semi")
-    top = top_k(category_counts(kept), [F.desc("click_count"), F.desc("order_count"),
-                                        F.desc("pay_count"), F.asc("categoryid")], k).select(*TOP_CATEGORY_COLUMNS)
-    clicks = (kept.where(F.col("click_category_id") != -1)
-              .join(broadcast_bounded(top.select(F.col("categoryid").alias("click_category_id")), k),
-                    "click_category_id", "left_semi"))
-    per_session = clicks.groupBy(F.col("click_category_id").alias("categoryid"), "session_id") \
-        .agg(F.count(F.lit(1)).alias("click_count"))
-    top_sessions = top_n_per_group(per_session, ["categoryid"], [F.desc("click_count"), F.asc("session_id")], n) \
-        .select(*TOP_SESSION_COLUMNS)
+    top = rank_categories(kept, k)
+    top_sessions = rank_sessions(kept, top, k, n)
     return {"session_ratio": ratios, "session_extract": sample, "session_detail": detail,
             "top10_category": top, "top10_session": top_sessions}
 

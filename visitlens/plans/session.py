@@ -112,23 +112,34 @@ def category_counts(actions: DataFrame) -> DataFrame:
                  F.count_if(F.col("t.kind") == "p").alias("pay_count")))
 
 
+def rank_categories(actions: DataFrame, k: int = 10) -> DataFrame:
+    """T1 over A4-A6: top ``k`` categories by click, then order, then pay
+    count; ties by id (Q8, Q9)."""
+    return top_k(category_counts(actions), [F.desc("click_count"), F.desc("order_count"),
+                                            F.desc("pay_count"), F.asc("categoryid")], k) \
+        .select(*TOP_CATEGORY_COLUMNS)
+
+
+def rank_sessions(actions: DataFrame, top: DataFrame, k: int = 10, n: int = 10) -> DataFrame:
+    """For each of the ``k`` top categories, the ``n`` sessions with most
+    clicks on it (J4 broadcast semi join with the k-row list, A7, W5)."""
+    cats = broadcast_bounded(top.select(F.col("categoryid").alias("click_category_id")), k)
+    clicks = actions.where(F.col("click_category_id") != -1).join(cats, "click_category_id", "left_semi")
+    per_session = (clicks.groupBy(F.col("click_category_id").alias("categoryid"), "session_id")
+                   .agg(F.count(F.lit(1)).alias("click_count")))
+    return top_n_per_group(per_session, ["categoryid"],
+                           [F.desc("click_count"), F.asc("session_id")], n).select(*TOP_SESSION_COLUMNS)
+
+
 def top_categories(spark: SparkSession, sf_dir: str, params: TaskParams = TaskParams(), k: int = 10) -> DataFrame:
-    """Top ``k`` categories by click, then order, then pay count (T1);
-    ties by id (Q8, Q9)."""
-    counts = category_counts(filtered_actions(spark, sf_dir, params))
-    return top_k(counts, [F.desc("click_count"), F.desc("order_count"), F.desc("pay_count"),
-                          F.asc("categoryid")], k).select(*TOP_CATEGORY_COLUMNS)
+    """Top categories over the actions of the filtered sessions."""
+    return rank_categories(filtered_actions(spark, sf_dir, params), k)
 
 
 def top_sessions(spark: SparkSession, sf_dir: str, params: TaskParams = TaskParams(),
                  k: int = 10, n: int = 10) -> DataFrame:
-    """For each top-``k`` category, the ``n`` sessions with most clicks
-    on it (J4 broadcast semi join with the k-row list, A7, W5)."""
-    top = top_categories(spark, sf_dir, params, k).select(F.col("categoryid").alias("click_category_id"))
-    clicks = (filtered_actions(spark, sf_dir, params)
-              .where(F.col("click_category_id") != -1)
-              .join(broadcast_bounded(top, k), "click_category_id", "left_semi"))
-    per_session = (clicks.groupBy(F.col("click_category_id").alias("categoryid"), "session_id")
-                   .agg(F.count(F.lit(1)).alias("click_count")))
-    return top_n_per_group(per_session, ["categoryid"],
-                           [F.desc("click_count"), F.asc("session_id")], n).select(*TOP_SESSION_COLUMNS)
+    """Top sessions of each top category. Both steps use one filtered
+    action frame, so the identical scan and fold are planned once and their
+    exchanges reused."""
+    fa = filtered_actions(spark, sf_dir, params)
+    return rank_sessions(fa, rank_categories(fa, k), k, n)

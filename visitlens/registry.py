@@ -22,6 +22,9 @@ P_ALL = TaskParams(start_age=25, end_age=55, professionals="BUILDING,MACHINERY,H
 # the sample runs over three days (FIXTURES.md: over 30 days the hourly
 # floor leaves almost nothing)
 P_SAMPLE = TaskParams(start_date="2024-01-01", end_date="2024-01-03")
+# over all 30 days a total of 100 floors every hourly quota to 0; the
+# whole-range sample asks for 1000
+WHOLE_RANGE_SAMPLE = 1000
 STUDY_DAY = "2024-01-05"
 # no driver user reaches 100 clicks of one ad in a day; 1 exercises the rule
 TEST_THRESHOLD = 1
@@ -46,6 +49,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "b3_length_ratios_all_params": _q(lambda s, d: session.length_report(s, d, P_ALL)),
         "b4_session_sample": _q(lambda s, d: session.session_sample(s, d, P_SAMPLE)),
         "b5_sample_detail": _q(lambda s, d: session.sample_detail(s, d, P_SAMPLE)),
+        "b4_session_sample_all_days": _q(lambda s, d: session.session_sample(s, d, P, WHOLE_RANGE_SAMPLE)),
+        "b5_sample_detail_all_days": _q(lambda s, d: session.sample_detail(s, d, P, WHOLE_RANGE_SAMPLE)),
         "b6_top10_categories": _q(lambda s, d: session.top_categories(s, d, P)),
         "b7_top10_sessions": _q(lambda s, d: session.top_sessions(s, d, P)),
         "b8_page_conversion": _q(lambda s, d: page.page_conversion(s, d, P)),
@@ -55,6 +60,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "b10_area_top3_lineitem": _q(lambda s, d: product.area_top3_lineitem(s, d)),
         "b11_daily_study": _q(lambda s, d: course.daily_study(s, d, STUDY_DAY)),
         "b11_daily_study_union": _q(lambda s, d: course.daily_study(s, d, STUDY_DAY, union_form=True)),
+        "b11_daily_study_all_days": _q(lambda s, d: course.daily_study(s, d, None)),
+        "b11_daily_study_union_all_days": _q(lambda s, d: course.daily_study(s, d, None, union_form=True)),
         "b12_clean_course_log": _q(lambda s, d: course.clean_course_log(s, d)),
         "b13_ad_user_click_count": _q(lambda s, d: ads.blacklist_user_counts(s, d)),
         "b13_ad_blacklist": _q(lambda s, d: ads.blacklist_after_batch(s, d, TEST_THRESHOLD)),
@@ -86,6 +93,8 @@ def oracle_sql() -> dict[str, str]:
         "b3_length_ratios_all_params": O.length_report_sql(P_ALL),
         "b4_session_sample": O.session_sample_sql(P_SAMPLE),
         "b5_sample_detail": O.sample_detail_sql(P_SAMPLE),
+        "b4_session_sample_all_days": O.session_sample_sql(P, WHOLE_RANGE_SAMPLE),
+        "b5_sample_detail_all_days": O.sample_detail_sql(P, WHOLE_RANGE_SAMPLE),
         "b6_top10_categories": O.top_categories_sql(P),
         "b7_top10_sessions": O.top_sessions_sql(P),
         "b8_page_conversion": O.page_conversion_sql(P),
@@ -95,6 +104,8 @@ def oracle_sql() -> dict[str, str]:
         "b10_area_top3_lineitem": O.area_top3_lineitem_sql(),
         "b11_daily_study": O.daily_study_sql(STUDY_DAY),
         "b11_daily_study_union": O.daily_study_union_sql(STUDY_DAY),
+        "b11_daily_study_all_days": O.daily_study_sql(None),
+        "b11_daily_study_union_all_days": O.daily_study_union_sql(None),
         "b12_clean_course_log": O.clean_course_log_sql(),
         "b13_ad_user_click_count": O.user_click_counts_sql(),
         "b13_ad_blacklist": O.blacklist_after_batch_sql(TEST_THRESHOLD),
