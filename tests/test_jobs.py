@@ -47,3 +47,10 @@ def test_params_from_reference_json():
     p = TaskParams.from_json('{"startDate": "2020-02-01", "endDate": "2020-02-29", "startAge": 20, '
                              '"endAge": "", "categoryIds": "1,2", "targetPageFlow": "1,2,3"}')
     assert p.end_age is None and p.list_of("category_ids") == ["1", "2"] and p.page_flow() == [1, 2, 3]
+
+
+def test_scale_conf_sizes_partitions():
+    from visitlens.session import scale_conf
+    c = scale_conf(100 * 2**40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600  # 100 TB / 256 MB
+    assert int(scale_conf(2**30, 64)["spark.sql.shuffle.partitions"]) == 192  # three waves

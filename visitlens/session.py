@@ -55,6 +55,33 @@ def build_session(master: str | None = None, app: str = "visitlens",
     return configure(spark)
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+               stream_state: bool = False) -> dict[str, str]:
+    """Settings for a cluster run, from the input size and the core count.
+
+    Shuffle partitions start at about one per 256 MB of input (at least
+    three waves of tasks) and AQE coalesces what turns out small; scans split
+    files at the same size; a shuffle partition five times the median and
+    over 512 MB counts as skewed and is split in joins. ``stream_state``
+    moves stream state to RocksDB so large keyed state is not held on the
+    JVM heap.
+    """
+    partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    conf = {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        **RUNTIME_CONF,
+    }
+    if stream_state:
+        conf["spark.sql.streaming.stateStore.providerClass"] = \
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    return conf
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
