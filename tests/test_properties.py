@@ -47,3 +47,24 @@ def test_stratified_sample_quota(spark, sizes, total):
     chosen = Counter((r.d, r.h) for r in got)
     for key, n in hours.items():
         assert chosen.get(key, 0) == min(int(n / days[key[0]] * per_day), n)
+
+
+def test_report_properties(spark):
+    """SURVEY §5 (4): ratios in [0, 1], top-n ordered and capped."""
+    import __spark_entry__ as entry
+    from conftest import SF_CHECK
+    q = entry.queries()
+    r = q["b3_length_ratios"](spark, SF_CHECK).collect()[0].asDict()
+    assert all(0.0 <= v <= 1.0 for k, v in r.items() if k.endswith("_ratio"))
+    visit = sum(v for k, v in r.items() if k.startswith("visit_length_"))
+    assert visit <= 1.0 + 0.05  # rounding of nine shares; 0 s visits are in no bin (Q4)
+    cats = q["b6_top10_categories"](spark, SF_CHECK).collect()
+    keys = [(-c.click_count, -c.order_count, -c.pay_count, c.categoryid) for c in cats]
+    assert len(cats) == 10 and keys == sorted(keys)
+    sess = q["b7_top10_sessions"](spark, SF_CHECK).collect()
+    per_cat = Counter(s.categoryid for s in sess)
+    assert set(per_cat) <= {c.categoryid for c in cats} and max(per_cat.values()) <= 10
+    top3 = q["b10_area_top3"](spark, SF_CHECK).collect()
+    assert max(Counter(t.area for t in top3).values()) <= 3
+    rates = [p.rate for p in q["b8_page_conversion"](spark, SF_CHECK).collect() if p.rate is not None]
+    assert all(x >= 0 for x in rates)
