@@ -147,3 +147,17 @@ def test_scalar_helpers(spark):
                   C.date_hour_key(C.parse_time("t")).alias("dh")).collect()[0]
     assert r.t == "2024-01-05 07:03:09" and r.c == "x" and r.b is None
     assert r.m == "1870000" and r.p == "07" and r.tc == "1,2" and r.dh == "2024-01-05_07"
+
+
+def test_time_and_kv_helpers(spark):
+    df = spark.createDataFrame([("a=1|b=2", 1704153600, "20240102", "bad")], "kv string, sec long, dk string, bad string")
+    r = df.select(C.kv_set("kv", "b", F.lit("9")).alias("kv"), C.kv_set("kv", "c", F.lit("3")).alias("kv2"),
+                  C.epoch_seconds_to_date("sec").cast("string").alias("d"),
+                  C.parse_date_key("dk").cast("string").alias("dk"), C.parse_date_key("bad").alias("bad"),
+                  C.is_before(C.parse_date_key("dk"), F.lit("2024-01-03").cast("date")).alias("before"),
+                  C.seconds_between(F.lit("2024-01-01 00:00:00").cast("timestamp"),
+                                    F.lit("2024-01-01 00:01:05").cast("timestamp")).alias("secs"),
+                  (C.yesterday() < C.today()).alias("order")).collect()[0]
+    assert r.kv == "a=1|b=9" and r.kv2 == "a=1|b=2|c=3"
+    assert r.d == "2024-01-02" and r.dk == "2024-01-02" and r.bad is None
+    assert r.before and r.secs == 65 and r.order

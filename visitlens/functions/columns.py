@@ -53,6 +53,31 @@ def seconds_between(start, end) -> Column:
     return F.unix_timestamp(_c(end)) - F.unix_timestamp(_c(start))
 
 
+def is_before(a, b) -> Column:
+    """``a`` is earlier than ``b``."""
+    return _c(a) < _c(b)
+
+
+def is_after(a, b) -> Column:
+    """``a`` is later than ``b``."""
+    return _c(a) > _c(b)
+
+
+def today() -> Column:
+    """the current date (session time zone)."""
+    return F.current_date()
+
+
+def yesterday() -> Column:
+    """F5."""
+    return F.date_sub(F.current_date(), 1)
+
+
+def parse_date_key(text) -> Column:
+    """``yyyyMMdd`` text -> date; NULL when malformed."""
+    return F.to_date(F.try_to_timestamp(_c(text), F.lit(DATEKEY_FORMAT)))
+
+
 def epoch_seconds_to_date(sec) -> Column:
     """epoch seconds -> date (session time zone)."""
     return F.to_date(F.timestamp_seconds(_c(sec)))
