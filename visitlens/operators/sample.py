@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from visitlens.operators.joins import broadcast_bounded
 from visitlens.operators.topn import top_n_per_group
 
 
@@ -15,7 +16,7 @@ def sample_order(key_col: str, seed: str) -> F.Column:
 
 
 def stratified_sample(df: DataFrame, day_col: str, hour_col: str, key_col: str,
-                      total: int = 100, seed: str = "visitlens") -> DataFrame:
+                      total: int = 100, seed: str = "visitlens", max_days: int | None = None) -> DataFrame:
     """Per day quota = ``total div days``; per hour
     ``floor(hour_n / day_n * per_day)`` (doubles, truncated: Q29), at most the
     hour's size; rows chosen by the seeded hash.
@@ -30,7 +31,8 @@ def stratified_sample(df: DataFrame, day_col: str, hour_col: str, key_col: str,
     days = hours.groupBy(day_col).agg(F.sum("_hour_n").alias("_day_n"))
     # one row per day present: a window over the whole (tiny) table
     days = days.withColumn("_n_days", F.count(F.lit(1)).over(Window.partitionBy()))
-    quotas = (hours.join(days, day_col)
+    bound = 24 * max_days if max_days else None
+    quotas = (hours.join(broadcast_bounded(days, max_days), day_col)
               .select(day_col, hour_col,
                       F.least(F.floor((F.col("_hour_n") / F.col("_day_n"))
                                       * F.floor(F.lit(total) / F.col("_n_days"))),
@@ -38,6 +40,6 @@ def stratified_sample(df: DataFrame, day_col: str, hour_col: str, key_col: str,
     ranked = top_n_per_group(
         df.withColumn("_order", sample_order(key_col, seed)),
         [day_col, hour_col], [F.col("_order"), F.col(key_col)], total, rank_col="_rank")
-    return (ranked.join(quotas, [day_col, hour_col])
+    return (ranked.join(broadcast_bounded(quotas, bound), [day_col, hour_col])
             .where(F.col("_rank") <= F.col("_quota"))
             .drop("_order", "_rank", "_quota"))

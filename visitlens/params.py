@@ -62,5 +62,12 @@ class TaskParams:
     def list_of(self, name: str) -> list[str]:
         return _list(getattr(self, name))
 
+    def days_in_range(self) -> int | None:
+        """Number of days between the inclusive dates; None when open."""
+        import datetime as dt
+        if not self.start_date or not self.end_date:
+            return None
+        return (dt.date.fromisoformat(self.end_date) - dt.date.fromisoformat(self.start_date)).days + 1
+
     def page_flow(self) -> list[int]:
         return [int(p) for p in _list(self.target_page_flow)]

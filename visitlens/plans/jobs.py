@@ -41,7 +41,8 @@ def session_reports(spark: SparkSession, sf_dir: str, params: TaskParams, sample
     ratios = length_ratios(filtered)
     sample = stratified_sample(filtered.withColumn("_day", format_date("start_ts"))
                                .withColumn("_hour", F.hour("start_ts")),
-                               "_day", "_hour", "session_id", sample_total, seed).select(*SAMPLE_COLUMNS)
+                               "_day", "_hour", "session_id", sample_total, seed,
+                               params.days_in_range()).select(*SAMPLE_COLUMNS)
     detail = (acts.join(broadcast_bounded(sample.select("session_id"), sample_total), "session_id", "left_semi")
               .withColumn("action_time", format_time("action_time")).select(*DETAIL_COLUMNS))
     kept = acts.join(filtered.select("session_id"), "session_id", "left_semi")

@@ -72,7 +72,8 @@ def session_sample(spark: SparkSession, sf_dir: str, params: TaskParams = TaskPa
     f = (filtered_frame(spark, sf_dir, params)
          .withColumn("_day", format_date("start_ts"))
          .withColumn("_hour", F.hour("start_ts")))
-    return stratified_sample(f, "_day", "_hour", "session_id", total, seed).select(*SAMPLE_COLUMNS)
+    return stratified_sample(f, "_day", "_hour", "session_id", total, seed,
+                             params.days_in_range()).select(*SAMPLE_COLUMNS)
 
 
 def sample_detail(spark: SparkSession, sf_dir: str, params: TaskParams = TaskParams(),
