@@ -25,7 +25,9 @@ def stratified_sample(df: DataFrame, day_col: str, hour_col: str, key_col: str,
     candidate ranking has the constant bound ``total`` (a per-hour quota can
     never exceed it), so the window keeps at most ``total`` rows per stratum
     per map task before its shuffle. The quota table has one row per
-    (day, hour) present.
+    (day, hour) present; with ``max_days`` (known from the date range) that
+    is at most ``24 * max_days`` rows and it is broadcast, otherwise AQE
+    decides from measured sizes.
     """
     hours = df.groupBy(day_col, hour_col).agg(F.count(F.lit(1)).alias("_hour_n"))
     days = hours.groupBy(day_col).agg(F.sum("_hour_n").alias("_day_n"))
