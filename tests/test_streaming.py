@@ -64,3 +64,72 @@ def test_restart_from_checkpoint(spark):
     stat = {(r.adid,): r.click_count for r in t.ad_stat.read().collect()}
     assert stat == {(1,): 4, (2,): 1}
     assert len(t.ad_stat.versions()) == 3  # one version per micro-batch
+
+
+def _course_line(uid, event_key, epoch_s, phone="18701400001"):
+    fields = [str(uid), f"user{uid}", "F", "1", "0", "ios", "auto", "wifi", "10.0.0.1", phone,
+              "0", "300", str(epoch_s), "0", "1.0", event_key, str(epoch_s)]
+    return "\t".join(fields)
+
+
+def test_unpaid_stream_window_and_late_rows(spark):
+    from visitlens.sinks.tables import VersionedTable
+    from visitlens.streaming.orders import UNPAID_SCHEMA, start_unpaid_stream
+
+    root = f"{checkpoint_dir(spark)}/unpaid-{uuid.uuid4().hex}"
+    src = f"{root}/in"
+    os.makedirs(src, exist_ok=True)
+    day = 86400
+    t0 = 1704067200  # 2024-01-01 UTC
+
+    def drop(name, rows, mtime):
+        with open(f"{src}/.{name}", "w") as fh:
+            fh.write("\n".join(rows) + "\n")
+        os.rename(f"{src}/.{name}", f"{src}/{name}")
+        os.utime(f"{src}/{name}", (mtime, mtime))
+
+    # user 1: three order-page visits inside one 4-day window -> listed
+    # user 2: VIP with three visits -> not listed
+    # user 3: two visits; its windows are evicted (file c advances past the
+    #         watermark); a third visit arriving afterwards starts a window
+    #         of late rows only -> never listed
+    drop("a.txt", [_course_line(1, "enterOrderPage", t0 + 10), _course_line(1, "enterOrderPage", t0 + 20),
+                   _course_line(2, "enterOrderPage", t0 + 10), _course_line(2, "enterOrderPage", t0 + 20),
+                   _course_line(2, "enterOrderPage", t0 + 30), _course_line(3, "enterOrderPage", t0 + 10),
+                   _course_line(3, "enterOrderPage", t0 + 20), _course_line(1, "startVideo", t0 + 5)], 1_000)
+    drop("b.txt", [_course_line(1, "enterOrderPage", t0 + 30), _course_line(4, "enterOrderPage", t0 + 20 * day)],
+         2_000)
+    drop("c.txt", [_course_line(5, "enterOrderPage", t0 + 21 * day)], 3_000)
+    drop("d.txt", [_course_line(3, "enterOrderPage", t0 + 40)], 4_000)  # late, after eviction
+    vip = spark.createDataFrame([(2, 2)], "id long, uid long")
+    table = VersionedTable(spark, f"{root}/unpayment_record", UNPAID_SCHEMA)
+    q = start_unpaid_stream(read_text_stream(spark, src, 1), vip, table, f"{root}/ckpt",
+                            watermark="4 days", available_now=True)
+    q.awaitTermination()
+    assert sorted(r.uid for r in table.read().collect()) == [1]
+    state_rows = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress]
+    assert state_rows[-1] <= 4  # only the late window and user 5's windows are left in state
+
+
+def test_vip_stream_counts_late_rows_on_their_day(spark):
+    from visitlens.sinks.tables import VersionedTable
+    from visitlens.sources.fixtures import ip_ranges
+    from visitlens.streaming.orders import VIP_SCHEMA, start_vip_stream
+
+    root = f"{checkpoint_dir(spark)}/vip-{uuid.uuid4().hex}"
+    src = f"{root}/in"
+    os.makedirs(src, exist_ok=True)
+    t0, day = 1704067200, 86400
+    for i, (rows, mtime) in enumerate([
+            ([_course_line(1, "completeOrder", t0 + 5), _course_line(2, "completeOrder", t0 + 6)], 1_000),
+            ([_course_line(1, "completeOrder", t0 + 9 * day)], 2_000),
+            ([_course_line(3, "completeOrder", t0 + 7)], 3_000)]):  # late for day 1
+        with open(f"{src}/f{i}.txt", "w") as fh:
+            fh.write("\n".join(rows) + "\n")
+        os.utime(f"{src}/f{i}.txt", (mtime, mtime))
+    table = VersionedTable(spark, f"{root}/vip", VIP_SCHEMA, "dt")
+    q = start_vip_stream(read_text_stream(spark, src, 1), ip_ranges(spark), table, f"{root}/ckpt",
+                         ranges_bound=6, available_now=True)
+    q.awaitTermination()
+    got = sorted(tuple(r) for r in table.read().collect())
+    assert got == [("北京", 1, "2024-01-10"), ("北京", 3, "2024-01-01")]

@@ -1,8 +1,15 @@
 """Course streams: unpaid-order follow-ups (B17) and daily new VIPs.
 
-Both are stateful Structured Streaming aggregations on event time with a
-watermark, so state is dropped once a window can no longer change (Q18
-fixed); results go to versioned tables through ``foreachBatch``.
+B17 is a stateful sliding-window aggregation on event time; the watermark
+drops a window's state once it can no longer change (Q18 fixed). Spark
+still aggregates a late row whose window is in state, and a row arriving
+after eviction starts a window holding only late rows: that can only
+under-count, so the follow-up set never gains a false member.
+
+B18 keeps no stream state: each micro-batch is counted per (province, day)
+and added to the day partitions of a versioned table. A late row then adds
+to its own day exactly, where an evicted window re-created by a late row
+would have overwritten a full count with a partial one.
 """
 
 from __future__ import annotations
@@ -15,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from visitlens.functions.columns import format_date
 from visitlens.operators.joins import drop_members
 from visitlens.plans.course import with_region
-from visitlens.sinks.tables import VersionedTable, append_new, merge_overwrite
+from visitlens.sinks.tables import VersionedTable, append_new, merge_add
 from visitlens.sources.logs import parse_course_lines
 
 UNPAID_SCHEMA = T.StructType([T.StructField("uid", T.LongType(), True),
@@ -54,22 +61,22 @@ def start_unpaid_stream(lines: DataFrame, vip: DataFrame, table: VersionedTable,
 
 
 def start_vip_stream(lines: DataFrame, ranges: DataFrame, table: VersionedTable, checkpoint: str,
-                     watermark: str = "2 days", ranges_bound: int | None = None,
-                     available_now: bool = False, processing_time: str | None = "10 seconds") -> StreamingQuery:
+                     ranges_bound: int | None = None, available_now: bool = False,
+                     processing_time: str | None = "10 seconds") -> StreamingQuery:
     """Running count of ``completeOrder`` rows per (day, province)
-    (ST5); province by IP range (stream-static join, J9); each update
-    overwrites its (province, dt) row (K7)."""
+    (ST5); province by IP range (stream-static join, J9). Each batch adds its
+    counts to the touched days (K2 on a day-partitioned table)."""
     orders = parse_course_lines(lines).where(F.col("event_key") == "completeOrder")
-    daily = (with_region(orders, ranges, ranges_bound).withWatermark("ts", watermark)
-             .groupBy(F.window("ts", "1 day"), "province").agg(F.count(F.lit(1)).alias("cnt")))
+    regioned = with_region(orders, ranges, ranges_bound)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("province", "cnt", format_date(F.col("window.start")).alias("dt")).persist()
+        rows = (batch.groupBy("province", format_date("ts").alias("dt"))
+                .agg(F.count(F.lit(1)).alias("cnt")).persist())
         days = [r[0] for r in rows.select("dt").distinct().collect()]  # the batch's days only
-        table.write(merge_overwrite(table.read(batch_id, days), rows, ["province", "dt"]), batch_id)
+        table.write(merge_add(table.read(batch_id, days), rows, ["province", "dt"], "cnt"), batch_id)
         rows.unpersist()
 
-    return _writer(daily, sink, checkpoint, "update", available_now, processing_time).start()
+    return _writer(regioned, sink, checkpoint, "append", available_now, processing_time).start()
 
 
 def recent_days(vip_table: DataFrame, as_of: str, days: int = 2) -> DataFrame:

@@ -86,15 +86,14 @@ def run_unpaid_stream(spark: SparkSession, sf_dir: str, files: int = 4, watermar
     return _done[key].read()
 
 
-def run_vip_stream(spark: SparkSession, sf_dir: str, files: int = 4, watermark: str = "2 days") -> DataFrame:
-    key = ("vip", spark.sparkContext.applicationId, sf_dir, files, watermark)
+def run_vip_stream(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
+    key = ("vip", spark.sparkContext.applicationId, sf_dir, files)
     if key not in _done:
         root = scratch(spark, "vip")
         staged = _course_stage(spark, sf_dir, root, files)
         table = VersionedTable(spark, f"{root}/vip_increment_analysis", VIP_SCHEMA, "dt")
         q = start_vip_stream(read_text_stream(spark, staged, 1), src.ip_ranges(spark), table,
-                             f"{root}/checkpoint", watermark=watermark,
-                             ranges_bound=len(src.IP_REGIONS), available_now=True)
+                             f"{root}/checkpoint", ranges_bound=len(src.IP_REGIONS), available_now=True)
         q.awaitTermination()
         _done[key] = table
     return _done[key].read()
