@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from visitlens.functions.columns import format_date_key
 from visitlens.plans import ads
-from visitlens.sinks.tables import VersionedTable, append_batch, append_new, merge_add, replace_groups
+from visitlens.sinks.tables import VersionedTable, _fs, append_batch, append_new, merge_add, replace_groups
 from visitlens.sources.logs import ad_rejects, parse_ad_lines
 
 S, L = T.StringType(), T.LongType()
@@ -60,8 +60,13 @@ class AdTables:
                    f"{root}/ad_rejects")
 
     def rejects(self) -> DataFrame:
-        """Malformed lines with the batch that delivered them."""
-        return self.blacklist.spark.read.parquet(self.rejects_path)
+        """Malformed lines with the batch that delivered them (empty when
+        no batch had any)."""
+        spark = self.blacklist.spark
+        fs, root = _fs(spark, self.rejects_path)
+        if not fs.exists(root):
+            return spark.createDataFrame([], "value string, batch_id int")
+        return spark.read.parquet(self.rejects_path)
 
     def seed_blacklist(self, users: DataFrame) -> None:
         """Initial ``ad_blacklist`` (only when the table has no version)."""
@@ -75,7 +80,9 @@ def process_ad_batch(tables: AdTables, lines: DataFrame, batch_id: int, threshol
     persisted = [lines]
     clicks = parse_ad_lines(lines)
     try:
-        append_batch(ad_rejects(lines), tables.rejects_path, batch_id)  # P6 reject output
+        rejects = ad_rejects(lines)
+        if not rejects.isEmpty():  # P6 reject output; no empty folder per batch
+            append_batch(rejects, tables.rejects_path, batch_id)
         listed = tables.blacklist.read(before=batch_id)
         kept = ads.remove_blacklisted(clicks, listed)
         # the days of this batch (a handful of values): only these partitions
