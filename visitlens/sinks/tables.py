@@ -100,7 +100,7 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 
 # --- versioned storage ----------------------------------------------------------
 
-def _fs(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
@@ -131,7 +131,7 @@ class VersionedTable:
         self.partition_col = partition_col
 
     def _committed(self) -> dict[int, object]:
-        fs, root = _fs(self.spark, self.path)
+        fs, root = filesystem(self.spark, self.path)
         if not fs.exists(root):
             return {}
         out = {}
@@ -194,7 +194,7 @@ class VersionedTable:
 
     def vacuum(self, keep: int = 2) -> None:
         """Drop versions (or partition folders) shadowed ``keep`` times."""
-        fs, _ = _fs(self.spark, self.path)
+        fs, _ = filesystem(self.spark, self.path)
         jvm = self.spark.sparkContext._jvm
         committed = self._committed()
         if self.partition_col is None:

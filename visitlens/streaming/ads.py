@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from visitlens.functions.columns import format_date_key
 from visitlens.plans import ads
-from visitlens.sinks.tables import VersionedTable, _fs, append_batch, append_new, merge_add, replace_groups
+from visitlens.sinks.tables import VersionedTable, filesystem, append_batch, append_new, merge_add, replace_groups
 from visitlens.sources.logs import ad_rejects, parse_ad_lines
 
 S, L = T.StringType(), T.LongType()
@@ -63,7 +63,7 @@ class AdTables:
         """Malformed lines with the batch that delivered them (empty when
         no batch had any)."""
         spark = self.blacklist.spark
-        fs, root = _fs(spark, self.rejects_path)
+        fs, root = filesystem(spark, self.rejects_path)
         if not fs.exists(root):
             return spark.createDataFrame([], "value string, batch_id int")
         return spark.read.parquet(self.rejects_path)
