@@ -161,3 +161,16 @@ def test_time_and_kv_helpers(spark):
     assert r.kv == "a=1|b=9" and r.kv2 == "a=1|b=2|c=3"
     assert r.d == "2024-01-02" and r.dk == "2024-01-02" and r.bad is None
     assert r.before and r.secs == 65 and r.order
+
+
+def test_transition_counts_null_value_is_not_a_slice_end(spark):
+    # a NULL value inside a slice must not be taken for the slice's last row
+    rows = [("s", k, k, None if k == 5 else k % 3) for k in range(40)]
+    df = spark.createDataFrame(rows, "g string, t long, i long, v long")
+    got = transition_counts(df, "g", ["t", "i"], "v", partitions=4)
+    pairs = {(r.from_value, r.to_value): r.n for r in got.where("kind = 'pair'").collect()}
+    w = Window.partitionBy("g").orderBy("t", "i")
+    want = {(r.a, r.b): r.n for r in
+            df.withColumn("b", F.lead("v").over(w)).where(F.col("v").isNotNull() & F.col("b").isNotNull())
+              .groupBy(F.col("v").alias("a"), "b").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert pairs == want

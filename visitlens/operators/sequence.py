@@ -34,8 +34,10 @@ def transition_counts(df: DataFrame, group: str, order: list[str], value: str,
     w = Window.partitionBy(group, "_slice").orderBy(*order)
     local = sliced.select(group, "_slice", F.col(value).cast("bigint").alias("_v"),
                           F.lead(value).over(w).cast("bigint").alias("_next"),
+                          # the slice's last row by position (a NULL value is not an end)
+                          F.lead(F.lit(True)).over(w).isNull().alias("_last"),
                           F.row_number().over(w).alias("_rn"))
-    v, nxt = F.col("_v"), F.col("_next")
+    v, nxt, last = F.col("_v"), F.col("_next"), F.col("_last")
     nl = F.lit(None).cast("bigint")
     ng = F.lit(None).cast(df.schema[group].dataType)
     ni = F.lit(None).cast("int")
@@ -45,15 +47,18 @@ def transition_counts(df: DataFrame, group: str, order: list[str], value: str,
                         first.alias("f"), last.alias("l"))
 
     entries = F.array(
-        F.when(nxt.isNotNull(), entry(_PAIR, v, nxt, ng, ni, nl, nl)),
+        F.when(~last & v.isNotNull() & nxt.isNotNull(), entry(_PAIR, v, nxt, ng, ni, nl, nl)),
         entry(_VISIT, v, nl, ng, ni, nl, nl),
         F.when(F.col("_rn") == 1, entry(_EDGE, nl, nl, F.col(group), F.col("_slice"), v, nl)),
-        F.when(nxt.isNull(), entry(_EDGE, nl, nl, F.col(group), F.col("_slice") + 1, nl, v)),
+        F.when(last, entry(_EDGE, nl, nl, F.col(group), F.col("_slice") + 1, nl, v)),
     )
     e = local.select(F.explode(F.filter(entries, lambda x: x.isNotNull())).alias("e")).select("e.*")
     agg = e.groupBy("k", "a", "b", "g", "s").agg(F.count(F.lit(1)).alias("n"),
                                                  F.max("f").alias("f"), F.max("l").alias("l"))
     edge = F.col("k") == _EDGE
+    # a boundary pair needs a value from the last row of slice s and from the
+    # first row of s + 1 (as inside a slice, pairs with a NULL value are not
+    # counted)
     out = (agg.where(~edge | (F.col("f").isNotNull() & F.col("l").isNotNull()))
            .select(F.when(F.col("k") == _VISIT, "visit").otherwise("pair").alias("kind"),
                    F.when(edge, F.col("l")).otherwise(F.col("a")).alias("from_value"),
