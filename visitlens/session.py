@@ -89,7 +89,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset (local tests) a private folder is created.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return configured
