@@ -55,15 +55,3 @@ def test_scale_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == 409600  # 100 TB / 256 MB
     assert int(scale_conf(2**30, 64)["spark.sql.shuffle.partitions"]) == 192  # three waves
 
-
-def test_checkpoint_dir_prefers_the_cluster_setting(spark):
-    from visitlens.session import checkpoint_dir
-    before = checkpoint_dir(spark)
-    shared = f"{before}/shared-{uuid.uuid4().hex}"
-    spark.conf.set("spark.checkpoint.dir", shared)
-    try:
-        assert checkpoint_dir(spark) == shared
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-        spark.sparkContext.setCheckpointDir(before)
-    assert checkpoint_dir(spark) == before
