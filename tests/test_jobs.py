@@ -55,3 +55,18 @@ def test_scale_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == 409600  # 100 TB / 256 MB
     assert int(scale_conf(2**30, 64)["spark.sql.shuffle.partitions"]) == 192  # three waves
 
+
+
+def test_checkpoint_dir_comes_from_the_session(tmp_path):
+    """A session started with spark.checkpoint.dir uses exactly that folder
+    (own process: the setting is fixed when the context starts)."""
+    import os
+    import subprocess
+    import sys
+    shared = str(tmp_path / "shared")
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "from visitlens.session import build_session, checkpoint_dir\n"
+            "s = build_session('local[1]', extra={'spark.checkpoint.dir': %r})\n"
+            "print('DIR=' + checkpoint_dir(s)); s.stop()\n") % (os.path.dirname(os.path.dirname(os.path.abspath(__file__))), shared)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert f"DIR={shared}" in out.stdout, out.stderr[-2000:]

@@ -86,7 +86,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     A cluster names it in ``spark.checkpoint.dir``; that value is used as is.
-    Only when it is unset (local tests) a private folder is created.
+    Only when it is unset on a local master (tests) a private folder is
+    created; a cluster without the setting is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -96,6 +97,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.conf.get("visitlens.checkpoint.dir", None)
     if current:
         return current
+    if not sc.master.startswith("local"):
+        # executors on other machines cannot see a driver-local folder
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     path = tempfile.mkdtemp(prefix="visitlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     spark.conf.set("visitlens.checkpoint.dir", path)
