@@ -70,3 +70,21 @@ def test_checkpoint_dir_comes_from_the_session(tmp_path):
             "print('DIR=' + checkpoint_dir(s)); s.stop()\n") % (os.path.dirname(os.path.dirname(os.path.abspath(__file__))), shared)
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
     assert f"DIR={shared}" in out.stdout, out.stderr[-2000:]
+
+
+def test_cli_page_job(spark, tmp_path):
+    """``python -m visitlens page`` writes the rows and the text form."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = str(tmp_path / "out")
+    params = json.dumps({"startDate": "2024-01-01", "endDate": "2024-01-30", "targetPageFlow": "1,2,3"})
+    run = subprocess.run([sys.executable, "-m", "visitlens", "page", "--data", SF_SMALL, "--out", out,
+                          "--params", params, "--master", "local[2]"],
+                         cwd=repo, capture_output=True, text=True, timeout=600)
+    assert run.returncode == 0, run.stderr[-2000:]
+    rows = spark.read.parquet(f"{out}/page_split_convert_rate").collect()
+    assert sorted(r.step for r in rows) == [1, 2] and len({r.taskid for r in rows}) == 1
+    text = spark.read.parquet(f"{out}/page_split_convert_rate_text").collect()[0].convert_rate
+    assert text.startswith("1_2=") and "|2_3=" in text
