@@ -133,3 +133,17 @@ def test_vip_stream_counts_late_rows_on_their_day(spark):
     q.awaitTermination()
     got = sorted(tuple(r) for r in table.read().collect())
     assert got == [("北京", 1, "2024-01-10"), ("北京", 3, "2024-01-01")]
+
+
+def test_table_readers(spark):
+    from visitlens.streaming.ads import recent_trend
+    from visitlens.streaming.orders import recent_days
+    rows = [("20240101", "23", f"{m:02d}", 1, 1) for m in range(0, 60, 10)]
+    rows += [("20240102", "00", "30", 1, 5), ("20231231", "23", "59", 2, 9)]
+    trend = spark.createDataFrame(rows, "date string, hour string, minute string, adid long, click_count long")
+    got = sorted((r.date, r.hour, r.minute) for r in recent_trend(trend, 60).collect())
+    # latest minute 2024-01-02 00:30 -> minutes after 23:30 the day before
+    assert got == [("20240101", "23", "40"), ("20240101", "23", "50"), ("20240102", "00", "30")]
+    vips = spark.createDataFrame([("P", 1, "2024-01-28"), ("P", 2, "2024-01-29"), ("P", 3, "2024-01-30")],
+                                 "province string, cnt long, dt string")
+    assert sorted(r.dt for r in recent_days(vips, "2024-01-30 12:00:00").collect()) == ["2024-01-29", "2024-01-30"]
