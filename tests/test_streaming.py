@@ -21,10 +21,11 @@ def _click(user, ad, minute=0, province="P1", city="C1"):
 def test_blacklist_loop_and_replay(spark):
     root = f"{checkpoint_dir(spark)}/ads-{uuid.uuid4().hex}"
     t = AdTables.at(spark, root)
-    t.seed_blacklist(spark.createDataFrame([(9,)], "userid long"))
+    t.seed_blacklist(spark.createDataFrame([(9,), (73,)], "userid long"))
     b0 = _lines(spark, [_click(5, 1), _click(5, 1), _click(6, 1), _click(9, 1), "junk line"])
     process_ad_batch(t, b0, 0, threshold=1)
-    assert sorted(r.userid for r in t.blacklist.read().collect()) == [5, 9]
+    assert sorted(r.userid for r in t.blacklist.read().collect()) == [5, 9, 73]
+    assert len(t.blacklist.latest_paths()) == 2  # buckets 5 and 9 (73 % 64 = 9): 5 written by batch 0
     assert [(r.value, r.batch_id) for r in t.rejects().collect()] == [("junk line", 0)]
     counts = {(r.userid, r.adid): r.click_count for r in t.user_clicks.read().collect()}
     assert counts == {(5, 1): 2, (6, 1): 1}  # listed user 9 filtered first
@@ -32,7 +33,7 @@ def test_blacklist_loop_and_replay(spark):
     process_ad_batch(t, b1, 1, threshold=1)
     counts = {(r.userid, r.adid): r.click_count for r in t.user_clicks.read().collect()}
     assert counts == {(5, 1): 2, (6, 1): 2, (6, 2): 1}  # user 5 listed after batch 0
-    assert sorted(r.userid for r in t.blacklist.read().collect()) == [5, 6, 9]
+    assert sorted(r.userid for r in t.blacklist.read().collect()) == [5, 6, 9, 73]
     before = {name: sorted(tuple(r) for r in getattr(t, name).read().collect())
               for name in ("user_clicks", "ad_stat", "province_top3", "trend", "blacklist")}
     process_ad_batch(t, b1, 1, threshold=1)  # replayed batch: same tables (Q16)
@@ -102,7 +103,7 @@ def test_unpaid_stream_window_and_late_rows(spark):
     drop("c.txt", [_course_line(5, "enterOrderPage", t0 + 21 * day)], 3_000)
     drop("d.txt", [_course_line(3, "enterOrderPage", t0 + 40)], 4_000)  # late, after eviction
     vip = spark.createDataFrame([(2, 2)], "id long, uid long")
-    table = VersionedTable(spark, f"{root}/unpayment_record", UNPAID_SCHEMA)
+    table = VersionedTable(spark, f"{root}/unpayment_record", UNPAID_SCHEMA, "bucket")
     q = start_unpaid_stream(read_text_stream(spark, src, 1), vip, table, f"{root}/ckpt",
                             watermark="4 days", available_now=True)
     q.awaitTermination()

@@ -29,13 +29,20 @@ def _schema(*cols):
     return T.StructType([T.StructField(n, t, True) for n, t in cols])
 
 
-BLACKLIST_SCHEMA = _schema(("userid", L))
+BLACKLIST_SCHEMA = _schema(("userid", L), ("bucket", L))
 USER_CLICK_SCHEMA = _schema(("date", S), ("userid", L), ("adid", L), ("click_count", L))
 AD_STAT_SCHEMA = _schema(("date", S), ("province", S), ("city", S), ("adid", L), ("click_count", L))
 PROVINCE_TOP_SCHEMA = _schema(("date", S), ("province", S), ("adid", L), ("click_count", L))
 TREND_SCHEMA = _schema(("date", S), ("hour", S), ("minute", S), ("adid", L), ("click_count", L))
 
 SEED_VERSION = -1
+# The blacklist is partitioned by ``userid % USER_BUCKETS``: a batch rewrites
+# only the buckets its new users fall in.
+USER_BUCKETS = 64
+
+
+def with_bucket(df: DataFrame, key: str, buckets: int = USER_BUCKETS) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.col(key), F.lit(buckets)).cast("bigint"))
 
 
 @dataclass
@@ -50,9 +57,9 @@ class AdTables:
     @classmethod
     def at(cls, spark: SparkSession, root: str) -> "AdTables":
         root = root.rstrip("/")
-        # the count tables are partitioned by day: a batch rewrites only the
-        # days it touched; the blacklist (bounded by the user count) is whole
-        return cls(VersionedTable(spark, f"{root}/ad_blacklist", BLACKLIST_SCHEMA),
+        # the count tables are partitioned by day and the blacklist by user
+        # bucket: a batch rewrites only the partitions it touched
+        return cls(VersionedTable(spark, f"{root}/ad_blacklist", BLACKLIST_SCHEMA, "bucket"),
                    VersionedTable(spark, f"{root}/ad_user_click_count", USER_CLICK_SCHEMA, "date"),
                    VersionedTable(spark, f"{root}/ad_stat", AD_STAT_SCHEMA, "date"),
                    VersionedTable(spark, f"{root}/ad_province_top3", PROVINCE_TOP_SCHEMA, "date"),
@@ -71,7 +78,7 @@ class AdTables:
     def seed_blacklist(self, users: DataFrame) -> None:
         """Initial ``ad_blacklist`` (only when the table has no version)."""
         if not self.blacklist.versions():
-            self.blacklist.write(users.select("userid").distinct(), SEED_VERSION)
+            self.blacklist.write(with_bucket(users.select("userid").distinct(), "userid"), SEED_VERSION)
 
 
 def process_ad_batch(tables: AdTables, lines: DataFrame, batch_id: int, threshold: int = 100) -> None:
@@ -83,32 +90,39 @@ def process_ad_batch(tables: AdTables, lines: DataFrame, batch_id: int, threshol
         rejects = ad_rejects(lines)
         if not rejects.isEmpty():  # P6 reject output; no empty folder per batch
             append_batch(rejects, tables.rejects_path, batch_id)
-        listed = tables.blacklist.read(before=batch_id)
+        listed = tables.blacklist.read(before=batch_id).select("userid")
         kept = ads.remove_blacklisted(clicks, listed)
         # the days of this batch (a handful of values): only these partitions
         # of the count tables are read and rewritten
         days = [r[0] for r in kept.select(format_date_key("ts")).distinct().collect()]
+        if not days:  # nothing kept: no table changes
+            return
         # Running (day, user, ad) totals, then users over the threshold.
         # Merged totals are kept for the batch (recomputable from the
         # versions below it if an executor is lost) instead of read back.
         delta = ads.user_click_counts(kept)
         keys = ["date", "userid", "adid"]
         totals = merge_add(tables.user_clicks.read(batch_id, days), delta, keys, "click_count").persist()
+        persisted.append(totals)
         tables.user_clicks.write(totals, batch_id)
         touched = totals.join(delta.select(*keys), keys, "left_semi")
-        fresh = ads.over_threshold_users(touched, listed, threshold)
-        tables.blacklist.write(append_new(listed, fresh, ["userid"]), batch_id)
+        fresh = with_bucket(ads.over_threshold_users(touched, listed, threshold), "userid").persist()
+        persisted.append(fresh)
+        buckets = [r[0] for r in fresh.select("bucket").distinct().collect()]
+        if buckets:
+            tables.blacklist.write(append_new(tables.blacklist.read(batch_id, buckets), fresh, ["userid"]),
+                                   batch_id)
         # Running totals by (day, province, city, ad)
         stat_delta = ads.ad_stat(kept)
         stat = merge_add(tables.ad_stat.read(batch_id, days), stat_delta,
                          ["date", "province", "city", "adid"], "click_count").persist()
+        persisted.append(stat)
         tables.ad_stat.write(stat, batch_id)
         # Re-rank only the (day, province) groups this batch touched
         groups = stat_delta.select("date", "province").distinct()
         current = stat.join(groups, ["date", "province"], "left_semi")
         tables.province_top3.write(replace_groups(tables.province_top3.read(batch_id, days),
                                                   ads.province_top3(current), ["date", "province"]), batch_id)
-        persisted += [totals, stat]
         # Full event-time count per minute (Q26 fixed)
         tables.trend.write(merge_add(tables.trend.read(batch_id, days), ads.click_trend(kept),
                                      ["date", "hour", "minute", "adid"], "click_count"), batch_id)

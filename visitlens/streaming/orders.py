@@ -26,7 +26,10 @@ from visitlens.sinks.tables import VersionedTable, append_new, merge_add
 from visitlens.sources.logs import parse_course_lines
 
 UNPAID_SCHEMA = T.StructType([T.StructField("uid", T.LongType(), True),
-                              T.StructField("phone", T.StringType(), True)])
+                              T.StructField("phone", T.StringType(), True),
+                              T.StructField("bucket", T.LongType(), True)])
+# the follow-up set is partitioned by ``uid % USER_BUCKETS``
+USER_BUCKETS = 64
 VIP_SCHEMA = T.StructType([T.StructField("province", T.StringType(), True),
                            T.StructField("cnt", T.LongType(), True),
                            T.StructField("dt", T.StringType(), True)])
@@ -46,7 +49,8 @@ def start_unpaid_stream(lines: DataFrame, vip: DataFrame, table: VersionedTable,
                         processing_time: str | None = "10 seconds") -> StreamingQuery:
     """(uid, phone) with more than ``min_visits`` order-page visits in a
     sliding event-time window (ST3), minus VIPs (J8), kept as a set (K7).
-    ``watermark`` defaults to the window length."""
+    ``watermark`` defaults to the window length. The table is partitioned
+    by ``uid`` bucket; a batch rewrites the buckets of its new members."""
     orders = (parse_course_lines(lines).where(F.col("event_key") == "enterOrderPage")
               .withWatermark("ts", watermark or window))
     counts = (orders.groupBy(F.window("ts", window, slide), "uid", "phone")
@@ -54,8 +58,12 @@ def start_unpaid_stream(lines: DataFrame, vip: DataFrame, table: VersionedTable,
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         hits = batch.where(F.col("visits") > min_visits).select("uid", "phone").distinct()
-        hits = drop_members(hits, vip.select("uid"), "uid")
-        table.write(append_new(table.read(before=batch_id), hits, ["uid", "phone"]), batch_id)
+        hits = (drop_members(hits, vip.select("uid"), "uid")
+                .withColumn("bucket", F.pmod(F.col("uid"), F.lit(USER_BUCKETS)).cast("bigint")).persist())
+        buckets = [r[0] for r in hits.select("bucket").distinct().collect()]  # only these are rewritten
+        if buckets:
+            table.write(append_new(table.read(batch_id, buckets), hits, ["uid", "phone"]), batch_id)
+        hits.unpersist()
 
     return _writer(counts, sink, checkpoint, "update", available_now, processing_time).start()
 

@@ -78,12 +78,12 @@ def run_unpaid_stream(spark: SparkSession, sf_dir: str, files: int = 4, watermar
     if key not in _done:
         root = scratch(spark, "unpaid")
         staged = _course_stage(spark, sf_dir, root, files)
-        table = VersionedTable(spark, f"{root}/unpayment_record", UNPAID_SCHEMA)
+        table = VersionedTable(spark, f"{root}/unpayment_record", UNPAID_SCHEMA, "bucket")
         q = start_unpaid_stream(read_text_stream(spark, staged, 1), src.vip_users(spark, sf_dir), table,
                                 f"{root}/checkpoint", watermark=watermark, available_now=True)
         q.awaitTermination()
         _done[key] = table
-    return _done[key].read()
+    return _done[key].read().select("uid", "phone")
 
 
 def run_vip_stream(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
