@@ -43,6 +43,8 @@ def build_session(master: str | None = None, app: str = "visitlens",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # reliable checkpoints are deleted once no DataFrame refers to them
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **RUNTIME_CONF,
     }
     if shuffle_partitions:
@@ -74,6 +76,7 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **RUNTIME_CONF,
     }
     if stream_state:
