@@ -137,7 +137,8 @@ def process_ad_batch(tables: AdTables, lines: DataFrame, batch_id: int, threshol
         if not rejects.isEmpty():  # P6 reject output; no empty folder per batch
             append_batch(rejects, tables.rejects_path, batch_id)
         listed = tables.blacklist.read(before=batch_id).select("userid")
-        kept = ads.remove_blacklisted(clicks, listed)
+        kept = ads.remove_blacklisted(clicks, listed).persist()  # feeds the day list and all three chains
+        persisted.append(kept)
         # the days of this batch (a handful of values): only these partitions
         # of the count tables are read and rewritten
         days = [r[0] for r in kept.select(format_date_key("ts")).distinct().collect()]
