@@ -25,7 +25,7 @@ def test_blacklist_loop_and_replay(spark):
     b0 = _lines(spark, [_click(5, 1), _click(5, 1), _click(6, 1), _click(9, 1), "junk line"])
     process_ad_batch(t, b0, 0, threshold=1)
     assert sorted(r.userid for r in t.blacklist.read().collect()) == [5, 9, 73]
-    assert len(t.blacklist.latest_paths()) == 2  # buckets 5 and 9 (73 % 64 = 9): 5 written by batch 0
+    assert len(t.blacklist.latest_paths()) == 2  # buckets 5 and 9 (73 % 16 = 9): 5 written by batch 0
     assert [(r.value, r.batch_id) for r in t.rejects().collect()] == [("junk line", 0)]
     counts = {(r.userid, r.adid): r.click_count for r in t.user_clicks.read().collect()}
     assert counts == {(5, 1): 2, (6, 1): 1}  # listed user 9 filtered first

@@ -39,7 +39,7 @@ TREND_SCHEMA = _schema(("date", S), ("hour", S), ("minute", S), ("adid", L), ("c
 SEED_VERSION = -1
 # The blacklist is partitioned by ``userid % USER_BUCKETS``: a batch rewrites
 # only the buckets its new users fall in.
-USER_BUCKETS = 64
+USER_BUCKETS = 16
 
 
 def with_bucket(df: DataFrame, key: str, buckets: int = USER_BUCKETS) -> DataFrame:

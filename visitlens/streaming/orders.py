@@ -29,7 +29,7 @@ UNPAID_SCHEMA = T.StructType([T.StructField("uid", T.LongType(), True),
                               T.StructField("phone", T.StringType(), True),
                               T.StructField("bucket", T.LongType(), True)])
 # the follow-up set is partitioned by ``uid % USER_BUCKETS``
-USER_BUCKETS = 64
+USER_BUCKETS = 16
 VIP_SCHEMA = T.StructType([T.StructField("province", T.StringType(), True),
                            T.StructField("cnt", T.LongType(), True),
                            T.StructField("dt", T.StringType(), True)])
