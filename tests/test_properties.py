@@ -68,3 +68,40 @@ def test_report_properties(spark):
     assert max(Counter(t.area for t in top3).values()) <= 3
     rates = [p.rate for p in q["b8_page_conversion"](spark, SF_CHECK).collect() if p.rate is not None]
     assert all(x >= 0 for x in rates)
+
+
+KV = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3), st.integers(1, 9)), max_size=12)
+
+
+def _unique(rows):
+    out = {}
+    for g, k, n in rows:
+        out[(g, k)] = n
+    return [(g, k, n) for (g, k), n in out.items()]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(old=KV, delta=KV)
+def test_merge_meanings_random(spark, old, delta):
+    from visitlens.sinks.tables import append_new, merge_add, merge_overwrite, replace_groups
+    old = _unique(old)
+    schema = "g long, k long, n long"
+    o, d = spark.createDataFrame(old, schema), spark.createDataFrame(delta, schema)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    # add: sums per key
+    want = Counter({(g, k): n for g, k, n in old})
+    for g, k, n in delta:
+        want[(g, k)] += n
+    assert rows(merge_add(o, d, ["g", "k"], "n")) == sorted((g, k, n) for (g, k), n in want.items())
+    # overwrite: delta rows replace equal keys (delta made unique first)
+    du = _unique(delta)
+    dd = spark.createDataFrame(du, schema)
+    keys = {(g, k) for g, k, _ in du}
+    assert rows(merge_overwrite(o, dd, ["g", "k"])) == sorted([r for r in old if (r[0], r[1]) not in keys] + du)
+    # replace groups: every group of delta is replaced whole
+    groups = {g for g, _, _ in delta}
+    assert rows(replace_groups(o, d, ["g"])) == sorted([r for r in old if r[0] not in groups] + list(delta))
+    # insert new only: existing keys keep their row, new keys once
+    got = rows(append_new(o, d, ["g", "k"]))
+    assert {(g, k) for g, k, _ in got} == {(g, k) for g, k, _ in old} | {(g, k) for g, k, _ in delta}
+    assert all(r in got for r in old) and len(got) == len({(g, k) for g, k, _ in got})
