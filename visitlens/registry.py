@@ -11,6 +11,7 @@ from visitlens.params import TaskParams
 from visitlens.plans import ads, course, page, product, session
 from visitlens.session import configure
 from visitlens.streaming import runs
+from visitlens.streaming.ads import recent_trend
 
 FLAGSHIP = "b10_area_top3"
 
@@ -79,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "st_ad_stat": _q(lambda s, d: runs.run_ad_stream(s, d).ad_stat.read()),
         "st_province_top3": _q(lambda s, d: runs.run_ad_stream(s, d).province_top3.read()),
         "st_click_trend": _q(lambda s, d: runs.run_ad_stream(s, d).trend.read()),
+        "st_click_trend_last_hour": _q(lambda s, d: recent_trend(runs.run_ad_stream(s, d).trend.read(), 60)),
         "st_unpaid_followups": _q(lambda s, d: runs.run_unpaid_stream(s, d)),
         "st_new_vips": _q(lambda s, d: runs.run_vip_stream(s, d)),
     }
@@ -120,6 +122,7 @@ def oracle_sql() -> dict[str, str]:
         "st_ad_stat": O.ad_stat_sql(),
         "st_province_top3": O.province_top3_sql(),
         "st_click_trend": O.click_trend_sql(),
+        "st_click_trend_last_hour": O.click_trend_sql(last_hour=True),
         "st_unpaid_followups": O.unpaid_followups_sql(),
         "st_new_vips": O.new_vips_sql(),
     }
