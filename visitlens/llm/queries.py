@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlens.llm import packing
+from visitlens.llm import packing, secrets
 from visitlens.llm.common import table
 
 
@@ -21,9 +21,14 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.digest(secrets.secret_spans(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack}
+    return {"op1_pack": op1_pack, "op2_secrets": op2_secrets}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_secrets": secrets.digest_sql()}
