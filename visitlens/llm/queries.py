@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlens.llm import mixing, packing, secrets
+from visitlens.llm import mixing, packing, secrets, urlfilter
 from visitlens.llm.common import table
 
 
@@ -30,9 +30,14 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge(pages, urlfilter.rule_table(spark)).drop("url")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack, "op2_secrets": op2_secrets, "op3_mix": op3_mix}
+    return {"op1_pack": op1_pack, "op2_secrets": op2_secrets, "op3_mix": op3_mix, "op4_url_filter": op4_url_filter}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secrets": secrets.digest_sql()}
+    return {"op2_secrets": secrets.digest_sql(), "op4_url_filter": urlfilter.judge_sql()}
