@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlens.llm import mixing, packing, secrets, urlfilter
+from visitlens.llm import mixing, neardup, packing, secrets, urlfilter
 from visitlens.llm.common import table
 
 
@@ -35,8 +35,12 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(pages, urlfilter.rule_table(spark)).drop("url")
 
 
+def op5_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack, "op2_secrets": op2_secrets, "op3_mix": op3_mix, "op4_url_filter": op4_url_filter}
+    return {"op1_pack": op1_pack, "op2_secrets": op2_secrets, "op3_mix": op3_mix, "op4_url_filter": op4_url_filter, "op5_neardup": op5_neardup}
 
 
 def oracle_sql() -> dict[str, str]:
