@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlens.llm import mixing, neardup, packing, secrets, simhash, urlfilter
+from visitlens.llm import langid, mixing, neardup, packing, secrets, simhash, urlfilter
 from visitlens.llm.common import table
 
 
@@ -43,8 +43,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack, "op2_secrets": op2_secrets, "op3_mix": op3_mix, "op4_url_filter": op4_url_filter, "op5_neardup": op5_neardup, "op7_simhash": op7_simhash}
+    return {"op1_pack": op1_pack, "op2_secrets": op2_secrets, "op3_mix": op3_mix, "op4_url_filter": op4_url_filter, "op5_neardup": op5_neardup, "op7_simhash": op7_simhash, "op9_langid": op9_langid}
 
 
 def oracle_sql() -> dict[str, str]:
