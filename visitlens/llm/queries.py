@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlens.llm import langid, mixing, neardup, packing, secrets, simhash, urlfilter
+from visitlens.llm import langid, mixing, neardup, packing, quality, secrets, simhash, urlfilter
 from visitlens.llm.common import table
 
 
@@ -47,8 +47,12 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack, "op2_secrets": op2_secrets, "op3_mix": op3_mix, "op4_url_filter": op4_url_filter, "op5_neardup": op5_neardup, "op7_simhash": op7_simhash, "op9_langid": op9_langid}
+    return {"op1_pack": op1_pack, "op2_secrets": op2_secrets, "op3_mix": op3_mix, "op4_url_filter": op4_url_filter, "op5_neardup": op5_neardup, "op7_simhash": op7_simhash, "op9_langid": op9_langid, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
