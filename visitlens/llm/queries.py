@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlens.llm import langid, lmscore, mixing, neardup, packing, quality, secrets, simhash, urlfilter
+from visitlens.llm import langid, licenses, lmscore, mixing, neardup, packing, quality, secrets, simhash, urlfilter
 from visitlens.llm.common import table
 
 
@@ -55,8 +55,12 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score(table(spark, sf_dir, "documents"))
 
 
+def op8_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack, "op2_secrets": op2_secrets, "op3_mix": op3_mix, "op4_url_filter": op4_url_filter, "op5_neardup": op5_neardup, "op6_lm_score": op6_lm_score, "op7_simhash": op7_simhash, "op9_langid": op9_langid, "op10_quality": op10_quality}
+    return {"op1_pack": op1_pack, "op2_secrets": op2_secrets, "op3_mix": op3_mix, "op4_url_filter": op4_url_filter, "op5_neardup": op5_neardup, "op6_lm_score": op6_lm_score, "op7_simhash": op7_simhash, "op8_license": op8_license, "op9_langid": op9_langid, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
