@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import arrow_rows, stage, texts_as_bytes
+from visitlens.llm.common import arrow_rows, chunks, stage, texts_as_bytes
 
 WINDOW = 2048
 EOS = 1
@@ -31,7 +31,7 @@ SINGLES = (256, 512, 1024)
 FREQUENT = 8
 SWEEPS = 20
 #: entries of a worker's word cache before it starts anew
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
@@ -43,64 +43,92 @@ class WordEncoder:
     """Token ids of whole texts by ``tokenizers``, word by word with a cache.
 
     Only for tokenizers that drop white space and never look across it (such
-    as word_bpe_49k): a text's ids are then those of its words in order.
-    Words not in the cache are encoded together, joined by spaces, and told
-    apart by offsets.
+    as word_bpe_49k): a text's ids are then those of its words in order. Words
+    not in the cache are encoded together, joined by spaces, and told apart by
+    offsets. If the tokenizer puts letters in lower case and gives a run of
+    them to a byte-level BPE model, a run of plain Latin letters goes straight
+    to that model; a probe on start-up finds out whether it does.
     """
 
+    PROBE = ("abc", "the", "straße", "über", "çentión", "naïvely", "x", "qzxjkvw")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        #: the characters that stand for bytes in byte-level vocabularies
+        self.byte_chars = {b: chr(256 + i) for i, b in enumerate(hidden)}
+        full = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in self.PROBE]
+        upper = [self.tokenizer.encode(w.upper(), add_special_tokens=False).ids for w in ("ABC", "THE")]
+        marked = [self.tokenizer.encode("ab" + m, add_special_tokens=False).ids for m in ".,!?;:"]
+        apart = [self.tokenizer.encode("ab " + m, add_special_tokens=False).ids for m in ".,!?;:"]
+        self.plain = (upper == full[:2] and marked == apart
+                      and all(self._ids(x) == self._run(w) for x, w in zip(full, self.PROBE)))
+        #: texts with these bytes may hold a special token, which is told by case
+        self.special = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[bytes, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+
+    def _ids(self, ids: list[int]) -> bytes:
+        return np.array(ids, dtype=self.kind).tobytes()
+
+    def _run(self, letters: str) -> bytes:
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self.byte_chars)
+        return self._ids([t.id for t in self.model.tokenize(letters)])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         enc = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
         ids = np.array(enc.ids, dtype=self.kind)
         starts = np.cumsum([0] + [len(x) + 1 for x in texts[:-1]])
         at = np.array([a for a, _ in enc.offsets], dtype=np.int64)
-        cuts = np.searchsorted(at, starts)
-        return [x.tobytes() for x in np.split(ids, cuts[1:])]
+        cuts = np.searchsorted(at, starts).tolist() + [len(ids)]
+        raw, width = ids.tobytes(), ids.itemsize
+        return [raw[a * width:b * width] for a, b in zip(cuts, cuts[1:])]
 
     def _learn(self, missing: list[bytes]) -> None:
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        if len(self.cores) > 2 * CACHE_WORDS:
-            self.cores.clear()
-        plain, cores, rest = [], set(), []
+        rest, words, runs = [], self.words, self.runs
         for w in missing:
             s = w.decode("utf-8", "replace")
-            # letters and at most one mark behind them: the mark is a token of its own
-            core, mark = (s[:-1], s[-1]) if s[-1] in ".,!?;:" else (s, "")
-            low = core.lower()
-            if core and core.isalpha() and low.isalpha() and len(low) == len(core):
-                plain.append((w, low, mark))
-                if low not in self.cores:
-                    cores.add(low)
-                if mark and mark not in self.cores:
-                    cores.add(mark)
+            # letters and at most one mark behind them, which is a token of its own
+            run, mark = (s[:-1], s[-1]) if s[-1] in ".,!?;:" else (s, "")
+            if self.plain and run.isalpha() and max(run) < "\u0180" and run == run.lower():
+                ids = runs.get(run)
+                if ids is None:
+                    ids = runs[run] = self._run(run)
+                if mark:
+                    tail = runs.get(mark)
+                    if tail is None:
+                        tail = runs[mark] = self._ids(self.tokenizer.encode(mark, add_special_tokens=False).ids)
+                    ids += tail
+                words[w] = ids
             else:
-                rest.append((w, s))
-        todo = list(cores)
-        for part in (todo[i:i + 5000] for i in range(0, len(todo), 5000)):
-            self.cores.update(zip(part, self._encode(part)))
-        for w, low, mark in plain:
-            self.words[w] = self.cores[low] + self.cores[mark] if mark else self.cores[low]
-        for part in (rest[i:i + 5000] for i in range(0, len(rest), 5000)):
-            self.words.update(zip((w for w, _ in part), self._encode([s for _, s in part])))
+                rest.append(s)
+                words[w] = None
+        if rest:
+            todo = [w for w in missing if words[w] is None]
+            for i in range(0, len(rest), 5000):
+                words.update(zip(todo[i:i + 5000], self._encode(rest[i:i + 5000])))
+
+    def _lower(self, text: bytes) -> bytes:
+        low = text.lower() if self.plain else text
+        return text if self.plain and any(x in low for x in self.special) else low
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        missing = list({w for ws in split for w in ws if w not in self.words})
-        if missing:
-            self._learn(missing)
-            # clearing may have dropped words of this batch that were known before
-            again = list({w for ws in split for w in ws if w not in self.words})
-            if again:
-                self._learn(again)
-        get = self.words.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+        out = []
+        for part in chunks((self._lower(t).split() for t in texts), len, 100_000):
+            for cache in (self.words, self.runs):
+                if len(cache) > CACHE_WORDS:
+                    cache.clear()
+            missing = [w for w in set().union(*part) if w not in self.words]
+            if missing:
+                self._learn(missing)
+            get = self.words.__getitem__
+            out += [b"".join(map(get, ws)) for ws in part]
+        return out
 
 
 _encoders: dict[str, WordEncoder] = {}
