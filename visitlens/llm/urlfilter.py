@@ -90,9 +90,11 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
     host, path, rule (host and path of the longest rule that fits, or null),
     verdict (the rule's, else ``default``). A rule fits its host and all
     subdomains if the url's path starts with the rule's; of two equally long
-    ones the longer host wins. A rule with a null host or path is dropped."""
+    ones the longer host wins. A rule with a null host or path is dropped.
+    Columns of ``pages`` with the results' names are replaced."""
     host, path = host_and_path(pages["url"])
-    named = pages.select(F.struct(*[pages[c] for c in pages.columns]).alias("_row"), host.alias("_host"), path.alias("_path"))
+    keep = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    named = pages.select(F.struct(*[pages[c] for c in keep]).alias("_row"), host.alias("_host"), path.alias("_path"))
     rules = rules.where("host is not null and path is not null")
     places = named.select("_host", "_path").distinct()
     labels = F.split("_host", r"\.", -1)
@@ -103,7 +105,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
     best = (tried.join(top, "key").where("top.name is not null").groupBy("_host", "_path")
             .agg(F.max_by("top", F.struct(F.length("top.name"), F.length("host"))).alias("top")))
     out = named.join(best, ["_host", "_path"], "left")
-    return out.select(*[F.col("_row")[c].alias(c) for c in pages.columns], F.col("_host").alias("host"), F.col("_path").alias("path"),
+    return out.select(*[F.col("_row")[c].alias(c) for c in keep], F.col("_host").alias("host"), F.col("_path").alias("path"),
                       F.col("top.name").alias("rule"), F.coalesce("top.verdict", F.lit(default)).alias("verdict"))
 
 
