@@ -23,7 +23,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the models recognise; a text that is null, has
     no letter, or lies beyond every model's limits goes."""
     arrow_rows(spark)
-    return langid.identify(docs, langid.train(docs), docs.columns).where("not rejected").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), docs["text"])
+    return langid.identify(rows, langid.train(docs), ["_doc"]).where("not rejected").select("_doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
