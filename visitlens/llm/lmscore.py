@@ -140,7 +140,7 @@ def _score(buckets: int, corpus: int):
         pair = others(c.pair, c.doc[c.second], count[v:])
         seen = pair > 0
         logs[c.second] = np.where(seen, np.log(np.maximum(pair, 1) / np.maximum(word[c.second - 1], 1)), np.log(ALPHA) + logs[c.second])
-        total = np.bincount(c.doc, weights=logs, minlength=m)
+        total = np.bincount(c.doc, weights=logs, minlength=m).astype(np.float64)
         backed = np.bincount(c.doc[c.second], weights=~seen, minlength=m).astype(np.int64)
         empty = c.sizes == 0
         mean = pa.array(total / np.maximum(c.sizes, 1), pa.float64(), mask=empty)
