@@ -31,7 +31,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
-    return spark.createDataFrame([tuple(r) for r in rules], "verdict string, host string, path string")
+    """A literal table (verdict, host, path)."""
+    rows = [F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(("verdict", "host", "path"), r)]) for r in rules]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
