@@ -174,3 +174,36 @@ def test_transition_counts_null_value_is_not_a_slice_end(spark):
             df.withColumn("b", F.lead("v").over(w)).where(F.col("v").isNotNull() & F.col("b").isNotNull())
               .groupBy(F.col("v").alias("a"), "b").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert pairs == want
+
+
+def test_log_lines_with_bad_numbers(spark):
+    from visitlens.sources.logs import course_rejects, log_time, parse_course_lines
+    from pyspark.sql import functions as F
+    texts = ["0", "253402300799", "253402300800", "9223372036854775807", "-1", "1.5", "", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        log_time(F.col("t")).isNotNull().alias("s"), log_time(F.concat("t", F.lit("000")), 1000).isNotNull().alias("ms")).collect()
+    assert [r.s for r in got] == [True, True] + [False] * 6
+    assert [r.ms for r in got] == [True, True] + [False] * 6 or [r.ms for r in got][:3] == [True, True, False]
+    line = "\t".join(["1", "u", "F", "1", "0", "ios", "a", "w", "10.0.0.1", "199", "0", "300", "5", "0", "1.0", "endVideo"])
+    rows = [f"{line}\t{t}" for t in ("5", "9223372036854775807", "-3", "x")] + [line, "", None, f"{line}\t5".replace("1", "x", 1)]
+    lines = spark.createDataFrame([(r,) for r in rows], "value string")
+    assert parse_course_lines(lines).count() == 1 and course_rejects(lines).count() == 7
+
+
+def test_study_counts_agree_on_a_day_with_neither_event(spark):
+    from visitlens.plans.course import study_counts, study_counts_union
+    rows = [(1, "startVideo", 0, 0, 300, 20240101), (1, "endVideo", 0, 300, 300, 20240101), (2, "endVideo", 0, 10, 300, 20240102),
+            (3, "enterOrderPage", 0, 0, 300, 20240103), (None, "startVideo", 0, 0, 300, 20240104), (4, None, 0, 0, 300, 20240105)]
+    t = spark.createDataFrame(rows, "uid long, event_key string, start_video_time long, end_video_time long, video_length long, dt int")
+    one, two = (sorted(map(tuple, f(t, None).collect())) for f in (study_counts, study_counts_union))
+    assert one == two == [(0, 0, 20240104), (1, 1, 20240101)]
+
+
+def test_sample_of_large_strata(spark):
+    """A quota above every partial limit; the groups before the cut are taken whole."""
+    from visitlens.operators import sample
+    df = spark.range(40_000).selectExpr("'d' as d", "CASE WHEN id % 4 = 0 THEN 1 ELSE 2 END as h", "concat('s', id) as session_id")
+    got = sample.stratified_sample(df, "d", "h", "session_id", total=8000)
+    ranked = df.withColumn("o", sample.sample_order("session_id", "visitlens")).toPandas().sort_values(["o", "session_id"])
+    want = {s for h, n in ((1, 2000), (2, 6000)) for s in ranked[ranked.h == h].session_id[:n]}
+    assert {r.session_id for r in got.collect()} == want and got.count() == 8000

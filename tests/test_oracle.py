@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from visitlens import registry
 from conftest import SF_SMALL
 from oracle_compare import compare, duck
 
-NAMES = list(entry.queries())
+NAMES = list(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(registry.oracle_sql()) == set(registry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

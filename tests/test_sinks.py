@@ -1,11 +1,11 @@
-"""Merge meanings and versioned tables."""
+"""Merge meanings and tables of micro-batches."""
 
 import uuid
 
 from pyspark.sql import types as T
 
 from visitlens.session import checkpoint_dir
-from visitlens.sinks.tables import VersionedTable, append_new, merge_add, merge_overwrite, replace_groups
+from visitlens.sinks.tables import BatchTable, append_new, merge_add, merge_overwrite, replace_groups
 
 
 def _rows(df):
@@ -23,29 +23,47 @@ def test_merges(spark):
     assert len(got) == 4 and ("a", 1, 5) in got  # existing key kept, new key once (Q17)
 
 
-def test_versioned_table_read_before(spark):
-    schema = T.StructType([T.StructField("x", T.LongType())])
-    t = VersionedTable(spark, f"{checkpoint_dir(spark)}/vt-{uuid.uuid4().hex}", schema)
+COUNTS = T.StructType([T.StructField("date", T.StringType()), T.StructField("k", T.LongType()), T.StructField("n", T.LongType())])
+
+
+def _counts(spark, name="bt"):
+    return BatchTable(spark, f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}", COUNTS, ["date", "k"], "n", "date")
+
+
+def test_batch_table_adds_and_replays(spark):
+    t = _counts(spark)
     assert t.read().count() == 0
-    t.write(spark.createDataFrame([(1,)], schema), 0)
-    t.write(spark.createDataFrame([(1,), (2,)], schema), 1)
-    assert t.versions() == [0, 1]
-    assert t.read(before=1).count() == 1 and t.read().count() == 2
-    t.write(spark.createDataFrame([(3,)], schema), 1)  # replay of batch 1 replaces it
-    assert _rows(t.read()) == [(3,)]
-    t.vacuum(keep=1)
-    assert t.versions() == [1]
-
-
-def test_partitioned_versions_touch_only_changed_days(spark):
-    schema = T.StructType([T.StructField("date", T.StringType()), T.StructField("n", T.LongType())])
-    t = VersionedTable(spark, f"{checkpoint_dir(spark)}/pvt-{uuid.uuid4().hex}", schema, "date")
-    t.write(spark.createDataFrame([("d1", 1), ("d2", 2)], schema), 0)
-    t.write(spark.createDataFrame([("d2", 5)], schema), 1)  # only day d2 changes
-    assert _rows(t.read()) == [("d1", 1), ("d2", 5)]
-    assert _rows(t.read(before=1)) == [("d1", 1), ("d2", 2)]
-    assert _rows(t.read(partitions=["d2"])) == [("d2", 5)]
-    assert len(t.latest_paths()) == 2
-    t.write(spark.createDataFrame([("d2", 6)], schema), 2)
-    t.vacuum(keep=1)
-    assert _rows(t.read()) == [("d1", 1), ("d2", 6)]
+    t.append(spark.createDataFrame([("d1", 1, 5), ("d2", 1, 1)], COUNTS), "a", 0)
+    t.append(spark.createDataFrame([("d2", 1, 2)], COUNTS), "a", 1)
+    assert _rows(t.read()) == [("d1", 1, 5), ("d2", 1, 3)]
+    assert _rows(t.read("a", 1)) == [("d1", 1, 5), ("d2", 1, 1)]
+    t.append(spark.createDataFrame([("d2", 1, 4)], COUNTS), "a", 1)  # a replay replaces its batch alone
+    assert _rows(t.read()) == [("d1", 1, 5), ("d2", 1, 5)]
+    t.append(spark.createDataFrame([("d2", 1, 1)], COUNTS), "b", 0)  # a new checkpoint adds to what is there
+    assert _rows(t.read()) == [("d1", 1, 5), ("d2", 1, 6)]
+    copy = t.compacted(f"{t.path}-copy")
+    assert _rows(copy.read()) == _rows(t.read()) and copy.rows().select("batch").distinct().count() == 1
+
+
+def test_batch_writes_do_not_depend_on_the_table(spark):
+    """The same batch over an empty table and over one with a large day writes the same bytes."""
+    import os
+
+    def size(t, batch):
+        root = f"{t.path}/run=a/batch={batch}".replace("file://", "")
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(root) for f in names)
+
+    batch = spark.createDataFrame([("d1", i, 1) for i in range(20)], COUNTS).coalesce(1)
+    empty, full = _counts(spark), _counts(spark)
+    full.append(spark.range(200_000).selectExpr("'d1' as date", "id as k", "1L as n"), "a", 0)
+    empty.append(batch, "a", 1)
+    full.append(batch, "a", 1)
+    assert size(empty, 1) == size(full, 1) < size(full, 0) / 10
+
+
+def test_batch_table_as_a_set(spark):
+    schema = T.StructType([T.StructField("x", T.LongType())])
+    t = BatchTable(spark, f"{checkpoint_dir(spark)}/set-{uuid.uuid4().hex}", schema)
+    t.append(spark.createDataFrame([(1,), (2,), (2,)], schema), "a", 0)
+    t.append(spark.createDataFrame([(2,), (3,)], schema), "a", 1)
+    assert _rows(t.read()) == [(1,), (2,), (3,)]

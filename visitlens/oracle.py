@@ -68,7 +68,7 @@ USERS_CTE = """users AS (
 PRODUCTS_CTE = """products AS (
   SELECT p_partkey AS product_id, p_name AS product_name,
          '{"product_status": ' || CAST(p_partkey % 2 AS VARCHAR) || '}' AS extend_info
-  FROM part WHERE p_partkey < 100
+  FROM part
 )"""
 
 CITIES_CTE = "cities(city_id, city_name, area) AS (VALUES " + ", ".join(
@@ -105,7 +105,7 @@ def course_cte(start: str | None = None, end: str | None = None, name: str = "co
     return f"""{name} AS (
   SELECT user_id AS uid, event_id, {key} AS event_key,
          '10.' || CAST(user_id % 8 AS VARCHAR) || '.' || CAST(event_id % 4 AS VARCHAR) || '.1' AS ip,
-         '187014' || lpad(CAST(user_id AS VARCHAR), 5, '0') AS phone,
+         '199000' || lpad(CAST(user_id AS VARCHAR), 5, '0') AS phone,
          CAST({VIDEO_LENGTH} AS BIGINT) AS video_length,
          epoch_us(ts) // 1000000 AS start_video_time,
          CAST(CASE WHEN event_type = 'click'
@@ -353,15 +353,11 @@ beh AS (SELECT uid, event_key, start_video_time, end_video_time, video_length,
 COMPLETED_SQL = "event_key = 'endVideo' AND end_video_time - start_video_time >= video_length"
 
 
-def _dt_filter(day: str | None) -> str:
-    return f"WHERE dt = {_day_int(day)}" if day else ""
-
-
 def daily_study_sql(day: str | None) -> str:
     return f"""WITH {behaviour_cte(day)}
 SELECT count(DISTINCT CASE WHEN event_key = 'startVideo' THEN uid END) AS watch_video_count,
        count(DISTINCT CASE WHEN {COMPLETED_SQL} THEN uid END) AS complete_video_count, dt
-FROM beh {_dt_filter(day)} GROUP BY dt"""
+FROM beh WHERE {_day_cond(day)} (event_key = 'startVideo' OR {COMPLETED_SQL}) GROUP BY dt"""
 
 
 def _day_cond(day: str | None) -> str:
@@ -386,12 +382,12 @@ def course_lines_cte() -> str:
     head = ("CAST(user_id AS VARCHAR), 'user' || CAST(user_id AS VARCHAR), "
             "CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END, '1', '0', 'ios', 'auto', 'wifi', "
             "'10.' || CAST(user_id % 8 AS VARCHAR) || '.' || CAST(event_id % 4 AS VARCHAR) || '.1', "
-            "'187014' || lpad(CAST(user_id AS VARCHAR), 5, '0'), CAST(event_id % 2 AS VARCHAR), "
+            "'199000' || lpad(CAST(user_id AS VARCHAR), 5, '0'), CAST(event_id % 2 AS VARCHAR), "
             f"'{VIDEO_LENGTH}', CAST(epoch_us(ts) // 1000000 AS VARCHAR), "
             "CAST(CASE WHEN event_type = 'click' THEN epoch_us(ts) // 1000000 + 6 * CAST(json_extract_string(props, '$.k') AS BIGINT) ELSE 0 END AS VARCHAR), "
             "'1.0'")
     return f"""lines AS (
-  SELECT CASE WHEN event_type = 'error' THEN concat_ws(chr(9), {head}, {key})
+  SELECT event_id, event_type, CASE WHEN event_type = 'error' THEN concat_ws(chr(9), {head}, {key})
               ELSE concat_ws(chr(9), {head}, {key}, CAST(epoch_us(ts) // 1000000 AS VARCHAR)) END AS value
   FROM events
 ),
@@ -484,3 +480,50 @@ m AS (SELECT date_trunc('minute', ts) AS mt, adid FROM kept {where})
 SELECT strftime(mt, '%Y%m%d') AS date, strftime(mt, '%H') AS hour, strftime(mt, '%M') AS minute,
        adid, count(*) AS click_count
 FROM m GROUP BY mt, adid"""
+
+
+def blacklist_loop_sql(slices, threshold: int, what: str) -> str:
+    """The ad stream batch by batch: who is listed after a batch is dropped from the next."""
+    ctes = [BLACKLIST_CTE, "l0 AS (SELECT userid FROM blacklist)"]
+    for i, (first, last) in enumerate(slices, 1):
+        ctes.append(ad_clicks_cte(first, last).replace("ad_clicks AS", f"c{i} AS", 1))
+        ctes.append(f"""n{i} AS (SELECT strftime(make_timestamp(ts_ms * 1000), '%Y%m%d') AS date, userid, adid, count(*) AS click_count
+  FROM c{i} WHERE userid NOT IN (SELECT userid FROM l{i - 1}) GROUP BY ALL)""")
+        ctes.append(f"l{i} AS (SELECT userid FROM l{i - 1} UNION SELECT userid FROM n{i} WHERE click_count > {threshold})")
+    if what == "list":
+        end = f"SELECT DISTINCT userid FROM l{len(slices)}"
+    else:
+        end = " UNION ALL ".join(f"SELECT date, userid, adid, click_count FROM n{i}" for i in range(1, len(slices) + 1))
+    return "WITH " + ",\n".join(ctes) + "\n" + end
+
+
+def _spoiled_ads_cte() -> str:
+    return """s AS (SELECT event_id % 11 AS kind, ts, user_id, event_id,
+       CAST(epoch_us(ts) // 1000 AS VARCHAR) AS ms,
+       'P' || (user_id % 10) || ' C' || (user_id % 30) || ' ' || user_id AS rest,
+       CAST(event_id % 5 AS VARCHAR) AS ad FROM events WHERE event_type = 'click')"""
+
+
+def ad_rejects_sql() -> str:
+    return f"""WITH {_spoiled_ads_cte()}
+SELECT CASE kind WHEN 0 THEN '9223372036854775807 ' || rest || ' ' || ad WHEN 1 THEN '-1 ' || rest || ' ' || ad
+  WHEN 2 THEN 'now ' || rest || ' ' || ad WHEN 3 THEN ms || ' ' || rest WHEN 4 THEN ms || ' ' || rest || ' ' || ad || ' ' || ad
+  WHEN 5 THEN '' WHEN 7 THEN ms || ' ' || rest || ' ad7' END AS value
+FROM s WHERE kind < 8"""
+
+
+def spoiled_click_counts_sql() -> str:
+    return f"""WITH {_spoiled_ads_cte()}
+SELECT strftime(ts, '%Y%m%d') AS date, user_id AS userid, event_id % 5 AS adid, count(*) AS click_count
+FROM s WHERE kind >= 8 GROUP BY ALL"""
+
+
+def course_rejects_sql() -> str:
+    """Error events are short already; the damage replaces or removes their last field, the event key."""
+    return f"""WITH {course_lines_cte()},
+k AS (SELECT event_id % 11 AS kind, value AS line, event_type FROM lines)
+SELECT CASE kind WHEN 0 THEN regexp_replace(line, '[^\t]+$', '9223372036854775807') WHEN 1 THEN regexp_replace(line, '[^\t]+$', '-5')
+  WHEN 2 THEN regexp_replace(line, '[^\t]+$', 'soon') WHEN 3 THEN regexp_replace(line, '[^\t]+$', '')
+  WHEN 4 THEN line || chr(9) || 'more' WHEN 5 THEN '' WHEN 6 THEN NULL WHEN 7 THEN regexp_replace(line, '^[^\t]+', 'nobody')
+  ELSE line END AS value
+FROM k WHERE kind < 8 OR event_type = 'error'"""

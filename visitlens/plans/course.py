@@ -31,12 +31,14 @@ def _for_day(behaviour: DataFrame, day: str | None) -> DataFrame:
 
 def study_counts(behaviour: DataFrame, day: str | None) -> DataFrame:
     """B11 (A11): distinct users who started a video and who completed one,
-    for partition ``dt = day`` (every day when ``day`` is None), in one
-    aggregation pass."""
-    t = _for_day(behaviour, day)
-    return (t.groupBy("dt")
-            .agg(F.count_distinct(F.when(F.col("event_key") == "startVideo", F.col("uid"))).alias("watch_video_count"),
-                 F.count_distinct(F.when(_completed(), F.col("uid"))).alias("complete_video_count"))
+    for partition ``dt = day`` (every day when ``day`` is None). Two flags per
+    (day, user), then their sums; a day without either event has no row."""
+    started, done = F.col("event_key") == "startVideo", F.coalesce(_completed(), F.lit(False))
+    users = (_for_day(behaviour, day).where(started | done).groupBy("dt", "uid")
+             .agg(F.max(started & F.col("uid").isNotNull()).alias("started"),
+                  F.max(done & F.col("uid").isNotNull()).alias("done")))
+    return (users.groupBy("dt")
+            .agg(F.count_if("started").alias("watch_video_count"), F.count_if("done").alias("complete_video_count"))
             .select(*STUDY_COLUMNS))
 
 

@@ -72,18 +72,16 @@ def area_top3_lineitem(spark: SparkSession, sf_dir: str, n: int = 3) -> DataFram
     """B10 at warehouse scale: lineitem rows are the clicks, the supplier's
     nation is the city, its region the area, ``l_partkey`` the product.
 
-    Nation and region have fixed sizes and are broadcast. Supplier grows
-    with the data, so the lineitem-supplier join is left to AQE: a broadcast
-    hash join when the (suppkey, nation) side is measured small, else a
-    sort-merge join with hot supplier keys split. Lineitem is shuffled at
+    All joins are left to AQE: a broadcast hash join when a side is measured
+    small, else a sort-merge join with hot keys split. Lineitem is shuffled at
     most once, then the (area, part) aggregation combines partially.
     """
     li = src.table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
     nation = src.table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = src.table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = (src.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-           .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
-           .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+           .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+           .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
            .select("s_suppkey", F.col("r_name").alias("area"),
                    F.col("n_nationkey").alias("city_id"), F.col("n_name").alias("city_name")))
     counts = area_counts(li.join(geo, F.col("l_suppkey") == F.col("s_suppkey"), "inner")

@@ -11,7 +11,10 @@ from visitlens.params import TaskParams
 from visitlens.plans import ads, course, page, product, session
 from visitlens.session import configure
 from visitlens.streaming import runs
+from visitlens.sources import fixtures as src
+from visitlens.sources import logs
 from visitlens.streaming.ads import recent_trend
+from visitlens.streaming.orders import recent_days
 
 FLAGSHIP = "b10_area_top3"
 
@@ -30,6 +33,9 @@ STUDY_DAY = "2024-01-05"
 # no driver user reaches 100 clicks of one ad in a day; 1 exercises the rule
 TEST_THRESHOLD = 1
 VIP_AS_OF = "2024-01-30 12:00:00"
+# the staged files are in no order of time: visits come up to the whole log late
+WATERMARK = "60 days"
+LOOP_SLICES = ((None, "2024-01-10"), ("2024-01-11", "2024-01-20"), ("2024-01-21", None))
 
 
 def _q(fn):
@@ -74,15 +80,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "b18_new_vips": _q(lambda s, d: course.new_vips(s, d)),
         "b18_new_vips_recent": _q(lambda s, d: course.new_vips(s, d, VIP_AS_OF)),
         # the streams themselves, run to completion over files staged from the
-        # tables (threshold 100: no driver user reaches it, so the results
-        # must equal the batch twins)
+        # tables in several micro-batches (threshold 100: no driver user reaches
+        # it, so the results must equal the batch twins); each key is a run
         "st_ad_user_click_count": _q(lambda s, d: runs.run_ad_stream(s, d).user_clicks.read()),
         "st_ad_stat": _q(lambda s, d: runs.run_ad_stream(s, d).ad_stat.read()),
-        "st_province_top3": _q(lambda s, d: runs.run_ad_stream(s, d).province_top3.read()),
+        "st_province_top3": _q(lambda s, d: runs.run_ad_stream(s, d).province_top3()),
         "st_click_trend": _q(lambda s, d: runs.run_ad_stream(s, d).trend.read()),
         "st_click_trend_last_hour": _q(lambda s, d: recent_trend(runs.run_ad_stream(s, d).trend.read(), 60)),
-        "st_unpaid_followups": _q(lambda s, d: runs.run_unpaid_stream(s, d)),
+        "st_unpaid_followups": _q(lambda s, d: runs.run_unpaid_stream(s, d, WATERMARK)),
         "st_new_vips": _q(lambda s, d: runs.run_vip_stream(s, d)),
+        "st_new_vips_recent": _q(lambda s, d: recent_days(runs.run_vip_stream(s, d), VIP_AS_OF)),
+        # the blacklist loop: three batches split by time, a threshold that users reach
+        "st_ad_blacklist": _q(lambda s, d: runs.run_ad_stream(s, d, TEST_THRESHOLD, LOOP_SLICES).blacklist.read()),
+        "st_ad_blacklist_counts": _q(lambda s, d: runs.run_ad_stream(s, d, TEST_THRESHOLD, LOOP_SLICES).user_clicks.read()),
+        # lines that the parsers drop, among lines spoiled in several ways
+        "p6_ad_rejects": _q(lambda s, d: logs.ad_rejects(src.spoiled_ad_lines(s, d))),
+        "p6_ad_clicks": _q(lambda s, d: ads.user_click_counts(logs.parse_ad_lines(src.spoiled_ad_lines(s, d)))),
+        "p7_course_rejects": _q(lambda s, d: logs.course_rejects(src.spoiled_course_lines(s, d))),
     }
 
 
@@ -125,4 +139,10 @@ def oracle_sql() -> dict[str, str]:
         "st_click_trend_last_hour": O.click_trend_sql(last_hour=True),
         "st_unpaid_followups": O.unpaid_followups_sql(),
         "st_new_vips": O.new_vips_sql(),
+        "st_new_vips_recent": O.new_vips_sql(VIP_AS_OF),
+        "st_ad_blacklist": O.blacklist_loop_sql(LOOP_SLICES, TEST_THRESHOLD, "list"),
+        "st_ad_blacklist_counts": O.blacklist_loop_sql(LOOP_SLICES, TEST_THRESHOLD, "counts"),
+        "p6_ad_rejects": O.ad_rejects_sql(),
+        "p6_ad_clicks": O.spoiled_click_counts_sql(),
+        "p7_course_rejects": O.course_rejects_sql(),
     }

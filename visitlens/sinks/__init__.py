@@ -1,6 +1,6 @@
-"""Sinks: run-id append, merge meanings, versioned tables."""
+"""Sinks: run-id append, merge meanings, tables of micro-batches."""
 
 from visitlens.sinks.tables import (  # noqa: F401
-    VersionedTable, append_batch, append_jdbc, append_new, append_result, merge_add, merge_overwrite,
-    register_view, replace_groups, save_table, with_run_id, write_day_table, write_text,
+    BatchTable, append_jdbc, append_new, append_result, merge_add, merge_overwrite,
+    register_view, replace_groups, run_id, save_table, with_run_id, write_day_table, write_text,
 )

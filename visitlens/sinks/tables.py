@@ -1,14 +1,13 @@
-"""Sinks K1-K11: run-id append, set-based merges, versioned Parquet tables.
+"""Sinks K1-K11: run-id append, set-based merges, tables of micro-batches.
 
 The merge meanings of the reference's MySQL upserts are plain DataFrame
 functions (``merge_overwrite``, ``merge_add``, ``replace_groups``,
-``append_new``). ``VersionedTable`` stores each result under
-``<path>/v=<version>`` (only the touched partitions when the table has a
-partition column); a version counts once Spark's commit wrote its
-``_SUCCESS`` marker. A stream writes version = batch id computed from the
-newest version below it, so a replayed batch rewrites the same version with
-the same rows (idempotent: Q16, K12). A table format with MERGE or a JDBC
-upsert can replace the storage without touching the merge functions.
+``append_new``). A stream writes what one micro-batch adds, under its run and
+batch id, to a ``BatchTable``; readers sum or deduplicate. A replayed batch
+overwrites its own rows and no others (Q16, K12), a new checkpoint is a new run
+that adds to the same table, and what a batch writes does not depend on how
+much the table holds. A JDBC upsert can replace the storage without touching
+the merge functions.
 """
 
 from __future__ import annotations
@@ -66,13 +65,6 @@ def append_jdbc(df: DataFrame, url: str, table: str, run_id: str | None = None,
     with_run_id(df, run_id).write.mode("append").jdbc(url, table, properties=properties or {})
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Append-only log written per micro-batch: ``<path>/batch_id=<n>``,
-    overwritten when the batch is replayed (exactly one copy per batch).
-    Reading ``path`` returns every batch with its ``batch_id``."""
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
-
-
 def write_text(df: DataFrame, path: str, files: int | None = None) -> None:
     """K8: one text column to files. ``files`` coalesces the output (the
     reference writes 3); leave it unset at scale so every task writes."""
@@ -98,116 +90,61 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-# --- versioned storage ----------------------------------------------------------
-
-def filesystem(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+# --- tables of micro-batches ------------------------------------------------------
 
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the streaming query that owns ``checkpoint``: the same after a
+    restart, another one for a new checkpoint."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
-def _unescape(name: str) -> str:
-    """Partition folder value -> text (Spark escapes with %XX)."""
-    import re
-    return re.sub(r"%([0-9A-Fa-f]{2})", lambda m: chr(int(m.group(1), 16)), name)
 
+class BatchTable:
+    """Rows that micro-batches add: ``<path>/run=<id>/batch=<n>``, one folder a
+    batch, cut by ``day_col`` inside if given, so that readers of some days
+    skip the rest.
 
-class VersionedTable:
-    """A table stored as versions ``v=<n>`` written by micro-batch ``n``.
-
-    Without ``partition_col`` a version is the whole table. With it, a
-    version holds only the partitions its batch touched (``v=<n>/_p=<value>``)
-    and a read takes, per partition, the newest committed version; a batch
-    then costs the partitions it changes, not the table. A version counts
-    once its ``_SUCCESS`` marker exists.
+    ``read`` gives the table's meaning: with ``keys`` and ``value`` the sum of
+    ``value`` by ``keys``, else the distinct rows.
     """
 
-    PREFIX = "v="
-    PART = "_p"
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
-                 partition_col: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str] | None = None,
+                 value: str | None = None, day_col: str | None = None):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.partition_col = partition_col
-
-    def _committed(self) -> dict[int, object]:
-        fs, root = filesystem(self.spark, self.path)
-        if not fs.exists(root):
-            return {}
-        out = {}
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(self.PREFIX) and fs.exists(st.getPath().suffix("/_SUCCESS")):
-                version = int(name[len(self.PREFIX):])
-                if self.partition_col is None:
-                    out[version] = None
-                else:
-                    out[version] = [c.getPath().getName()[len(self.PART) + 1:]
-                                    for c in fs.listStatus(st.getPath())
-                                    if c.isDirectory() and c.getPath().getName().startswith(self.PART + "=")]
+        self.keys, self.value, self.day_col = keys, value, day_col
+        # an empty first folder, so that a table without batches can be read
+        self._write(spark.createDataFrame([], schema), "ignore", "none", -1)
+
+    def _write(self, df: DataFrame, mode: str, run: str, batch: int) -> None:
+        out = df.select(*self.schema.names).write.mode(mode)
+        if self.day_col:
+            out = out.partitionBy(self.day_col)
+        out.parquet(f"{self.path}/run={run}/batch={batch}")
+
+    def append(self, df: DataFrame, run: str, batch: int) -> None:
+        """The rows of one batch; a replay replaces them."""
+        self._write(df, "overwrite", run, batch)
+
+    def rows(self, run: str | None = None, before: int | None = None) -> DataFrame:
+        """All rows with their run and batch; with ``run`` and ``before``
+        without that run's batches from ``before`` on, as that batch saw it."""
+        fields = [f for f in self.schema if f.name != self.day_col]
+        days = [f for f in self.schema if f.name == self.day_col]
+        schema = T.StructType([*fields, T.StructField("run", T.StringType()), T.StructField("batch", T.LongType()), *days])
+        found = self.spark.read.schema(schema).parquet(self.path)
+        return found if run is None else found.where((F.col("run") != run) | (F.col("batch") < before))
+
+    def merged(self, rows: DataFrame) -> DataFrame:
+        if self.value is None:
+            return rows.select(*self.schema.names).distinct()
+        kind = self.schema[self.value].dataType
+        return rows.groupBy(*self.keys).agg(F.sum(self.value).cast(kind).alias(self.value)).select(*self.schema.names)
+
+    def read(self, run: str | None = None, before: int | None = None) -> DataFrame:
+        return self.merged(self.rows(run, before))
+
+    def compacted(self, path: str) -> "BatchTable":
+        """A copy at ``path`` that holds the merged rows as one batch, for a
+        stream that is stopped meanwhile and goes on with the copy."""
+        out = BatchTable(self.spark, path, self.schema, self.keys, self.value, self.day_col)
+        out.append(self.read(), "compacted", 0)
         return out
-
-    def versions(self) -> list[int]:
-        return sorted(self._committed())
-
-    def _dir(self, version: int) -> str:
-        return f"{self.path}/{self.PREFIX}{version:012d}"
-
-    def _empty(self) -> DataFrame:
-        return self.spark.createDataFrame([], self.schema)
-
-    def latest_paths(self, before: int | None = None, partitions: list | None = None) -> list[str]:
-        committed = {v: p for v, p in self._committed().items() if before is None or v < before}
-        if not committed:
-            return []
-        if self.partition_col is None:
-            return [self._dir(max(committed))]
-        newest = {}
-        for v in sorted(committed):
-            for part in committed[v]:
-                newest[part] = v
-        if partitions is not None:
-            wanted = {str(x) for x in partitions}
-            newest = {p: v for p, v in newest.items() if _unescape(p) in wanted}
-        return [f"{self._dir(v)}/{self.PART}={p}" for p, v in sorted(newest.items())]
-
-    def read(self, before: int | None = None, partitions: list | None = None) -> DataFrame:
-        """Newest committed state (of versions below ``before``; only the
-        given partition values when ``partitions`` is set)."""
-        paths = self.latest_paths(before, partitions)
-        if not paths:
-            return self._empty()
-        return self.spark.read.schema(self.schema).parquet(*paths)
-
-    def write(self, df: DataFrame, version: int) -> None:
-        """Write version ``version``; a rerun of the same batch replaces it.
-        Partitioned: ``df`` must hold whole partitions (old rows merged in)."""
-        out = df.select(*[f.name for f in self.schema])
-        if self.partition_col is None:
-            out.write.mode("overwrite").parquet(self._dir(version))
-        else:
-            # rebalance: AQE packs each partition into few files and splits a
-            # partition that is too big for one task
-            (out.withColumn(self.PART, F.col(self.partition_col).cast("string"))
-             .hint("rebalance", self.PART)
-             .write.mode("overwrite").partitionBy(self.PART).parquet(self._dir(version)))
-
-    def vacuum(self, keep: int = 2) -> None:
-        """Drop versions (or partition folders) shadowed ``keep`` times."""
-        fs, _ = filesystem(self.spark, self.path)
-        jvm = self.spark.sparkContext._jvm
-        committed = self._committed()
-        if self.partition_col is None:
-            for v in sorted(committed)[:-keep]:
-                fs.delete(jvm.org.apache.hadoop.fs.Path(self._dir(v)), True)
-            return
-        seen: dict = {}
-        for v in sorted(committed, reverse=True):
-            for part in committed[v]:
-                seen[part] = seen.get(part, 0) + 1
-                if seen[part] > keep:
-                    fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self._dir(v)}/{self.PART}={part}"), True)
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -113,8 +113,8 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``product_info`` from part (keys below 100)."""
-    p = table(spark, sf_dir, "part").where(F.col("p_partkey") < 100)
+    """``product_info`` from part."""
+    p = table(spark, sf_dir, "part")
     return p.select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
@@ -198,7 +198,7 @@ def _course_columns(ev: DataFrame) -> DataFrame:
         event_key.alias("event_key"),
         F.concat(F.lit("10."), (uid % 8).cast("string"), F.lit("."),
                  (eid % 4).cast("string"), F.lit(".1")).alias("ip"),
-        F.concat(F.lit("187014"), F.lpad(uid.cast("string"), 5, "0")).alias("phone"),
+        F.concat(F.lit("199000"), F.lpad(uid.cast("string"), 5, "0")).alias("phone"),
         F.lit(VIDEO_LENGTH).cast("bigint").alias("video_length"),
         epoch.alias("start_video_time"),
         F.when(etype == "click", epoch + 6 * k).otherwise(F.lit(0)).cast("bigint").alias("end_video_time"),
@@ -223,8 +223,12 @@ def course_lines(spark: SparkSession, sf_dir: str, start_date: str | None = None
 
     Error events become a 16-field line that the validity check must reject.
     """
-    ev = events(spark, sf_dir, start_date, end_date)
-    c = _course_columns(ev)
+    c = _course_columns(events(spark, sf_dir, start_date, end_date))
+    return c.select(_course_line(c).alias("value"))
+
+
+def _course_line(c: DataFrame):
+    """The tab line of ``_course_columns``' rows; 16 fields for error events."""
     uid = F.col("uid")
     fields = [
         uid.cast("string"),                                        # 0 uid
@@ -242,5 +246,45 @@ def course_lines(spark: SparkSession, sf_dir: str, start_date: str | None = None
     ]
     full = F.concat_ws("\t", *fields, F.col("event_key"), F.col("event_time").cast("string"))
     short = F.concat_ws("\t", *fields, F.col("event_key"))
-    line = F.when(F.col("event_type") == "error", short).otherwise(full)
-    return c.select(line.alias("value"))
+    return F.when(F.col("event_type") == "error", short).otherwise(full)
+
+
+# The n-th kind of damage goes to lines of event ids with event_id % 11 == n.
+
+def _spoiled(ev: DataFrame, line, damage: list) -> DataFrame:
+    kind = F.col("event_id") % 11
+    value = line
+    for n, broken in enumerate(damage):
+        value = F.when(kind == n, broken).otherwise(value)
+    return ev.select(value.alias("value"))
+
+
+def spoiled_ad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad lines of all click events, some of them spoiled: a time beyond every
+    timestamp, a negative time, no number, one field less or more, an empty
+    line, no line at all, an id that is no number."""
+    ev = events(spark, sf_dir).where(F.col("event_type") == "click")
+    ms = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    uid = F.col("user_id")
+    rest = [F.concat(F.lit("P"), (uid % 10).cast("string")), F.concat(F.lit("C"), (uid % 30).cast("string")), uid.cast("string")]
+    ad = (F.col("event_id") % 5).cast("string")
+
+    def line(*fields):
+        return F.concat_ws(" ", *fields)
+
+    return _spoiled(ev, line(ms, *rest, ad), [
+        line(F.lit("9223372036854775807"), *rest, ad), line(F.lit("-1"), *rest, ad), line(F.lit("now"), *rest, ad),
+        line(ms, *rest), line(ms, *rest, ad, ad), F.lit(""), F.lit(None).cast("string"), line(ms, *rest, F.lit("ad7"))])
+
+
+def spoiled_course_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Course lines of all events, some of them spoiled in their time, user or
+    number of fields; error events have 16 fields anyway."""
+    c = _course_columns(events(spark, sf_dir))
+    line = _course_line(c)
+
+    def last(text):
+        return F.regexp_replace(line, "[^\t]+$", text)
+
+    return _spoiled(c, line, [last("9223372036854775807"), last("-5"), last("soon"), last(""), F.concat(line, F.lit("\tmore")),
+                              F.lit(""), F.lit(None).cast("string"), F.regexp_replace(line, "^[^\t]+", "nobody")])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,47 +45,67 @@ def read_kafka_stream(spark: SparkSession, servers: str, topic: str | None = Non
     return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
+# Times in log lines count from 1970 up to the end of the year 9999.
+MAX_SECOND = 253_402_300_799
+
+
+def log_time(text: Column, per_second: int = 1) -> Column:
+    """Timestamp of a number of seconds (or of 1 / ``per_second`` s) written as
+    text; NULL unless it is a whole number between 1970 and 9999."""
+    n = text.try_cast("bigint")
+    n = F.when(n.between(0, MAX_SECOND * per_second + per_second - 1), n)
+    return F.timestamp_millis(n) if per_second == 1000 else F.timestamp_seconds(n)
+
+
+def _ad_columns() -> tuple[dict[str, Column], Column]:
+    """The columns of an ad line, and whether the line is valid (never NULL)."""
+    parts = F.split(F.col("value"), " ")
+    cols = {"ts": log_time(F.get(parts, 0), 1000), "province": F.get(parts, 1), "city": F.get(parts, 2),
+            "userid": F.get(parts, 3).try_cast("bigint"), "adid": F.get(parts, 4).try_cast("bigint")}
+    ok = (F.size(parts) == 5) & cols["ts"].isNotNull() & cols["userid"].isNotNull() & cols["adid"].isNotNull()
+    return cols, F.coalesce(ok, F.lit(False))
+
+
 def parse_ad_lines(lines: DataFrame) -> DataFrame:
     """``timestamp_ms province city userid adid`` -> typed columns.
 
-    Malformed lines get NULLs and are dropped; ``ad_rejects`` returns them.
+    Malformed lines are dropped; ``ad_rejects`` returns them.
     """
-    parts = F.split(F.col("value"), " ")
-    ms = F.get(parts, 0).try_cast("bigint")
-    parsed = lines.select(
-        F.timestamp_millis(ms).alias("ts"),
-        F.get(parts, 1).alias("province"),
-        F.get(parts, 2).alias("city"),
-        F.get(parts, 3).try_cast("bigint").alias("userid"),
-        F.get(parts, 4).try_cast("bigint").alias("adid"),
-        F.size(parts).alias("_n"),
-    )
-    ok = (F.col("_n") == 5) & F.col("ts").isNotNull() & F.col("userid").isNotNull() & F.col("adid").isNotNull()
-    return parsed.where(ok).drop("_n")
+    cols, ok = _ad_columns()
+    return lines.where(ok).select(*[c.alias(n) for n, c in cols.items()])
 
 
 def ad_rejects(lines: DataFrame) -> DataFrame:
-    parts = F.split(F.col("value"), " ")
-    ok = ((F.size(parts) == 5) & F.get(parts, 0).try_cast("bigint").isNotNull()
-          & F.get(parts, 3).try_cast("bigint").isNotNull() & F.get(parts, 4).try_cast("bigint").isNotNull())
-    return lines.where(~ok)
+    """The lines that ``parse_ad_lines`` drops, NULL lines included."""
+    return lines.where(~_ad_columns()[1])
+
+
+def _course_valid() -> Column:
+    """17 tab fields. Trailing empty fields are not counted, as in a JVM
+    ``split`` (Q30), so a line whose last field is empty fails."""
+    counted = F.size(F.split(F.regexp_replace(F.col("value"), "\t+$", ""), "\t", -1))
+    return F.coalesce(counted == COURSE_FIELDS, F.lit(False))
 
 
 def course_fields(lines: DataFrame) -> DataFrame:
-    """Keep lines with exactly 17 tab fields; adds ``fields`` (array).
+    """Keep lines with exactly 17 tab fields; adds ``fields`` (array)."""
+    return lines.where(_course_valid()).select("value", split_tabs("value").alias("fields"))
 
-    Trailing empty fields are not counted, as in a JVM ``split`` (Q30), so a
-    line whose last field is empty fails.
-    """
-    counted = F.size(F.split(F.regexp_replace(F.col("value"), "\t+$", ""), "\t", -1))
-    return lines.where(counted == COURSE_FIELDS).select("value", split_tabs("value").alias("fields"))
+
+def _course_keyed() -> Column:
+    """Whether a line's user id and event time are usable (never NULL)."""
+    f = split_tabs("value")
+    ok = F.get(f, F_UID).try_cast("bigint").isNotNull() & log_time(F.get(f, F_EVENT_TIME)).isNotNull()
+    return F.coalesce(ok, F.lit(False))
 
 
 def parse_course_lines(lines: DataFrame) -> DataFrame:
     """Valid course lines -> uid, username, ip, phone, video columns,
-    event_key, event_time (epoch s) and ``ts``."""
+    event_key, event_time (epoch s) and ``ts``. Lines without 17 fields, a
+    whole user id or an event time in range are dropped; ``course_rejects``
+    returns them."""
     f = F.col("fields")
-    return course_fields(lines).select(
+    return course_fields(lines.where(_course_keyed())).select(
         F.get(f, F_UID).try_cast("bigint").alias("uid"),
         F.get(f, F_USERNAME).alias("username"),
         F.get(f, F_IP).alias("ip"),
@@ -95,5 +115,10 @@ def parse_course_lines(lines: DataFrame) -> DataFrame:
         F.get(f, F_END_VIDEO).try_cast("bigint").alias("end_video_time"),
         F.get(f, F_EVENT_KEY).alias("event_key"),
         F.get(f, F_EVENT_TIME).try_cast("bigint").alias("event_time"),
-        F.timestamp_seconds(F.get(f, F_EVENT_TIME).try_cast("bigint")).alias("ts"),
+        log_time(F.get(f, F_EVENT_TIME)).alias("ts"),
     )
+
+
+def course_rejects(lines: DataFrame) -> DataFrame:
+    """The lines that ``parse_course_lines`` drops, NULL lines included."""
+    return lines.where(~(_course_valid() & _course_keyed()))

@@ -2,10 +2,10 @@
 day/province/city/ad, top-3 ads per province, per-minute trend.
 
 One ``foreachBatch`` runs the steps in the reference's order (ST6, ST9):
-the blacklist as of the previous batch removes clicks first, counts are
-merged, users over the threshold are listed for the next batch on. Every
-table is a ``VersionedTable`` written at version = batch id, so a batch
-replayed after a failure produces the same tables again.
+the blacklist as of the previous batch removes clicks first, the batch's counts
+are added, users over the threshold are listed for the next batch on. Every
+table is a ``BatchTable``: a batch writes its own counts under its id, readers
+sum, so a batch replayed after a failure leaves the same tables.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from visitlens.functions.columns import format_date_key
 from visitlens.plans import ads
-from visitlens.sinks.tables import VersionedTable, filesystem, append_batch, append_new, merge_add, replace_groups
+from visitlens.sinks.tables import BatchTable, run_id
 from visitlens.sources.logs import ad_rejects, parse_ad_lines
 
 S, L = T.StringType(), T.LongType()
@@ -30,137 +30,101 @@ def _schema(*cols):
     return T.StructType([T.StructField(n, t, True) for n, t in cols])
 
 
-BLACKLIST_SCHEMA = _schema(("userid", L), ("bucket", L))
+BLACKLIST_SCHEMA = _schema(("userid", L))
 USER_CLICK_SCHEMA = _schema(("date", S), ("userid", L), ("adid", L), ("click_count", L))
 AD_STAT_SCHEMA = _schema(("date", S), ("province", S), ("city", S), ("adid", L), ("click_count", L))
-PROVINCE_TOP_SCHEMA = _schema(("date", S), ("province", S), ("adid", L), ("click_count", L))
+REJECT_SCHEMA = _schema(("value", S))
 TREND_SCHEMA = _schema(("date", S), ("hour", S), ("minute", S), ("adid", L), ("click_count", L))
 
-SEED_VERSION = -1
-# The blacklist is partitioned by ``userid % USER_BUCKETS``: a batch rewrites
-# only the buckets its new users fall in.
-USER_BUCKETS = 16
-
-
-def with_bucket(df: DataFrame, key: str, buckets: int = USER_BUCKETS) -> DataFrame:
-    return df.withColumn("bucket", F.pmod(F.col(key), F.lit(buckets)).cast("bigint"))
 
 
 @dataclass
 class AdTables:
-    blacklist: VersionedTable
-    user_clicks: VersionedTable
-    ad_stat: VersionedTable
-    province_top3: VersionedTable
-    trend: VersionedTable
-    rejects_path: str
+    blacklist: BatchTable
+    user_clicks: BatchTable
+    ad_stat: BatchTable
+    trend: BatchTable
+    reject_log: BatchTable
 
     @classmethod
     def at(cls, spark: SparkSession, root: str) -> "AdTables":
         root = root.rstrip("/")
-        # the count tables are partitioned by day and the blacklist by user
-        # bucket: a batch rewrites only the partitions it touched
-        return cls(VersionedTable(spark, f"{root}/ad_blacklist", BLACKLIST_SCHEMA, "bucket"),
-                   VersionedTable(spark, f"{root}/ad_user_click_count", USER_CLICK_SCHEMA, "date"),
-                   VersionedTable(spark, f"{root}/ad_stat", AD_STAT_SCHEMA, "date"),
-                   VersionedTable(spark, f"{root}/ad_province_top3", PROVINCE_TOP_SCHEMA, "date"),
-                   VersionedTable(spark, f"{root}/ad_click_trend", TREND_SCHEMA, "date"),
-                   f"{root}/ad_rejects")
+        n = "click_count"
+        return cls(BatchTable(spark, f"{root}/ad_blacklist", BLACKLIST_SCHEMA),
+                   BatchTable(spark, f"{root}/ad_user_click_count", USER_CLICK_SCHEMA, ["date", "userid", "adid"], n, "date"),
+                   BatchTable(spark, f"{root}/ad_stat", AD_STAT_SCHEMA, ["date", "province", "city", "adid"], n, "date"),
+                   BatchTable(spark, f"{root}/ad_click_trend", TREND_SCHEMA, ["date", "hour", "minute", "adid"], n, "date"),
+                   BatchTable(spark, f"{root}/ad_rejects", REJECT_SCHEMA))
+
+    def province_top3(self) -> DataFrame:
+        """The top ads of every (day, province), from the running counts."""
+        return ads.province_top3(self.ad_stat.read())
 
     def rejects(self) -> DataFrame:
-        """Malformed lines with the batch that delivered them (empty when
-        no batch had any)."""
-        spark = self.blacklist.spark
-        fs, root = filesystem(spark, self.rejects_path)
-        if not fs.exists(root):
-            return spark.createDataFrame([], "value string, batch_id int")
-        return spark.read.parquet(self.rejects_path)
+        """Malformed lines with the batch that delivered them."""
+        return self.reject_log.rows().select("value", F.col("batch").alias("batch_id"))
 
     def seed_blacklist(self, users: DataFrame) -> None:
-        """Initial ``ad_blacklist`` (only when the table has no version)."""
-        if not self.blacklist.versions():
-            self.blacklist.write(with_bucket(users.select("userid").distinct(), "userid"), SEED_VERSION)
-
-
-def _user_totals_and_blacklist(tables: AdTables, kept: DataFrame, listed: DataFrame, days: list,
-                               batch_id: int, threshold: int, persisted: list) -> None:
-    """Running (day, user, ad) totals, then users over the threshold.
-    Merged totals are kept for the batch (recomputable from the versions
-    below it if an executor is lost) instead of read back."""
-    delta = ads.user_click_counts(kept)
-    keys = ["date", "userid", "adid"]
-    totals = merge_add(tables.user_clicks.read(batch_id, days), delta, keys, "click_count").persist()
-    persisted.append(totals)
-    tables.user_clicks.write(totals, batch_id)
-    touched = totals.join(delta.select(*keys), keys, "left_semi")
-    fresh = with_bucket(ads.over_threshold_users(touched, listed, threshold), "userid").persist()
-    persisted.append(fresh)
-    buckets = [r[0] for r in fresh.select("bucket").distinct().collect()]
-    if buckets:
-        tables.blacklist.write(append_new(tables.blacklist.read(batch_id, buckets), fresh, ["userid"]), batch_id)
-
-
-def _stat_and_top3(tables: AdTables, kept: DataFrame, days: list, batch_id: int, persisted: list) -> None:
-    """B14 running totals by (day, province, city, ad); B15 re-ranks only
-    the (day, province) groups this batch touched."""
-    stat_delta = ads.ad_stat(kept)
-    stat = merge_add(tables.ad_stat.read(batch_id, days), stat_delta,
-                     ["date", "province", "city", "adid"], "click_count").persist()
-    persisted.append(stat)
-    tables.ad_stat.write(stat, batch_id)
-    groups = stat_delta.select("date", "province").distinct()
-    current = stat.join(groups, ["date", "province"], "left_semi")
-    tables.province_top3.write(replace_groups(tables.province_top3.read(batch_id, days),
-                                              ads.province_top3(current), ["date", "province"]), batch_id)
-
-
-def _trend(tables: AdTables, kept: DataFrame, days: list, batch_id: int) -> None:
-    """Full event-time count per minute (Q26 fixed)."""
-    tables.trend.write(merge_add(tables.trend.read(batch_id, days), ads.click_trend(kept),
-                                 ["date", "hour", "minute", "adid"], "click_count"), batch_id)
-
-
-def process_ad_batch(tables: AdTables, lines: DataFrame, batch_id: int, threshold: int = 100) -> None:
+        """Initial ``ad_blacklist``."""
+        self.blacklist.append(users.select("userid").distinct(), "seed", 0)
+
+
+def _counts_and_blacklist(tables: AdTables, kept: DataFrame, listed: DataFrame, first_day: str,
+                          run: str, batch_id: int, threshold: int) -> None:
+    """The batch's (day, user, ad) counts; then users whose total, earlier
+    batches included, is over the threshold. Only the pairs of this batch and
+    the days from its first one on are looked up."""
+    delta = ads.user_click_counts(kept).persist()
+    try:
+        tables.user_clicks.append(delta, run, batch_id)
+        keys = tables.user_clicks.keys
+        earlier = tables.user_clicks.rows(run, batch_id).where(F.col("date") >= first_day)
+        earlier = earlier.select(*delta.columns).join(delta.select(*keys), keys, "left_semi")
+        totals = tables.user_clicks.merged(earlier.unionByName(delta))
+        fresh = ads.over_threshold_users(totals, listed, threshold)
+        tables.blacklist.append(fresh, run, batch_id)
+    finally:
+        delta.unpersist()
+
+
+def process_ad_batch(tables: AdTables, lines: DataFrame, batch_id: int, threshold: int = 100, run: str = "direct") -> None:
     """One micro-batch of B13-B16.
 
     The blacklist as of the previous batch filters first; then the three
-    independent table chains (B13, B14/B15, B16) run as concurrent Spark
-    jobs from driver threads. Each chain only reads versions below this
-    batch and writes its own tables at this batch's version, so the order in
-    which they finish does not matter.
+    independent tables (B13, B14/B15, B16) are written by concurrent Spark jobs
+    from driver threads. Each only reads earlier batches and writes its own
+    rows, so the order in which they finish does not matter.
     """
     lines = lines.persist()
-    persisted = [lines]
     clicks = parse_ad_lines(lines)
+    rejects = ad_rejects(lines)
+    listed = tables.blacklist.read(run, batch_id)
+    kept = ads.remove_blacklisted(clicks, listed).persist()
     try:
-        rejects = ad_rejects(lines)
         if not rejects.isEmpty():  # P6 reject output; no empty folder per batch
-            append_batch(rejects, tables.rejects_path, batch_id)
-        listed = tables.blacklist.read(before=batch_id).select("userid")
-        kept = ads.remove_blacklisted(clicks, listed).persist()  # feeds the day list and all three chains
-        persisted.append(kept)
-        # the days of this batch (a handful of values): only these partitions
-        # of the count tables are read and rewritten
-        days = [r[0] for r in kept.select(format_date_key("ts")).distinct().collect()]
-        if not days:  # nothing kept: no table changes
+            tables.reject_log.append(rejects, run, batch_id)
+        first_day = kept.agg(F.min(format_date_key("ts"))).first()[0]
+        if first_day is None:  # nothing kept: no table changes
             return
         with ThreadPoolExecutor(max_workers=3) as pool:
-            jobs = [pool.submit(_user_totals_and_blacklist, tables, kept, listed, days, batch_id, threshold,
-                                persisted),
-                    pool.submit(_stat_and_top3, tables, kept, days, batch_id, persisted),
-                    pool.submit(_trend, tables, kept, days, batch_id)]
+            jobs = [pool.submit(_counts_and_blacklist, tables, kept, listed, first_day, run, batch_id, threshold),
+                    pool.submit(tables.ad_stat.append, ads.ad_stat(kept), run, batch_id),
+                    pool.submit(tables.trend.append, ads.click_trend(kept), run, batch_id)]
             for job in jobs:
-                job.result()  # re-raises a failed chain; the batch is then retried whole
+                job.result()  # re-raises a failed one; the batch is then retried whole
     finally:
-        for df in persisted:
-            df.unpersist()
+        kept.unpersist()
+        lines.unpersist()
 
 
 def start_ad_stream(lines: DataFrame, tables: AdTables, checkpoint: str, threshold: int = 100,
                     processing_time: str | None = "5 seconds", available_now: bool = False) -> StreamingQuery:
     """Start B13-B16 on a stream of text lines (Kafka or files)."""
+    def batch(df: DataFrame, batch_id: int) -> None:
+        process_ad_batch(tables, df, batch_id, threshold, run_id(df.sparkSession, checkpoint))
+
     writer = (lines.writeStream
-              .foreachBatch(lambda df, bid: process_ad_batch(tables, df, bid, threshold))
+              .foreachBatch(batch)
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)

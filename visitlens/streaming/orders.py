@@ -6,15 +6,17 @@ still aggregates a late row whose window is in state, and a row arriving
 after eviction starts a window holding only late rows: that can only
 under-count, so the follow-up set never gains a false member.
 
-B18 keeps no stream state: each micro-batch is counted per (province, day)
-and added to the day partitions of a versioned table. A late row then adds
-to its own day exactly, where an evicted window re-created by a late row
-would have overwritten a full count with a partial one.
+B18 keeps no stream state: each micro-batch adds its counts per (province,
+day) to a table that readers sum. A late row then adds to its own day exactly,
+where an evicted window re-created by a late row would have overwritten a full
+count with a partial one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,14 +24,11 @@ from pyspark.sql.streaming import StreamingQuery
 from visitlens.functions.columns import format_date
 from visitlens.operators.joins import drop_members
 from visitlens.plans.course import with_region
-from visitlens.sinks.tables import VersionedTable, append_new, merge_add
+from visitlens.sinks.tables import BatchTable, run_id
 from visitlens.sources.logs import parse_course_lines
 
 UNPAID_SCHEMA = T.StructType([T.StructField("uid", T.LongType(), True),
-                              T.StructField("phone", T.StringType(), True),
-                              T.StructField("bucket", T.LongType(), True)])
-# the follow-up set is partitioned by ``uid % USER_BUCKETS``
-USER_BUCKETS = 16
+                              T.StructField("phone", T.StringType(), True)])
 VIP_SCHEMA = T.StructType([T.StructField("province", T.StringType(), True),
                            T.StructField("cnt", T.LongType(), True),
                            T.StructField("dt", T.StringType(), True)])
@@ -43,46 +42,48 @@ def _writer(df: DataFrame, fn, checkpoint: str, mode: str, available_now: bool,
     return w.trigger(processingTime=processing_time) if processing_time else w
 
 
-def start_unpaid_stream(lines: DataFrame, vip: DataFrame, table: VersionedTable, checkpoint: str,
+def unpaid_table(spark: SparkSession, path: str) -> BatchTable:
+    return BatchTable(spark, path, UNPAID_SCHEMA)
+
+
+def vip_table(spark: SparkSession, path: str) -> BatchTable:
+    return BatchTable(spark, path, VIP_SCHEMA, ["province", "dt"], "cnt", "dt")
+
+
+def start_unpaid_stream(lines: DataFrame, vip: Callable[[], DataFrame], table: BatchTable, checkpoint: str,
                         window: str = "4 days", slide: str = "2 days", min_visits: int = 2,
-                        watermark: str | None = None, available_now: bool = False,
+                        *, watermark: str, available_now: bool = False,
                         processing_time: str | None = "10 seconds") -> StreamingQuery:
     """(uid, phone) with more than ``min_visits`` order-page visits in a
     sliding event-time window (ST3), minus VIPs (J8), kept as a set (K7).
-    ``watermark`` defaults to the window length. The table is partitioned
-    by ``uid`` bucket; a batch rewrites the buckets of its new members."""
+    ``vip`` reads the VIP table and is called in every batch, so a VIP added
+    meanwhile counts. ``watermark``: how late a visit may come; state is kept
+    that much longer, and visits that are later still are lost to windows that
+    have closed. A batch adds its members; the table reads as a set."""
     orders = (parse_course_lines(lines).where(F.col("event_key") == "enterOrderPage")
-              .withWatermark("ts", watermark or window))
+              .withWatermark("ts", watermark))
     counts = (orders.groupBy(F.window("ts", window, slide), "uid", "phone")
               .agg(F.count(F.lit(1)).alias("visits")))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         hits = batch.where(F.col("visits") > min_visits).select("uid", "phone").distinct()
-        hits = (drop_members(hits, vip.select("uid"), "uid")
-                .withColumn("bucket", F.pmod(F.col("uid"), F.lit(USER_BUCKETS)).cast("bigint")).persist())
-        buckets = [r[0] for r in hits.select("bucket").distinct().collect()]  # only these are rewritten
-        if buckets:
-            table.write(append_new(table.read(batch_id, buckets), hits, ["uid", "phone"]), batch_id)
-        hits.unpersist()
+        table.append(drop_members(hits, vip().select("uid"), "uid"), run_id(batch.sparkSession, checkpoint), batch_id)
 
     return _writer(counts, sink, checkpoint, "update", available_now, processing_time).start()
 
 
-def start_vip_stream(lines: DataFrame, ranges: DataFrame, table: VersionedTable, checkpoint: str,
+def start_vip_stream(lines: DataFrame, ranges: DataFrame, table: BatchTable, checkpoint: str,
                      ranges_bound: int | None = None, available_now: bool = False,
                      processing_time: str | None = "10 seconds") -> StreamingQuery:
     """Running count of ``completeOrder`` rows per (day, province)
     (ST5); province by IP range (stream-static join, J9). Each batch adds its
-    counts to the touched days (K2 on a day-partitioned table)."""
+    counts (K2)."""
     orders = parse_course_lines(lines).where(F.col("event_key") == "completeOrder")
     regioned = with_region(orders, ranges, ranges_bound)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = (batch.groupBy("province", format_date("ts").alias("dt"))
-                .agg(F.count(F.lit(1)).alias("cnt")).persist())
-        days = [r[0] for r in rows.select("dt").distinct().collect()]  # the batch's days only
-        table.write(merge_add(table.read(batch_id, days), rows, ["province", "dt"], "cnt"), batch_id)
-        rows.unpersist()
+        counts = batch.groupBy("province", format_date("ts").alias("dt")).agg(F.count(F.lit(1)).alias("cnt"))
+        table.append(counts, run_id(batch.sparkSession, checkpoint), batch_id)
 
     return _writer(regioned, sink, checkpoint, "append", available_now, processing_time).start()
 

@@ -1,9 +1,9 @@
 """Drive the streams over lines derived from the driver tables.
 
-Lines are staged as text files in the shared checkpoint folder (never a
-machine-local one) and consumed with ``availableNow`` and one file per
-micro-batch, so every run goes through several batches, state and the
-versioned sinks. Used by tests and by the ``st_*`` registered queries.
+Lines are staged as text files in the session's checkpoint folder and consumed
+with ``availableNow``, a share of the files per micro-batch, so a run goes
+through several batches. Results that depend on the order of the lines are
+tested with hand-made files, not here. Used by the ``st_*`` registered queries.
 """
 
 from __future__ import annotations
@@ -11,89 +11,61 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from visitlens.session import checkpoint_dir
-from visitlens.sinks.tables import VersionedTable
 from visitlens.sources import fixtures as src
 from visitlens.sources.logs import read_text_stream
 from visitlens.streaming.ads import AdTables, start_ad_stream
-from visitlens.streaming.orders import UNPAID_SCHEMA, VIP_SCHEMA, start_unpaid_stream, start_vip_stream
+from visitlens.streaming.orders import start_unpaid_stream, start_vip_stream, unpaid_table, vip_table
 
-_done: dict = {}
+#: micro-batches of a run, and lines of a staged file, about
+BATCHES = 3
+FILE_LINES = 1_000_000
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/visitlens-streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage_lines(lines: DataFrame, path: str, files: int, order_key=None) -> str:
-    """Write lines as ``files`` text files; with ``order_key`` each file holds
-    a contiguous key range (file i before file i+1)."""
-    out = lines.repartitionByRange(files, order_key) if order_key is not None else lines.repartition(files)
-    out.select("value").write.mode("overwrite").text(path)
-    if order_key is not None:
-        _order_by_name(lines.sparkSession, path)
-    return path
-
-
-def _order_by_name(spark: SparkSession, path: str) -> None:
-    """The file source takes files in modification-time order; give the
-    part files increasing times in name (= key range) order."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    parts = sorted((st.getPath() for st in fs.listStatus(root) if st.getPath().getName().startswith("part-")),
-                   key=lambda p: p.getName())
-    base = jvm.java.lang.System.currentTimeMillis() - 10_000 * (len(parts) + 1)
-    for i, p in enumerate(parts):
-        fs.setTimes(p, base + 10_000 * i, -1)
-
-
-def run_ad_stream(spark: SparkSession, sf_dir: str, threshold: int = 100, files: int = 4) -> AdTables:
-    key = ("ads", spark.sparkContext.applicationId, sf_dir, threshold, files)
-    if key in _done:
-        return _done[key]
+def stage_lines(lines: DataFrame, path: str) -> int:
+    """Write lines as text files of about ``FILE_LINES`` lines, at least one a
+    micro-batch; returns the number of files that make up a share."""
+    files = max(BATCHES, -(-lines.count() // FILE_LINES))
+    lines.select("value").repartition(files).write.mode("overwrite").text(path)
+    return -(-files // BATCHES)
+
+
+def run_ad_stream(spark: SparkSession, sf_dir: str, threshold: int = 100,
+                  slices: tuple[tuple[str | None, str | None], ...] = ((None, None),)) -> AdTables:
+    """The ad stream over the click lines; ``slices`` (first day, last day) are
+    delivered one after the other, each to a stream that goes on from the
+    same checkpoint."""
     root = scratch(spark, "ads")
-    lines = src.ad_click_lines(spark, sf_dir)
-    staged = stage_lines(lines, f"{root}/input", files,
-                         F.get(F.split("value", " "), 0).try_cast("bigint"))
     tables = AdTables.at(spark, f"{root}/tables")
     tables.seed_blacklist(src.initial_blacklist(spark, sf_dir))
-    q = start_ad_stream(read_text_stream(spark, staged, 1), tables, f"{root}/checkpoint",
-                        threshold, available_now=True)
-    q.awaitTermination()
-    _done[key] = tables
+    for i, (first, last) in enumerate(slices):
+        share = stage_lines(src.ad_click_lines(spark, sf_dir, first, last), f"{root}/input/{i}")
+        if len(slices) > 1:  # a slice is one micro-batch
+            share *= BATCHES
+        start_ad_stream(read_text_stream(spark, f"{root}/input/*", share), tables, f"{root}/checkpoint",
+                        threshold, available_now=True).awaitTermination()
     return tables
 
 
-def _course_stage(spark: SparkSession, sf_dir: str, root: str, files: int) -> str:
-    lines = src.course_lines(spark, sf_dir)
-    last = F.element_at(F.split("value", "\t"), -1).try_cast("bigint")
-    return stage_lines(lines, f"{root}/input", files, last)
-
-
-def run_unpaid_stream(spark: SparkSession, sf_dir: str, files: int = 4, watermark: str = "4 days") -> DataFrame:
-    key = ("unpaid", spark.sparkContext.applicationId, sf_dir, files, watermark)
-    if key not in _done:
-        root = scratch(spark, "unpaid")
-        staged = _course_stage(spark, sf_dir, root, files)
-        table = VersionedTable(spark, f"{root}/unpayment_record", UNPAID_SCHEMA, "bucket")
-        q = start_unpaid_stream(read_text_stream(spark, staged, 1), src.vip_users(spark, sf_dir), table,
-                                f"{root}/checkpoint", watermark=watermark, available_now=True)
-        q.awaitTermination()
-        _done[key] = table
-    return _done[key].read().select("uid", "phone")
-
-
-def run_vip_stream(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
-    key = ("vip", spark.sparkContext.applicationId, sf_dir, files)
-    if key not in _done:
-        root = scratch(spark, "vip")
-        staged = _course_stage(spark, sf_dir, root, files)
-        table = VersionedTable(spark, f"{root}/vip_increment_analysis", VIP_SCHEMA, "dt")
-        q = start_vip_stream(read_text_stream(spark, staged, 1), src.ip_ranges(spark), table,
-                             f"{root}/checkpoint", ranges_bound=len(src.IP_REGIONS), available_now=True)
-        q.awaitTermination()
-        _done[key] = table
-    return _done[key].read()
+def run_unpaid_stream(spark: SparkSession, sf_dir: str, watermark: str) -> DataFrame:
+    """``watermark``: at least the time span of the lines, as the files are in no order of time."""
+    root = scratch(spark, "unpaid")
+    share = stage_lines(src.course_lines(spark, sf_dir), f"{root}/input")
+    table = unpaid_table(spark, f"{root}/unpayment_record")
+    start_unpaid_stream(read_text_stream(spark, f"{root}/input", share), lambda: src.vip_users(spark, sf_dir), table,
+                        f"{root}/checkpoint", watermark=watermark, available_now=True).awaitTermination()
+    return table.read()
+
+
+def run_vip_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch(spark, "vip")
+    share = stage_lines(src.course_lines(spark, sf_dir), f"{root}/input")
+    table = vip_table(spark, f"{root}/vip_increment_analysis")
+    start_vip_stream(read_text_stream(spark, f"{root}/input", share), src.ip_ranges(spark), table,
+                     f"{root}/checkpoint", ranges_bound=len(src.IP_REGIONS), available_now=True).awaitTermination()
+    return table.read()
