@@ -195,8 +195,8 @@ def _contested_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFr
 
     Shingles are ordered by how many of these sets hold them, rarest first. Two
     sets of sizes n >= m that are alike share a shingle within the first
-    n - ceil(t n) + 1 of the one and the same of the other, and what is left
-    behind that place bounds their overlap.
+    n - ceil(t n) + 1 of the one and the same of the other; the first one they
+    share and what is left behind its places bound their overlap.
     """
     def rows(batches):
         for b in batches:
@@ -212,10 +212,11 @@ def _contested_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFr
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     placed = shared.withColumn("later", F.count("*").over(Window.partitionBy("id")) - place)
     placed = placed.withColumn("place", F.col("n") - F.col("later")).where(F.col("place") <= prefix)
-    placed = stage(placed.join(labels, "id").select("id", "n", "h", "place", "later", "component"), "prefixes")
+    placed = stage(placed.join(labels, "id").select("id", "n", "h", "later", "component"), "prefixes")
     x, y = placed.alias("x"), placed.alias("y")
     both_n = F.col("x.n") + F.col("y.n")
-    can = (F.least("x.later", "y.later") + F.least("x.place", "y.place")) * (100 + percent) >= percent * both_n
+    # true of the first shingle that an alike pair shares: nothing is shared before it
+    can = (1 + F.least("x.later", "y.later")) * (100 + percent) >= percent * both_n
     return (x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id"))
                    & (F.col("x.component") != F.col("y.component"))
                    & (F.lit(100) * F.least("x.n", "y.n") >= F.lit(percent) * F.greatest("x.n", "y.n")) & can)
