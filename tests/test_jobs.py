@@ -3,6 +3,9 @@
 import json
 import uuid
 
+import pytest
+from pyspark.sql import functions as F
+
 from visitlens.params import TaskParams
 from visitlens.plans import course, jobs, session
 from visitlens.session import checkpoint_dir
@@ -88,3 +91,70 @@ def test_cli_page_job(spark, tmp_path):
     assert sorted(r.step for r in rows) == [1, 2] and len({r.taskid for r in rows}) == 1
     text = spark.read.parquet(f"{out}/page_split_convert_rate_text").collect()[0].convert_rate
     assert text.startswith("1_2=") and "|2_3=" in text
+
+
+@pytest.fixture(scope="module")
+def own_tables(spark):
+    """The derived tables, written in the reference's shapes."""
+    from visitlens.sources import fixtures as src
+    from visitlens.sources.user_tables import UserTables
+    root = f"{checkpoint_dir(spark)}/own-{uuid.uuid4().hex}"
+    text = {"action_time": F.date_format("action_time", "yyyy-MM-dd HH:mm:ss")}
+    src.actions(spark, SF_SMALL).withColumns(text).write.parquet(f"{root}/user_visit_action")
+    src.users(spark, SF_SMALL).write.parquet(f"{root}/user_info")
+    src.products(spark, SF_SMALL).write.parquet(f"{root}/product_info")
+    src.course_table(spark, SF_SMALL).write.partitionBy("dt").parquet(f"{root}/user_behavior")
+    src.vip_users(spark, SF_SMALL).write.parquet(f"{root}/vip_user")
+    src.initial_blacklist(spark, SF_SMALL).write.parquet(f"{root}/ad_blacklist")
+    src.ip_ranges(spark).write.parquet(f"{root}/ip_ranges")
+    src.course_lines(spark, SF_SMALL).write.text(f"{root}/course_log")
+    src.ad_click_lines(spark, SF_SMALL).write.text(f"{root}/ad_log")
+    return UserTables(root)
+
+
+OWN = ["b1_session_profile", "b3_length_ratios", "b4_session_sample_all_days", "b5_sample_detail", "b6_top10_categories", "b7_top10_sessions",
+       "b8_page_conversion", "b10_area_top3", "b11_daily_study_all_days", "b12_clean_course_log", "b13_ad_user_click_count", "b14_ad_stat",
+       "b15_province_top3", "b16_click_trend", "b17_unpaid_followups", "b18_new_vips", "b18_new_vips_recent"]
+
+
+@pytest.mark.parametrize("name", OWN)
+def test_jobs_over_own_tables(spark, own_tables, name):
+    from visitlens import registry
+    run = registry.queries()[name]
+    got, want = (sorted(map(str, run(spark, where).collect())) for where in (own_tables, SF_SMALL))
+    assert got == want and want
+
+
+def _cli(*args):
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.run([sys.executable, "-m", "visitlens", *args, "--master", "local[2]"], cwd=repo, capture_output=True, text=True, timeout=600)
+    assert run.returncode == 0, run.stderr[-2000:]
+
+
+def test_cli_streams_over_own_tables(spark, own_tables, tmp_path):
+    from visitlens import registry
+    from visitlens.streaming.ads import AdTables
+    from visitlens.streaming.orders import unpaid_table, vip_table
+    data, out = ["--data", own_tables.folder, "--tables", "parquet"], f"file://{tmp_path}/out"
+    log = f"{own_tables.folder}/course_log"
+    _cli("ads", *data, "--lines", f"{own_tables.folder}/ad_log", "--out", out, "--once")
+    _cli("unpaid", *data, "--lines", log, "--out", out, "--once", "--watermark", "60 days")
+    _cli("vip", *data, "--lines", log, "--out", out, "--once", "--as-of", registry.VIP_AS_OF)
+    tables = AdTables.at(spark, out)
+    for name, got in [("b13_ad_user_click_count", tables.user_clicks.read()), ("b14_ad_stat", tables.ad_stat.read()),
+                      ("b15_province_top3", tables.province_top3()), ("b16_click_trend", tables.trend.read()),
+                      ("b17_unpaid_followups", unpaid_table(spark, f"{out}/unpayment_record").read()),
+                      ("b18_new_vips", vip_table(spark, f"{out}/vip_increment_analysis").read()),
+                      ("b18_new_vips_recent", spark.read.parquet(f"{out}/vip_increment_recent"))]:
+        want = registry.queries()[name](spark, SF_SMALL)
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect())), name
+
+
+def test_cli_cleans_a_text_log(spark, own_tables, tmp_path):
+    from visitlens import registry
+    _cli("clean", "--data", own_tables.folder, "--tables", "parquet", "--out", f"file://{tmp_path}/out", "--files", "1")
+    got = sorted(r.value for r in spark.read.text(f"file://{tmp_path}/out/cleaned").collect())
+    assert got == sorted(r.line for r in registry.queries()["b12_clean_course_log"](spark, SF_SMALL).collect())

@@ -3,6 +3,8 @@ batch twins of the order-page (B17) and new-VIP (B18) streams."""
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from visitlens.operators.rangejoin import ipv4_to_long, range_lookup
 from visitlens.sources import fixtures as src
 from visitlens.sources.logs import F_PHONE, F_USERNAME, course_fields, parse_course_lines
 
+#: days of the new-VIP report
+RECENT_DAYS = 2
 STUDY_COLUMNS = ["watch_video_count", "complete_video_count", "dt"]
 
 
@@ -107,18 +111,22 @@ def with_region(df: DataFrame, ranges: DataFrame, ranges_bound: int | None = Non
 
 
 def vip_increment(orders: DataFrame, ranges: DataFrame, as_of: str | None = None,
-                  recent_days: int = 2, ranges_bound: int | None = None) -> DataFrame:
+                  recent_days: int = RECENT_DAYS, ranges_bound: int | None = None) -> DataFrame:
     """B18 twin: ``completeOrder`` rows per (day, province); with ``as_of``
     only days whose start is less than ``recent_days`` before it (P11)."""
+    if as_of is not None:  # first, so that older rows are not looked up
+        age = F.unix_timestamp(F.lit(as_of).cast("timestamp")) - F.unix_timestamp(F.date_trunc("day", "ts"))
+        orders = orders.where(age < recent_days * 86400)
     daily = with_region(orders, ranges, ranges_bound).withColumn("dt", format_date("ts"))
     counts = daily.groupBy("province", "dt").agg(F.count(F.lit(1)).alias("cnt"))
-    if as_of is not None:
-        age = F.unix_timestamp(F.lit(as_of).cast("timestamp")) - F.unix_timestamp(F.to_timestamp("dt"))
-        counts = counts.where(age < recent_days * 86400)
     return counts.select("province", "cnt", "dt")
 
 
 def new_vips(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> DataFrame:
-    orders = parse_course_lines(src.course_lines(spark, sf_dir)).where(F.col("event_key") == "completeOrder")
+    # the first day that still counts; the log's own scan skips what is older
+    first = None
+    if as_of is not None:
+        first = (datetime.datetime.fromisoformat(as_of) - datetime.timedelta(days=RECENT_DAYS)).date().isoformat()
+    orders = parse_course_lines(src.course_lines(spark, sf_dir, first)).where(F.col("event_key") == "completeOrder")
     # the IP table: a few rows per range after the bucket explode
-    return vip_increment(orders, src.ip_ranges(spark), as_of, ranges_bound=len(src.IP_REGIONS))
+    return vip_increment(orders, src.ip_ranges(spark, sf_dir), as_of, ranges_bound=src.ranges_bound(sf_dir))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitlens.functions.columns import format_date_key
+from visitlens.sources.user_tables import UserTables, or_user_table
 
 # --- fixed values -----------------------------------------------------------
 # City dimension of the area report: (city_id, city_name, area). Fixed values
@@ -68,6 +69,7 @@ def events(spark: SparkSession, sf_dir: str, start_date: str | None = None,
     return ev
 
 
+@or_user_table
 def actions(spark: SparkSession, sf_dir: str, start_date: str | None = None,
             end_date: str | None = None) -> DataFrame:
     """``user_visit_action`` rows (plus ``action_id`` for tie-breaking)."""
@@ -97,6 +99,7 @@ def actions(spark: SparkSession, sf_dir: str, start_date: str | None = None,
     )
 
 
+@or_user_table
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_info`` from customer."""
     c = table(spark, sf_dir, "customer")
@@ -112,6 +115,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@or_user_table
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``product_info`` from part."""
     p = table(spark, sf_dir, "part")
@@ -123,6 +127,11 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ranges_bound(sf_dir) -> int | None:
+    """Rows of the IP table, if they are known."""
+    return None if isinstance(sf_dir, UserTables) else len(IP_REGIONS)
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """A small fixed table built on the JVM side (no Python worker, no RDD);
     its row count is known when the plan is built."""
@@ -143,7 +152,8 @@ def city_dim(spark: SparkSession) -> DataFrame:
     return literal_table(spark, CITY_ROWS, schema)
 
 
-def ip_ranges(spark: SparkSession) -> DataFrame:
+@or_user_table
+def ip_ranges(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
     """IP range table (start_num, end_num, region): six /16 ranges."""
     rows = [((10 << 24) + (i << 16), (10 << 24) + (i << 16) + 65535, name)
             for i, name in enumerate(IP_REGIONS)]
@@ -155,18 +165,21 @@ def ip_ranges(spark: SparkSession) -> DataFrame:
     return literal_table(spark, rows, schema)
 
 
+@or_user_table
 def vip_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``vip_user(id, uid)``: customers with key divisible by 5."""
     c = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 5 == 0)
     return c.select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("uid"))
 
 
+@or_user_table
 def initial_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ad_blacklist(userid)`` before any stream batch."""
     c = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 50 == 7)
     return c.select(F.col("c_custkey").alias("userid"))
 
 
+@or_user_table
 def ad_click_lines(spark: SparkSession, sf_dir: str, start_date: str | None = None,
                    end_date: str | None = None) -> DataFrame:
     """Ad click log lines ``timestamp_ms province city userid adid`` (column
@@ -206,6 +219,7 @@ def _course_columns(ev: DataFrame) -> DataFrame:
     )
 
 
+@or_user_table
 def course_table(spark: SparkSession, sf_dir: str, day: str | None = None) -> DataFrame:
     """``dwd.user_behavior``: uid, event_key, start/end video time,
     video_length, dt (int yyyyMMdd). ``day`` (yyyy-MM-dd) prunes the scan."""
@@ -217,6 +231,7 @@ def course_table(spark: SparkSession, sf_dir: str, day: str | None = None) -> Da
     )
 
 
+@or_user_table
 def course_lines(spark: SparkSession, sf_dir: str, start_date: str | None = None,
                  end_date: str | None = None) -> DataFrame:
     """Raw 17-field tab lines of the course log (column ``value``).
