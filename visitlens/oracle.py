@@ -11,8 +11,18 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from visitlens.sources.fixtures import CITY_ROWS, COURSE_EVENT, IP_REGIONS, UNKNOWN_REGION, VIDEO_LENGTH
-from visitlens.plans.product import AREA_LEVELS, OTHER_LEVEL, STATUS_SELF, STATUS_THIRD
+# Written out here once more, so that a wrong value in the code shows.
+CITY_ROWS = [(0, '北京', '华北'), (1, '上海', '华东'), (2, '南京', '华东'), (3, '广州', '华南'), (4, '三亚', '华南'), (5, '武汉', '华中'), (6, '长沙', '华中'), (7, '西安', '西北'), (8, '成都', '西南'), (9, '哈尔滨', '东北')]
+VISIT_BINS = [('1s_3s', 1, 3), ('4s_6s', 4, 6), ('7s_9s', 7, 9), ('10s_30s', 10, 30), ('30s_60s', 31, 60), ('1m_3m', 61, 180), ('3m_10m', 181, 600), ('10m_30m', 601, 1800), ('30m', 1801, None)]
+STEP_BINS = [('1_3', 1, 3), ('4_6', 4, 6), ('7_9', 7, 9), ('10_30', 10, 30), ('30_60', 31, 60), ('60', 61, None)]
+COURSE_EVENT = {'view': 'startVideo', 'click': 'endVideo', 'signup': 'enterOrderPage', 'purchase': 'completeOrder'}
+IP_REGIONS = ['北京', '上海', '广东', '浙江', '江苏', '四川']
+UNKNOWN_REGION = '未知'
+VIDEO_LENGTH = 300
+AREA_LEVELS = {'华北': 'A_Level', '华东': 'A_Level', '华中': 'B_Level', '华南': 'B_Level', '西南': 'C_Level', '西北': 'C_Level'}
+OTHER_LEVEL = 'D_Level'
+STATUS_SELF = 'Self'
+STATUS_THIRD = 'Third Party'
 
 
 def _q(s: str) -> str:
@@ -234,8 +244,6 @@ def ratio_sql(a: str, n: str) -> str:
 
 
 def length_report_sql(params) -> str:
-    from visitlens.operators.session_fold import STEP_BINS, VISIT_BINS
-
     def cond(col, lo, hi):
         return f"{col} >= {lo}" if hi is None else f"{col} BETWEEN {lo} AND {hi}"
     counts = ["count(*) AS session_count"]
@@ -527,3 +535,52 @@ SELECT CASE kind WHEN 0 THEN regexp_replace(line, '[^\t]+$', '922337203685477580
   WHEN 4 THEN line || chr(9) || 'more' WHEN 5 THEN '' WHEN 6 THEN NULL WHEN 7 THEN regexp_replace(line, '^[^\t]+', 'nobody')
   ELSE line END AS value
 FROM k WHERE kind < 8 OR event_type = 'error'"""
+
+
+def time_functions_sql() -> str:
+    return """SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS parsed,
+  strftime(ts, '%Y%m%d%H%M') AS minute_key, strftime(ts, '%Y-%m-%d_%H') AS date_hour,
+  ts < date_trunc('day', ts) + INTERVAL 12 HOURS AS before_noon, ts > date_trunc('day', ts) + INTERVAL 12 HOURS AS after_noon,
+  CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS BIGINT) AS second_of_day,
+  strftime(ts, '%Y-%m-%d') AS day_of_key, strftime(ts, '%Y-%m-%d') AS day_of_epoch FROM events"""
+
+
+def relative_days_sql() -> str:
+    return "SELECT event_id, 1::INTEGER AS days_apart FROM events"
+
+
+def text_functions_sql() -> str:
+    return """SELECT event_id, event_id || ',' || user_id AS trimmed, lpad(CAST(event_id % 24 AS VARCHAR), 2, '0') AS padded,
+  CAST(user_id AS VARCHAR) AS user_value, CAST(NULL AS VARCHAR) AS no_value, CAST(NULL AS VARCHAR) AS missing_value,
+  'id=' || event_id || '|none=|user=x' AS set_value FROM events"""
+
+
+def _days_sql(where: str = "") -> str:
+    return f"""SELECT strftime(ts, '%Y-%m-%d') AS date, 'P' || (user_id % 10) AS province, count(*) AS n
+FROM events WHERE event_type = 'click' {where} GROUP BY ALL"""
+
+
+def appended_results_sql() -> str:
+    return " UNION ALL ".join(f"SELECT 'run-{p}' AS taskid, * FROM ({_days_sql(f'AND event_id % 2 = {p}')})" for p in (0, 1))
+
+
+def overwritten_by_key_sql() -> str:
+    return f"""WITH a AS ({_days_sql('AND event_id % 2 = 0')}), b AS ({_days_sql('AND event_id % 2 = 1')})
+SELECT * FROM b UNION ALL SELECT * FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.date = a.date AND b.province = a.province)"""
+
+
+def replaced_groups_sql() -> str:
+    return f"""WITH a AS ({_days_sql()}), b AS ({_days_sql('AND user_id % 50 = 0')})
+SELECT * FROM b UNION ALL SELECT * FROM a WHERE date NOT IN (SELECT date FROM b)"""
+
+
+def written_text_sql() -> str:
+    return clean_course_log_sql()
+
+
+def written_day_table_sql() -> str:
+    return daily_study_sql(None)
+
+
+def saved_table_sql() -> str:
+    return f"SELECT * FROM ({_days_sql()}) WHERE n > 1"

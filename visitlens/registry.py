@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from visitlens import oracle as O
 from visitlens.params import TaskParams
-from visitlens.plans import ads, course, page, product, session
+from visitlens.plans import ads, checks, course, page, product, session
 from visitlens.session import configure
 from visitlens.streaming import runs
 from visitlens.sources import fixtures as src
@@ -96,6 +96,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # lines that the parsers drop, among lines spoiled in several ways
         "p6_ad_rejects": _q(lambda s, d: logs.ad_rejects(src.spoiled_ad_lines(s, d))),
         "p6_ad_clicks": _q(lambda s, d: ads.user_click_counts(logs.parse_ad_lines(src.spoiled_ad_lines(s, d)))),
+        # single functions and sinks
+        "f_time_functions": _q(checks.time_functions),
+        "f5_relative_days": _q(checks.relative_days),
+        "f_text_functions": _q(checks.text_functions),
+        "k1_appended_results": _q(checks.appended_results),
+        "k3_overwritten_by_key": _q(checks.overwritten_by_key),
+        "k5_replaced_groups": _q(checks.replaced_groups),
+        "k8_written_text": _q(checks.written_text),
+        "k9_written_day_table": _q(checks.written_day_table),
+        "k10_saved_table": _q(checks.saved_table),
         "p7_course_rejects": _q(lambda s, d: logs.course_rejects(src.spoiled_course_lines(s, d))),
     }
 
@@ -144,5 +154,14 @@ def oracle_sql() -> dict[str, str]:
         "st_ad_blacklist_counts": O.blacklist_loop_sql(LOOP_SLICES, TEST_THRESHOLD, "counts"),
         "p6_ad_rejects": O.ad_rejects_sql(),
         "p6_ad_clicks": O.spoiled_click_counts_sql(),
+        "f_time_functions": O.time_functions_sql(),
+        "f5_relative_days": O.relative_days_sql(),
+        "f_text_functions": O.text_functions_sql(),
+        "k1_appended_results": O.appended_results_sql(),
+        "k3_overwritten_by_key": O.overwritten_by_key_sql(),
+        "k5_replaced_groups": O.replaced_groups_sql(),
+        "k8_written_text": O.written_text_sql(),
+        "k9_written_day_table": O.written_day_table_sql(),
+        "k10_saved_table": O.saved_table_sql(),
         "p7_course_rejects": O.course_rejects_sql(),
     }
