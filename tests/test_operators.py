@@ -14,7 +14,7 @@ from visitlens.operators.session_fold import fold_sessions, length_ratios
 from visitlens.operators.topn import top_n_per_group
 from visitlens.params import TaskParams
 from visitlens.plans.course import clean_lines
-from visitlens.plans.session import category_counts
+from visitlens.plans.session import session_category_counts
 
 
 def _plain_pairs(df):
@@ -124,7 +124,7 @@ def test_stratified_sample_quota_and_subset(spark):
 def test_category_counts_explodes_lists(spark):
     df = spark.createDataFrame([(3, None, None), (-1, "3,4", None), (-1, None, "4"), (-1, "x,4", None)],
                                "click_category_id long, order_category_ids string, pay_category_ids string")
-    got = {r.categoryid: (r.click_count, r.order_count, r.pay_count) for r in category_counts(df).collect()}
+    got = {r.categoryid: (r.click_count, r.order_count, r.pay_count) for r in session_category_counts(df.withColumn('session_id', F.lit('s'))).collect()}
     assert got == {3: (1, 1, 0), 4: (0, 2, 1)}
 
 

@@ -9,21 +9,20 @@ from pyspark.sql import types as T
 _PAIR, _EDGE, _VISIT = 0, 1, 2
 
 
-def transition_counts(df: DataFrame, group: str, order: list[str], value: str,
-                      partitions: int | None = None) -> DataFrame:
+def transition_counts(df: DataFrame, group: str, order: list[str], value: str, partitions: int | None = None,
+                      pairs: list[tuple[int, int]] | None = None, visits: list[int] | None = None) -> DataFrame:
     """Count (value, next value) pairs of consecutive rows of each group in
     ``order`` (the last order column must break ties), and rows per value.
     Output: ``kind`` ('pair' | 'visit'), ``from_value``, ``to_value`` (NULL
-    for visits), ``n``.
+    for visits), ``n``. With ``pairs`` and ``visits`` only those are counted.
 
     Skew-safe: rows are range-partitioned on (group, order...), so a huge
     group is cut into consecutive slices over several tasks instead of one.
-    ``lead`` runs inside each slice. Range bounds are sampled keys and each
-    bound falls in its own slice, so every slice but the last is non-empty:
-    a group that goes on past slice s goes on in slice s + 1. Its last row
-    in s and first row in s + 1 therefore meet under the key (group, s + 1)
-    in the same aggregation that counts pairs and visits (partial combine
-    before the shuffle); no self-join, and the input is scanned once.
+    ``lead`` runs inside each slice; the first and the last value of a group in
+    a slice are kept, and the last meets the first of the group's next slice,
+    whichever that is. Wanted pairs, visits and ends are counted in one
+    aggregation (partial combine before the shuffle); no self-join, and the
+    input is scanned once.
     """
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -42,29 +41,33 @@ def transition_counts(df: DataFrame, group: str, order: list[str], value: str,
     ng = F.lit(None).cast(df.schema[group].dataType)
     ni = F.lit(None).cast("int")
 
+    def wanted(a, b):
+        some = a.isNotNull() & b.isNotNull()
+        return some if pairs is None else some & F.struct(a, b).isin(*[F.struct(F.lit(x).cast("bigint"), F.lit(y).cast("bigint")) for x, y in pairs])
+
     def entry(k, a, b, g, s, first, last):
         return F.struct(F.lit(k).alias("k"), a.alias("a"), b.alias("b"), g.alias("g"), s.alias("s"),
                         first.alias("f"), last.alias("l"))
 
+    visit = F.lit(True) if visits is None else v.isin(*map(int, visits))
     entries = F.array(
-        F.when(~last & v.isNotNull() & nxt.isNotNull(), entry(_PAIR, v, nxt, ng, ni, nl, nl)),
-        entry(_VISIT, v, nl, ng, ni, nl, nl),
-        F.when(F.col("_rn") == 1, entry(_EDGE, nl, nl, F.col(group), F.col("_slice"), v, nl)),
-        F.when(last, entry(_EDGE, nl, nl, F.col(group), F.col("_slice") + 1, nl, v)),
+        F.when(~last & wanted(v, nxt), entry(_PAIR, v, nxt, ng, ni, nl, nl)),
+        F.when(visit, entry(_VISIT, v, nl, ng, ni, nl, nl)),
+        F.when(last | (F.col("_rn") == 1), entry(_EDGE, nl, nl, F.col(group), F.col("_slice"),
+                                                 F.when(F.col("_rn") == 1, v), F.when(last, v))),
     )
     e = local.select(F.explode(F.filter(entries, lambda x: x.isNotNull())).alias("e")).select("e.*")
     agg = e.groupBy("k", "a", "b", "g", "s").agg(F.count(F.lit(1)).alias("n"),
                                                  F.max("f").alias("f"), F.max("l").alias("l"))
     edge = F.col("k") == _EDGE
-    # a boundary pair needs a value from the last row of slice s and from the
-    # first row of s + 1 (as inside a slice, pairs with a NULL value are not
-    # counted)
-    out = (agg.where(~edge | (F.col("f").isNotNull() & F.col("l").isNotNull()))
-           .select(F.when(F.col("k") == _VISIT, "visit").otherwise("pair").alias("kind"),
-                   F.when(edge, F.col("l")).otherwise(F.col("a")).alias("from_value"),
-                   F.when(edge, F.col("f")).otherwise(F.col("b")).alias("to_value"),
-                   F.when(edge, F.lit(1).cast("bigint")).otherwise(F.col("n")).alias("n")))
-    return out.groupBy("kind", "from_value", "to_value").agg(F.sum("n").alias("n"))
+    # the group's next slice; other rows are counted already and pass through
+    met = agg.withColumn("_next", F.lead("f").over(Window.partitionBy("k", "g", "a", "b").orderBy("s")))
+    return (met.where(~edge | wanted(F.col("l"), F.col("_next")))
+            .select(F.when(F.col("k") == _VISIT, "visit").otherwise("pair").alias("kind"),
+                    F.when(edge, F.col("l")).otherwise(F.col("a")).alias("from_value"),
+                    F.when(edge, F.col("_next")).otherwise(F.col("b")).alias("to_value"),
+                    F.when(edge, F.lit(1).cast("bigint")).otherwise(F.col("n")).alias("n"))
+            .groupBy("kind", "from_value", "to_value").agg(F.sum("n").alias("n")))
 
 
 def flow_steps(spark: SparkSession, flow: list[int]) -> DataFrame:

@@ -105,8 +105,11 @@ def click_trend_twin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def click_trend_last_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B16 as a reader sees it: the 60 minutes up to the latest click."""
-    kept = remove_blacklisted(clicks(spark, sf_dir), src.initial_blacklist(spark, sf_dir))
+    listed = src.initial_blacklist(spark, sf_dir)
+    # one value: the latest minute; its hour can begin the day before
+    latest = remove_blacklisted(clicks(spark, sf_dir), listed).agg(
+        F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:00"), F.date_format(F.max("ts") - F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd")).first()
+    recent = parse_ad_lines(src.ad_click_lines(spark, sf_dir, latest[1]))  # the scan skips earlier days
     minute = F.date_trunc("minute", F.col("ts"))
-    latest = kept.agg(F.date_trunc("minute", F.max("ts"))).scalar()  # scalar subquery, no join
-    recent = kept.where(minute > latest - F.expr("INTERVAL 60 MINUTES"))
-    return click_trend(recent).select(*TREND_COLUMNS)
+    hour = recent.where(minute > F.lit(latest[0]).cast("timestamp") - F.expr("INTERVAL 60 MINUTES"))
+    return click_trend(remove_blacklisted(hour, listed)).select(*TREND_COLUMNS)

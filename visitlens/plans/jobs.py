@@ -21,8 +21,8 @@ from visitlens.operators.sample import stratified_sample
 from visitlens.operators.session_fold import length_ratios
 from visitlens.params import TaskParams
 from visitlens.plans import page, product
-from visitlens.plans.session import (DETAIL_COLUMNS, SAMPLE_COLUMNS, profile_frame, rank_categories,
-                                     rank_sessions)
+from visitlens.plans.session import (DETAIL_COLUMNS, SAMPLE_COLUMNS, kept_category_counts,
+                                     profile_frame, rank_categories, rank_sessions)
 from visitlens.session import checkpoint_dir, configure
 from visitlens.sinks.tables import append_result
 from visitlens.sources import fixtures as src
@@ -45,9 +45,9 @@ def session_reports(spark: SparkSession, sf_dir: str, params: TaskParams, sample
                                params.days_in_range()).select(*SAMPLE_COLUMNS)
     detail = (acts.join(broadcast_bounded(sample.select("session_id"), sample_total), "session_id", "left_semi")
               .withColumn("action_time", format_time("action_time")).select(*DETAIL_COLUMNS))
-    kept = acts.join(filtered.select("session_id"), "session_id", "left_semi")
-    top = rank_categories(kept, k)
-    top_sessions = rank_sessions(kept, top, k, n)
+    counts = kept_category_counts(acts, filtered)
+    top = rank_categories(counts, k)
+    top_sessions = rank_sessions(counts, top, k, n)
     return {"session_ratio": ratios, "session_extract": sample, "session_detail": detail,
             "top10_category": top, "top10_session": top_sessions}
 

@@ -23,7 +23,8 @@ def page_conversion(spark: SparkSession, sf_dir: str, params: TaskParams = TaskP
     """
     flow = params.page_flow()
     acts = src.actions(spark, sf_dir, params.start_date, params.end_date)
-    counts = transition_counts(acts, "session_id", ["action_time", "action_id"], "page_id")
+    counts = transition_counts(acts, "session_id", ["action_time", "action_id"], "page_id",
+                               pairs=list(zip(flow, flow[1:])), visits=flow[:1])
     # one join of the step table (step 0 = visits of the first page) with the
     # counts; the count chain is consumed once
     c = counts.select("kind", F.col("from_value").alias("from_page"),

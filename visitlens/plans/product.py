@@ -46,16 +46,18 @@ def area_counts(clicks: DataFrame) -> DataFrame:
 def rank_area_products(area_counts: DataFrame, product_info: DataFrame, n: int = 3) -> DataFrame:
     """(area, pid, click_count, city_infos) ⋈ products -> top ``n`` per area.
 
-    The product join is left to AQE (broadcast when the product side is
-    measured small, sort-merge otherwise). Ranking keeps a partial limit
-    before the shuffle, so a huge area does not land whole in one task.
+    Products are matched by key alone before the ranking; names and status are
+    fetched for the few rows left. Joins are left to AQE. Ranking keeps a
+    partial limit before the shuffle, so a huge area does not land whole in one
+    task.
     """
     prod = product_info.select(F.col("product_id").alias("pid"), "product_name", "extend_info")
-    joined = area_counts.join(prod, "pid", "inner").select(
+    known = area_counts.join(prod.select("pid"), "pid", "left_semi")
+    top = top_n_per_group(known, ["area"], [F.desc("click_count"), F.asc("pid")], n)
+    return top.join(prod, "pid", "inner").select(
         "area", area_level(F.col("area")).alias("area_level"), "pid", "city_infos",
         "click_count", "product_name", product_status(F.col("extend_info")).alias("product_status"),
-    )
-    return top_n_per_group(joined, ["area"], [F.desc("click_count"), F.asc("pid")], n).select(*OUTPUT)
+    ).select(*OUTPUT)
 
 
 def area_top3(spark: SparkSession, sf_dir: str, params: TaskParams = TaskParams(), n: int = 3) -> DataFrame:

@@ -87,18 +87,11 @@ def sample_detail(spark: SparkSession, sf_dir: str, params: TaskParams = TaskPar
             .select(*DETAIL_COLUMNS))
 
 
-def filtered_actions(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:
-    """Actions of the filtered sessions (semi join; the session side is
-    data-sized, AQE picks the strategy)."""
-    kept = filtered_frame(spark, sf_dir, params).select("session_id")
-    return src.actions(spark, sf_dir, params.start_date, params.end_date).join(kept, "session_id", "left_semi")
-
-
-def category_counts(actions: DataFrame) -> DataFrame:
-    """A4-A6 + J3 in one pass: every action is tagged with the categories it
+def session_category_counts(actions: DataFrame) -> DataFrame:
+    """A4-A7 + J3 in one pass: every action is tagged with the categories it
     clicked, ordered or paid (lists exploded, F17), then one aggregation
-    counts the three kinds per category. Categories with any action of any
-    kind are candidates (Q7)."""
+    counts the three kinds per (session, category). A category with any action
+    of any kind is a candidate (Q7)."""
     tag = lambda ids, kind: F.transform(ids, lambda x: F.struct(x.alias("cat"), F.lit(kind).alias("kind")))
     click = F.when(F.col("click_category_id") != -1, F.array(F.col("click_category_id")))
     tags = F.concat(
@@ -106,41 +99,47 @@ def category_counts(actions: DataFrame) -> DataFrame:
         F.coalesce(tag(split_ids("order_category_ids"), "o"), F.array().cast("array<struct<cat:bigint,kind:string>>")),
         F.coalesce(tag(split_ids("pay_category_ids"), "p"), F.array().cast("array<struct<cat:bigint,kind:string>>")),
     )
-    return (actions.select(F.explode(tags).alias("t"))
-            .groupBy(F.col("t.cat").alias("categoryid"))
+    return (actions.select("session_id", F.explode(tags).alias("t"))
+            .groupBy("session_id", F.col("t.cat").alias("categoryid"))
             .agg(F.count_if(F.col("t.kind") == "c").alias("click_count"),
                  F.count_if(F.col("t.kind") == "o").alias("order_count"),
                  F.count_if(F.col("t.kind") == "p").alias("pay_count")))
 
 
-def rank_categories(actions: DataFrame, k: int = 10) -> DataFrame:
+def kept_category_counts(actions: DataFrame, sessions: DataFrame) -> DataFrame:
+    """(session, category) counts of the filtered sessions. The raw actions
+    are counted where they lie; only counts meet the session list."""
+    return session_category_counts(actions).join(sessions.select("session_id"), "session_id", "left_semi")
+
+
+def _counts(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:
+    return kept_category_counts(src.actions(spark, sf_dir, params.start_date, params.end_date),
+                                filtered_frame(spark, sf_dir, params))
+
+
+def rank_categories(counts: DataFrame, k: int = 10) -> DataFrame:
     """T1 over A4-A6: top ``k`` categories by click, then order, then pay
-    count; ties by id (Q8, Q9)."""
-    return top_k(category_counts(actions), [F.desc("click_count"), F.desc("order_count"),
-                                            F.desc("pay_count"), F.asc("categoryid")], k) \
-        .select(*TOP_CATEGORY_COLUMNS)
+    count; ties by id (Q8, Q9). ``counts``: (session, category) counts."""
+    kinds = ("click_count", "order_count", "pay_count")
+    totals = counts.groupBy("categoryid").agg(*[F.sum(c).alias(c) for c in kinds])
+    return top_k(totals, [*map(F.desc, kinds), F.asc("categoryid")], k).select(*TOP_CATEGORY_COLUMNS)
 
 
-def rank_sessions(actions: DataFrame, top: DataFrame, k: int = 10, n: int = 10) -> DataFrame:
+def rank_sessions(counts: DataFrame, top: DataFrame, k: int = 10, n: int = 10) -> DataFrame:
     """For each of the ``k`` top categories, the ``n`` sessions with most
-    clicks on it (J4 broadcast semi join with the k-row list, A7, W5)."""
-    cats = broadcast_bounded(top.select(F.col("categoryid").alias("click_category_id")), k)
-    clicks = actions.where(F.col("click_category_id") != -1).join(cats, "click_category_id", "left_semi")
-    per_session = (clicks.groupBy(F.col("click_category_id").alias("categoryid"), "session_id")
-                   .agg(F.count(F.lit(1)).alias("click_count")))
-    return top_n_per_group(per_session, ["categoryid"],
-                           [F.desc("click_count"), F.asc("session_id")], n).select(*TOP_SESSION_COLUMNS)
+    clicks on it (J4 semi join with the k-row list, A7, W5)."""
+    cats = broadcast_bounded(top.select("categoryid"), k)
+    clicks = counts.where(F.col("click_count") > 0).join(cats, "categoryid", "left_semi")
+    return top_n_per_group(clicks, ["categoryid"], [F.desc("click_count"), F.asc("session_id")], n).select(*TOP_SESSION_COLUMNS)
 
 
 def top_categories(spark: SparkSession, sf_dir: str, params: TaskParams = TaskParams(), k: int = 10) -> DataFrame:
     """Top categories over the actions of the filtered sessions."""
-    return rank_categories(filtered_actions(spark, sf_dir, params), k)
+    return rank_categories(_counts(spark, sf_dir, params), k)
 
 
 def top_sessions(spark: SparkSession, sf_dir: str, params: TaskParams = TaskParams(),
                  k: int = 10, n: int = 10) -> DataFrame:
-    """Top sessions of each top category. Both steps use one filtered
-    action frame, so the identical scan and fold are planned once and their
-    exchanges reused."""
-    fa = filtered_actions(spark, sf_dir, params)
-    return rank_sessions(fa, rank_categories(fa, k), k, n)
+    """Top sessions of each top category, both from the same counts."""
+    counts = _counts(spark, sf_dir, params)
+    return rank_sessions(counts, rank_categories(counts, k), k, n)
