@@ -296,7 +296,8 @@ def spoiled_course_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Course lines of all events, some of them spoiled in their time, user or
     number of fields; error events have 16 fields anyway."""
     c = _course_columns(events(spark, sf_dir))
-    line = _course_line(c)
+    c = c.select("event_id", _course_line(c).alias("line"))
+    line = F.col("line")
 
     def last(text):
         return F.regexp_replace(line, "[^\t]+$", text)
