@@ -19,6 +19,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,18 @@ CHUNK_WORDS = 1_500_000
 #: n-grams of a bucket, about
 BUCKET_GRAMS = 1_000_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+#: bits of an n-gram's hash that travel; the bucket has the others, more of them the more n-grams there are
+_GRAM = np.uint64((1 << 48) - 1)
+
+
+def _pack(grams: np.ndarray) -> bytes:
+    """Six bytes each: the low four of all, then the high two of all."""
+    return (grams & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() + (grams >> np.uint64(32)).astype(np.uint16).tobytes()
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    n = len(raw) // 6
+    return np.frombuffer(raw, np.uint32, n).astype(np.uint64) | np.frombuffer(raw, np.uint16, n, 4 * n).astype(np.uint64) << np.uint64(32)
 
 
 def _chunk(chunk_words: int):
@@ -38,7 +51,7 @@ def _chunk(chunk_words: int):
         return pa.RecordBatch.from_arrays(
             [pa.array([key], pa.int64()), pa.array([sum(sizes)], pa.int64()), pa.array([docs], pa.list_(pa.int64())),
              pa.array([sizes], pa.list_(pa.int64())), pa.array([np.fromiter(map(xxhash.xxh64_intdigest, vocab), np.uint64, len(vocab)).tobytes()], pa.binary()),
-             pa.array([b"".join(parts)], pa.binary())], names=["chunk", "n", "docs", "sizes", "vocab", "words"])
+             pa.array([zstandard.compress(b"".join(parts), 3)], pa.binary())], names=["chunk", "n", "docs", "sizes", "vocab", "words"])
 
     def run(batches):
         from pyspark import TaskContext
@@ -67,7 +80,7 @@ class _Chunk:
     def __init__(self, sizes: list[int], vocab: bytes, words: bytes, buckets: int):
         self.sizes = np.array(sizes, dtype=np.int64)
         self.hash = np.frombuffer(vocab, np.uint64)
-        self.words = np.frombuffer(words, np.uint32).astype(np.int64)
+        self.words = np.frombuffer(zstandard.decompress(words), np.uint32).astype(np.int64)
         self.doc = np.repeat(np.arange(len(sizes)), self.sizes)
         v = max(1, len(self.hash))
         # places whose word has one before it in the same document
@@ -78,6 +91,7 @@ class _Chunk:
         pair_hash = mix64(self.hash[unique // v] * _M1 + self.hash[unique % v] * _M2) if len(unique) else np.empty(0, np.uint64)
         grams = np.concatenate((self.hash, pair_hash))
         bucket = (grams % np.uint64(buckets)).astype(np.int64)
+        grams = (grams // np.uint64(buckets)) & _GRAM
         self.order = np.lexsort((grams, bucket))
         self.grams, self.bucket = grams[self.order], bucket[self.order]
 
@@ -96,7 +110,7 @@ def _send(buckets: int):
                 if len(ends):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c.bucket[starts]), pa.array([chunk] * len(ends), pa.int64()),
-                         pa.array([c.grams[a:z].tobytes() for a, z in zip(starts, ends)], pa.binary()),
+                         pa.array([_pack(c.grams[a:z]) for a, z in zip(starts, ends)], pa.binary()),
                          pa.array([counts[a:z].tobytes() for a, z in zip(starts, ends)], pa.binary())],
                         names=["bucket", "chunk", "grams", "counts"])
     return run
@@ -104,7 +118,7 @@ def _send(buckets: int):
 
 def _total(table: pa.Table) -> pa.Table:
     """Corpus counts of a bucket's n-grams, in each chunk's own order."""
-    grams = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
+    grams = [_unpack(x) for x in table.column("grams").to_pylist()]
     counts = [np.frombuffer(x, np.uint32) for x in table.column("counts").to_pylist()]
     distinct, at = np.unique(np.concatenate(grams), return_inverse=True)
     total = np.bincount(at, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.uint64)
