@@ -61,3 +61,27 @@ def test_bands():
     assert judge(prose(200)) and judge(prose(5000))
     # half of the text is one line again and again
     assert not judge(prose(1500) + b"buy now buy now buy now " * 600)
+
+
+def test_incompressible_text_alone_and_inside_prose():
+    import base64
+    import random
+
+    import numpy as np
+    import zstandard
+    codec, bands = zstandard.ZstdCompressor(level=3), quality.Bands()
+    judge = lambda t: quality.compression(t, bands, codec)
+    rng, pick = np.random.default_rng(5), random.Random(6)
+    noise = {"base64": lambda n: base64.b64encode(rng.bytes(n))[:n], "printable": lambda n: bytes(rng.integers(33, 127, n, dtype=np.uint8))}
+    words = ["".join(pick.choice(["an", "er", "th", "on", "re", "st"]) for _ in range(pick.randrange(1, 5))) for _ in range(3000)]
+    prose = lambda n: " ".join(words[int(3000 * pick.random() ** 3)] for _ in range(n)).encode()[:n]
+    for kind, make in noise.items():
+        for n in (120, 149, 150, 199, 200, 299, 300, 599, 600, 999, 1000, 2999, 3000, 4096, 9999, 10_000, 60_000):
+            assert not judge(make(n))[2], (kind, n)
+        # half of the document, and a last chunk that is not full
+        assert not judge(prose(5_000) + make(10_000) + prose(5_000))[2], kind
+        assert judge(prose(4096) + make(3000))[1:] == (3000 / 7096, False), kind
+        # a short rest weighs by its bytes
+        assert judge(prose(8192) + make(300))[1:] == (300 / 8492, True), kind
+    for n in (100, 120, 200, 300, 1000, 4096, 5000, 20_000, 60_000):
+        assert judge(prose(n))[1:] == (0.0, True), n

@@ -28,14 +28,17 @@ MOST_REPEATED = 20  # percent of the words
 class Bands:
     """Limits of compression ratios. ``whole``: (bytes from, lowest, highest),
     by length; a text shorter than the first is not judged. ``chunk`` limits
-    hold for every full chunk of ``chunk_bytes``; a text with more than
-    ``bad_share`` of its chunks outside is rejected."""
+    hold for every full chunk of ``chunk_bytes``; for the rest after the last
+    one the highest of its length does, and the chunks' lowest. A text with more than ``bad_share`` of its judged
+    bytes in chunks outside is rejected. The highest lie between prose and
+    random letters and digits of that length; below 120 bytes zstandard stores
+    prose with a number or two as it stands, like random text, so there is none."""
 
     whole: tuple[tuple[int, float, float], ...] = (
-        (100, 0.40, 1.25), (300, 0.38, 0.95), (1_000, 0.34, 0.80), (3_000, 0.30, 0.72),
-        (10_000, 0.26, 0.68), (50_000, 0.22, 0.65))
+        (100, 0.40, float("inf")), (120, 0.40, 0.975), (150, 0.40, 0.925), (200, 0.40, 0.88), (300, 0.38, 0.80), (600, 0.38, 0.73),
+        (1_000, 0.34, 0.68), (3_000, 0.30, 0.63), (10_000, 0.26, 0.60), (50_000, 0.22, 0.58))
     chunk_bytes: int = 4096
-    chunk: tuple[float, float] = (0.15, 0.85)
+    chunk: tuple[float, float] = (0.15, 0.65)
     bad_share: float = 0.25
     level: int = 3
 
@@ -72,21 +75,29 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
             len(lines) - len(set(lines)), repeated_words(words))
 
 
+def _limits(size: int, bands: Bands) -> tuple[float, float] | None:
+    """Lowest and highest ratio for a length; None: too short to judge."""
+    return next(((low, high) for least, low, high in reversed(bands.whole) if size >= least), None)
+
+
 def compression(text: bytes, bands: Bands, codec: zstandard.ZstdCompressor) -> tuple[float | None, float, bool]:
-    """Ratio of the whole text, share of its full chunks outside their limits,
-    and whether both pass."""
+    """Ratio of the whole text, share of its judged bytes in chunks outside
+    their limits, and whether both pass."""
     if not text:
         return None, 0.0, True
     ratio = len(codec.compress(text)) / len(text)
-    size, (low, high) = bands.chunk_bytes, bands.chunk
-    parts = [len(codec.compress(text[i:i + size])) / size for i in range(0, len(text) - size + 1, size)]
-    bad = sum(not low <= x <= high for x in parts) / len(parts) if parts else 0.0
-    ok = bad <= bands.bad_share
-    for least, low, high in reversed(bands.whole):
-        if len(text) >= least:
-            ok = ok and low <= ratio <= high
-            break
-    return ratio, bad, ok
+    judged = bad = 0
+    for i in range(0, len(text), bands.chunk_bytes):
+        part = text[i:i + bands.chunk_bytes]
+        limits = bands.chunk if len(part) == bands.chunk_bytes else _limits(len(part), bands)
+        limits = limits and (bands.chunk[0], limits[1])
+        if limits:
+            judged += len(part)
+            x = len(codec.compress(part)) / len(part) if len(part) < len(text) else ratio
+            bad += 0 if limits[0] <= x <= limits[1] else len(part)
+    share = bad / judged if judged else 0.0
+    limits = _limits(len(text), bands)
+    return ratio, share, share <= bands.bad_share and (not limits or limits[0] <= ratio <= limits[1])
 
 
 def _judge(bands: Bands):
