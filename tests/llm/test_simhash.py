@@ -78,3 +78,22 @@ def test_radius_search_finds_all(spark):
 def test_edited_texts_are_nearer_than_the_next(small):
     r = simhash.fingerprint_report(small).agg(F.avg("near_edited"), F.avg("near_next")).first()
     assert r[0] > r[1] + 0.2
+
+
+def test_near_documents_are_counted_and_linked(spark):
+    """Two texts of one fingerprint, copies behind another one, a distant one;
+    two white spaces make another text of the same terms."""
+    base = " ".join(f"w{i % 91}" for i in range(900))
+    rows = [(0, base), (1, base), (2, base.replace(" ", "  ", 1)), (3, base + " x y"), (4, base + " x y"), (5, "quite another text here"), (50, "alone for itself")]
+    docs = spark.createDataFrame([*rows, rows[3]], "doc_id long, text string")
+    got = {r.doc_id: r for r in simhash.fingerprint_report(docs).collect()}
+    fp = {i: int(r.fingerprint, 16) for i, r in got.items()}
+    text = dict(rows)
+    near = {i: {j for j in fp if bin(fp[i] ^ fp[j]).count("1") <= 3} for i in (0, 50)}
+    assert fp[0] == fp[2] and near[0] >= {0, 1, 2}
+    assert [got[i].n_within for i in (0, 50)] == [len([j for j in near[i] if text[j] != text[i]]) for i in (0, 50)]
+    links = simhash.near_links(docs).collect()
+    for i in (0, 50):
+        others = {r.other_fingerprint: r for r in links if r.fingerprint == got[i].fingerprint}
+        assert {j for j in fp if got[j].fingerprint in others} == near[i]
+        assert all(r.n_documents == sum(got[j].fingerprint == f for j in fp) and r.distance == bin(fp[i] ^ int(f, 16)).count("1") for f, r in others.items())

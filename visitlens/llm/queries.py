@@ -43,6 +43,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_links(table(spark, sf_dir, "documents"))
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(table(spark, sf_dir, "documents"))
 
@@ -60,7 +64,7 @@ def op8_license(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack, "op2_secrets": op2_secrets, "op3_mix": op3_mix, "op4_url_filter": op4_url_filter, "op5_neardup": op5_neardup, "op6_lm_score": op6_lm_score, "op7_simhash": op7_simhash, "op8_license": op8_license, "op9_langid": op9_langid, "op10_quality": op10_quality}
+    return {"op1_pack": op1_pack, "op2_secrets": op2_secrets, "op3_mix": op3_mix, "op4_url_filter": op4_url_filter, "op5_neardup": op5_neardup, "op6_lm_score": op6_lm_score, "op7_simhash": op7_simhash, "op7_simhash_links": op7_simhash_links, "op8_license": op8_license, "op9_langid": op9_langid, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -95,6 +95,16 @@ def within_radius(queries: DataFrame, all_: DataFrame, radius: int = RADIUS, blo
             .select("fp", "other").distinct())
 
 
+def near_classes(queries: DataFrame, documents: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(fp, other, distance, n_documents): for every distinct ``fp`` of
+    ``queries``, each fingerprint of ``documents`` (one row a document) within
+    ``radius`` bits, itself included, and how many documents have that one."""
+    pairs = within_radius(queries, documents, radius).union(queries.select("fp", F.col("fp").alias("other")).distinct())
+    size = documents.groupBy(F.col("fp").alias("_fp")).agg(F.count("*").alias("n_documents"))
+    return pairs.join(size, pairs["other"] == size["_fp"]).select(
+        "fp", "other", F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))).alias("distance"), "n_documents")
+
+
 def next_in_order(rows: DataFrame, order: list[str]) -> DataFrame:
     """``rows`` with ``next``, a struct of ``order``'s values in the row that
     follows (after the last: the first), nulls first."""
@@ -143,7 +153,9 @@ def fingerprint_report(docs: DataFrame, every: int = 50, radius: int = RADIUS) -
     """One row per row of ``docs`` (doc_id, text, any more columns): doc_id,
     n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next, and for rows whose doc_id is divisible by ``every`` n_within,
-    the number of other fingerprints within ``radius`` bits (else null)."""
+    the number of other documents (as in ``document_order``) of another text
+    within ``radius`` bits, equal fingerprints included (else null). Which they
+    are: ``near_links``, joined to this by fingerprint."""
     order = document_order(docs)
     both = edited(docs, order).select(
         "doc_id", "key", F.unhex(F.sha2("edited", 256)).alias("sha"),
@@ -158,11 +170,28 @@ def fingerprint_report(docs: DataFrame, every: int = 50, radius: int = RADIUS) -
     following = fps.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), F.col("fp").alias("_next"))
     rows = rows.join(following, rows["next_id"].eqNullSafe(following["_d"]) & (rows["next_key"] == following["_k"])).drop("_d", "_k")
     asked = fps.where(F.col("doc_id") % every == 0)
-    found = within_radius(asked, fps, radius).groupBy("fp").agg(F.count("*").alias("n"))
-    rows = rows.join(found.withColumnRenamed("fp", "_fp"), F.col("fp") == F.col("_fp"), "left")
+    found = near_classes(asked, fps, radius).groupBy("fp").agg(F.sum("n_documents").alias("n"))
+    # documents of the same text are not counted; they share the fingerprint
+    same = fps.groupBy(F.col("fp").alias("_fp"), F.col("key").alias("_k")).agg(F.count("*").alias("_same"))
+    same = same.join(found, same["_fp"] == found["fp"]).select("_fp", "_k", (F.col("n") - F.col("_same")).alias("n"))
+    rows = rows.join(same, (F.col("fp") == F.col("_fp")) & (F.col("key") == F.col("_k")), "left")
     return rows.select(
         "doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), as_hex(F.col("fp")).alias("fingerprint"),
         as_hex(F.col("efp")).alias("edited_fingerprint"), likeness(F.col("fp"), F.col("efp")).alias("near_edited"),
         likeness(F.col("fp"), F.col("_next")).alias("near_next"),
         F.when(F.col("doc_id") % every == 0, F.coalesce("n", F.lit(0))).cast("long").alias("n_within"),
         F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).drop("_copy")
+
+
+def near_links(docs: DataFrame, every: int = 50, radius: int = RADIUS) -> DataFrame:
+    """fingerprint, other_fingerprint, distance, n_documents (with the other):
+    for every fingerprint of a document whose doc_id is divisible by ``every``,
+    the fingerprints of all documents within ``radius`` bits, itself at 0. The
+    documents of either are those of ``fingerprint_report`` that have it, so
+    links between documents follow without a row for each pair of them."""
+    texts = docs.select(docs["doc_id"].alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
+    texts = texts.withColumn("key", F.xxhash64("text"))
+    one = texts.groupBy("doc_id", "key").agg(F.first("text").alias("text"))
+    fps = stage(fingerprints(one, ["doc_id", "key"]), "fingerprints")
+    return near_classes(fps.where(F.col("doc_id") % every == 0), fps, radius).select(
+        as_hex(F.col("fp")).alias("fingerprint"), as_hex(F.col("other")).alias("other_fingerprint"), "distance", "n_documents")
