@@ -45,3 +45,11 @@ def test_training_separates_classes():
     x = [np.array([1, 2]), np.array([2, 3]), np.array([7, 8]), np.array([8])]
     w, b = licenses._train(x, np.array([0, 0, 1, 1]), 2)
     assert all((w[f].mean(axis=0) + b).argmax() == y for f, y in zip(x, (0, 0, 1, 1)))
+
+
+def test_reserved_rights_in_the_corpus(small):
+    got = {r.doc_id: r for r in licenses.license_report(small).collect()}
+    want = {r.doc_id: [i for i, x in enumerate(r.text.split("\n")) if x.strip() == "All rights reserved."] for r in small.collect()}
+    assert sum(map(len, want.values())) == 3
+    for doc, lines in want.items():
+        assert (got[doc].n_reserved, got[doc].first_reserved) == (len(lines), min(lines, default=None))

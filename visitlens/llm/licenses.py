@@ -39,6 +39,7 @@ TEMPLATES = {
     "bsd-3-clause": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
                      "Distributed under the BSD 3-Clause License", "SPDX-License-Identifier: BSD-3-Clause"),
     "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "SPDX-License-Identifier: MPL-2.0"),
+    "all-rights-reserved": ("All rights reserved.",),
     "proprietary": ("All rights reserved. No part of this publication may be reproduced without prior written permission",),
 }
 NONE = "none"
@@ -232,14 +233,25 @@ def scan(docs: DataFrame, model: Classifier, keep: list[str]) -> DataFrame:
     return out.select(*[F.col("_row")[c].alias(c) for c in keep], "n_paragraphs", "hits")
 
 
+#: a notice that names no licence; the report has it in columns of its own
+RESERVED = "all-rights-reserved"
+
+
 def license_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_paragraphs, n_notices (confirmed), n_unconfirmed, families (of
-    confirmed notices, sorted, joined by commas), first_paragraph (of a
-    confirmed notice, else null), probability (the highest confirmed)."""
+    """doc_id, n_paragraphs, n_notices (confirmed, of a licence), n_unconfirmed,
+    families (of those notices, sorted, joined by commas), first_paragraph (of
+    one, else null), probability (their highest); n_reserved, first_reserved and
+    reserved_probability: the same of the confirmed notices 'All rights
+    reserved', which name no licence."""
     found = scan(docs, train(docs), ["doc_id"])
-    sure = F.filter("hits", lambda h: h["confirmed"])
+    sure = F.filter("hits", lambda h: h["confirmed"] & (h["family"] != RESERVED))
+    reserved = F.filter("hits", lambda h: h["confirmed"] & (h["family"] == RESERVED))
     return found.select(
-        "doc_id", "n_paragraphs", F.size(sure).cast("long").alias("n_notices"), (F.size("hits") - F.size(sure)).cast("long").alias("n_unconfirmed"),
+        "doc_id", "n_paragraphs", F.size(sure).cast("long").alias("n_notices"),
+        F.size(F.filter("hits", lambda h: ~h["confirmed"])).cast("long").alias("n_unconfirmed"),
         F.array_join(F.array_sort(F.array_distinct(F.transform(sure, lambda h: h["family"]))), ",").alias("families"),
         F.array_min(F.transform(sure, lambda h: h["paragraph"])).alias("first_paragraph"),
-        F.array_max(F.transform(sure, lambda h: h["probability"])).alias("probability"))
+        F.array_max(F.transform(sure, lambda h: h["probability"])).alias("probability"),
+        F.size(reserved).cast("long").alias("n_reserved"),
+        F.array_min(F.transform(reserved, lambda h: h["paragraph"])).alias("first_reserved"),
+        F.array_max(F.transform(reserved, lambda h: h["probability"])).alias("reserved_probability"))
