@@ -53,3 +53,25 @@ def test_reserved_rights_in_the_corpus(small):
     assert sum(map(len, want.values())) == 3
     for doc, lines in want.items():
         assert (got[doc].n_reserved, got[doc].first_reserved) == (len(lines), min(lines, default=None))
+
+
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+BSD = """# Redistribution and use in source and binary forms, with or
+# without modification, are permitted provided that the
+# following conditions are met:"""
+
+
+def test_wrapped_notices(spark, model):
+    texts = [GPL, f"An intro line\n{BSD}\n# more\n\nan end", "Released under the\nMIT License.", f"words before\n\n{GPL}\n\nand\n\n{BSD}",
+             "All rights\nreserved.", "Redistribution and use in source and binary forms, with or\n\nwithout modification, are permitted provided that the",
+             "Released under the MIT License.\nReleased under the\nMIT License.", "This work is licensed under the\nriver by the terms of\nthe general story"]
+    assert hits(spark, model, texts) == [[(0, "gpl-3.0")], [(1, "bsd-3-clause")], [(0, "mit")], [(2, "gpl-3.0"), (9, "bsd-3-clause")],
+                                         [(0, "all-rights-reserved")], [], [(0, "mit")], []]
+
+
+def test_wrapped_notices_do_not_depend_on_passes(spark, model, monkeypatch):
+    monkeypatch.setattr(licenses, "PASS_WORDS", 3)
+    assert hits(spark, model, [GPL, "x\n" + BSD]) == [[(0, "gpl-3.0")], [(1, "bsd-3-clause")]]

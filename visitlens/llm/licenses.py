@@ -6,7 +6,9 @@ families and "none" apart; it learns from the families' notices, varied, and
 from a bounded sample of the corpus' own paragraphs as "none". A family's
 probability must reach a limit that calibration paragraphs of the corpus set,
 else the paragraph is unknown; and a prediction counts only if the paragraph
-holds enough of one of the family's templates.
+holds enough of one of the family's templates. A notice may run over several
+lines up to a blank one: words of neighbouring lines that together hold enough
+of a template are judged in the same way.
 """
 
 from __future__ import annotations
@@ -70,17 +72,25 @@ _numbers = _Numbers()
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _hashes(paragraphs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word numbers without bare marks, the paragraph of each; hashes of pairs
-    of neighbours, the paragraph of each."""
+def _numbered(paragraphs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers without bare marks, the paragraph of each."""
     sizes = [len(p) for p in paragraphs]
     words = np.fromiter((_numbers[w] for p in paragraphs for w in p), np.uint64, sum(sizes))
     whose = np.repeat(np.arange(len(paragraphs)), sizes)
     real = words != 0
-    words, whose = words[real], whose[real]
+    return words[real], whose[real]
+
+
+def _paired(words: np.ndarray) -> np.ndarray:
+    """Hashes of all pairs of neighbours."""
+    return ((words[:-1] * _PAIR) ^ (words[1:] + (words[1:] << np.uint64(7)))) * _PAIR >> np.uint64(1)
+
+
+def _hashes(paragraphs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``_numbered`` and hashes of pairs of neighbours, the paragraph of each."""
+    words, whose = _numbered(paragraphs)
     same = whose[1:] == whose[:-1]
-    pairs = ((words[:-1] * _PAIR) ^ (words[1:] + (words[1:] << np.uint64(7))))[same]
-    return words, whose, pairs * _PAIR >> np.uint64(1), whose[1:][same]
+    return words, whose, _paired(words)[same], whose[1:][same]
 
 
 def _features(words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
@@ -117,6 +127,61 @@ class Classifier:
             found.append((i, self.families[best[i]], float(p[i, best[i]]), bool(share >= CONFIRM)))
         return found
 
+    def wrapped(self, lines: list[list[bytes]], blocks: np.ndarray) -> list[tuple[int, int, str, float]]:
+        """(first line, last line, family, probability) of notices that run over
+        several lines of one block (its number for each line, ascending)."""
+        words, whose = _numbered(lines)
+        if not len(words):
+            return []
+        pairs = _paired(words)
+        known = np.unique(np.concatenate([t for _, t in self.templates]))
+        place = np.searchsorted(known, pairs).clip(max=len(known) - 1)
+        inside = np.flatnonzero((known[place] == pairs) & (blocks[whose[1:]] == blocks[whose[:-1]]))
+        spans = []
+        for k, t in self.templates:
+            need, width = max(1, int(np.ceil(CONFIRM * len(t) - 1e-9))), 2 * len(t) + 8
+            at = inside[np.isin(pairs[inside], t)]
+            starts = np.flatnonzero((at[need - 1:] - at[:max(0, len(at) - need + 1)] <= width)) if len(at) >= need else []
+            for i in starts:
+                held = set()
+                for j in at[i:]:
+                    if j - at[i] > width or blocks[whose[j + 1]] != blocks[whose[at[i]]]:
+                        break
+                    held.add(int(pairs[j]))
+                    if len(held) >= need:
+                        # from its first word to its last, on more lines than one
+                        if whose[at[i]] < whose[j + 1]:
+                            spans.append((k, int(at[i]), int(j) + 2))
+                        break
+        # the classifier judges the words of a span; of overlapping ones of a family the best counts
+        f = [_features(words[a:b], pairs[a:b - 1]) for _, a, b in spans]
+        best: list[tuple[int, int, str, float]] = []
+        for (k, a, b), features in zip(spans, f):
+            z = self.weights[features].mean(axis=0) + self.bias
+            z = np.exp(z - z.max())
+            p = z / z.sum()
+            if p[:-1].argmax() == k and p[k] >= self.limit:
+                best.append((int(whose[a]), int(whose[b - 1]), self.families[k], float(p[k])))
+        merged: dict[str, list[tuple[int, int, str, float]]] = {}
+        for a, b, family, q in sorted(best):
+            own = merged.setdefault(family, [])
+            if own and a <= own[-1][1] + 1 and blocks[a] == blocks[own[-1][0]]:
+                own[-1] = (own[-1][0], max(b, own[-1][1]), family, max(q, own[-1][3]))
+            else:
+                own.append((a, b, family, q))
+        return sorted(x for own in merged.values() for x in own)
+
+    def notices(self, lines: list[list[bytes]], blocks: np.ndarray) -> list[tuple[int, str, float, bool]]:
+        """``predict`` of the lines, and the first line of those that are wrapped.
+        A span beside a confirmed line of its family is that line's notice;
+        unconfirmed lines of a span go."""
+        single = self.predict(lines)
+        sure = {(i, family) for i, family, _, ok in single if ok}
+        spans = [x for x in self.wrapped(lines, blocks)
+                 if not any((i, x[2]) in sure and blocks[i] == blocks[x[0]] for i in range(max(0, x[0] - 1), min(len(lines), x[1] + 2)))]
+        covered = {i for a, b, *_ in spans for i in range(a, b + 1)}
+        return sorted([x for x in single if x[3] or x[0] not in covered] + [(a, family, q, True) for a, _, family, q in spans])
+
 
 def _train(x: list[np.ndarray], y: np.ndarray, classes: int, steps: int = 200) -> tuple[np.ndarray, np.ndarray]:
     """Multinomial logistic regression by gradient steps scaled per weight (AdaGrad)."""
@@ -207,13 +272,16 @@ def _scan(model: Classifier):
             texts = texts_as_bytes(b)
             found: list[list[dict]] = [[] for _ in texts]
             n_paragraphs = []
-            lines = []
+            blocks = []  # lines without a blank one between them
             for d, t in enumerate(texts):
                 own = [(d, i, ws) for i, line in enumerate(t.lower().split(b"\n")) if (ws := line.split())]
                 n_paragraphs.append(len(own))
-                lines += own
-            for part in chunks(lines, lambda x: len(x[2]), PASS_WORDS):
-                for i, family, p, sure in model.predict([ws for _, _, ws in part]):
+                cuts = [0, *(n for n in range(1, len(own)) if own[n][1] > own[n - 1][1] + 1), len(own)]
+                blocks += [own[x:y] for x, y in zip(cuts, cuts[1:]) if x < y]
+            for some in chunks(blocks, lambda x: sum(len(ws) for _, _, ws in x), PASS_WORDS):
+                part = [line for x in some for line in x]
+                number = np.repeat(np.arange(len(some)), [len(x) for x in some])
+                for i, family, p, sure in model.notices([ws for _, _, ws in part], number):
                     found[part[i][0]].append({"paragraph": part[i][1], "family": family, "probability": p, "confirmed": sure})
             yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(n_paragraphs, pa.int64()), pa.array(found, hit)],
                                              names=["_row", "n_paragraphs", "hits"])
@@ -223,7 +291,8 @@ def _scan(model: Classifier):
 def scan(docs: DataFrame, model: Classifier, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``docs`` (which has text), n_paragraphs (lines
     with a word) and hits, an array of (paragraph: the line's number from 0,
-    family, probability, confirmed) of the lines that are taken for a notice.
+    family, probability, confirmed) of the lines that are taken for a notice;
+    a notice over several lines has the number of its first.
     Null and empty texts: no paragraph, no hit. Equal texts get equal hits."""
     arrow_rows(docs.sparkSession)
     rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("_row"), docs["text"].alias("text"))
