@@ -75,3 +75,14 @@ def test_wrapped_notices(spark, model):
 def test_wrapped_notices_do_not_depend_on_passes(spark, model, monkeypatch):
     monkeypatch.setattr(licenses, "PASS_WORDS", 3)
     assert hits(spark, model, [GPL, "x\n" + BSD]) == [[(0, "gpl-3.0")], [(1, "bsd-3-clause")]]
+
+
+def test_kin_of_the_families_are_not_confirmed(spark, model):
+    texts = ["This work is licensed under the GNU General Public License, version 2", GPL.replace("version 3", "version 2"),
+             "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+             "This work is licensed under a Creative Commons Attribution 3.0 International License", "Licensed under CC BY-SA 4.0",
+             "Licensed under the Apache License, Version 1.1", "Distributed under the BSD 2-Clause License",
+             "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1"]
+    assert hits(spark, model, texts) == [[]] * len(texts)
+    kept = [t for family in licenses.TEMPLATES.values() for t in family]
+    assert [[f for _, f in x] for x in hits(spark, model, kept)] == [[k] for k, family in licenses.TEMPLATES.items() for _ in family]

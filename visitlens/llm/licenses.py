@@ -52,6 +52,9 @@ SAMPLE = 6000
 VARIANTS = 40
 #: of a template's word pairs, the share that confirms a prediction
 CONFIRM = 0.6
+#: word pairs that tell a licence from its versions and kin; a template that holds some confirms only with all of them
+TELLING = ("version 2.0", "version 3", "by-nc 4.0", "attribution-noncommercial 4.0", "by 4.0", "attribution 4.0",
+           "bsd 3-clause", "v 2.0")
 PASS_WORDS = 200_000
 STRIP = b" \t\x0b\x0c\r.,;:!?\"'()[]{}<>*#|&$%"
 SEED = 8
@@ -103,7 +106,7 @@ class Classifier:
     weights: np.ndarray  # (features, classes)
     bias: np.ndarray
     limit: float
-    templates: list[tuple[int, np.ndarray]]  # family, sorted word pairs
+    templates: list[tuple[int, np.ndarray, np.ndarray]]  # family, sorted word pairs, those of them that tell it
 
     def probabilities(self, words, whose, pairs, pair_whose, n: int) -> np.ndarray:
         f, at = _features(words, pairs), np.concatenate((whose, pair_whose))
@@ -123,7 +126,7 @@ class Classifier:
         found = []
         for i in np.flatnonzero(p[np.arange(n), best] >= self.limit).tolist():
             held = np.unique(pairs[pair_whose == i])
-            share = max((np.isin(t, held).mean() for k, t in self.templates if k == best[i]), default=0.0)
+            share = max((np.isin(t, held).mean() for k, t, telling in self.templates if k == best[i] and np.isin(telling, held).all()), default=0.0)
             found.append((i, self.families[best[i]], float(p[i, best[i]]), bool(share >= CONFIRM)))
         return found
 
@@ -134,11 +137,11 @@ class Classifier:
         if not len(words):
             return []
         pairs = _paired(words)
-        known = np.unique(np.concatenate([t for _, t in self.templates]))
+        known = np.unique(np.concatenate([t for _, t, _ in self.templates]))
         place = np.searchsorted(known, pairs).clip(max=len(known) - 1)
         inside = np.flatnonzero((known[place] == pairs) & (blocks[whose[1:]] == blocks[whose[:-1]]))
         spans = []
-        for k, t in self.templates:
+        for k, t, telling in self.templates:
             need, width = max(1, int(np.ceil(CONFIRM * len(t) - 1e-9))), 2 * len(t) + 8
             at = inside[np.isin(pairs[inside], t)]
             starts = np.flatnonzero((at[need - 1:] - at[:max(0, len(at) - need + 1)] <= width)) if len(at) >= need else []
@@ -148,7 +151,7 @@ class Classifier:
                     if j - at[i] > width or blocks[whose[j + 1]] != blocks[whose[at[i]]]:
                         break
                     held.add(int(pairs[j]))
-                    if len(held) >= need:
+                    if len(held) >= need and held.issuperset(telling.tolist()):
                         # from its first word to its last, on more lines than one
                         if whose[at[i]] < whose[j + 1]:
                             spans.append((k, int(at[i]), int(j) + 2))
@@ -215,12 +218,14 @@ def fit(negatives: list[bytes]) -> Classifier:
     rng = np.random.default_rng(SEED)
     families = sorted(TEMPLATES)
     templates, x, y = [], [], []
+    tell = np.concatenate([_hashes([t.encode().split()])[2] for t in TELLING])
     plain = [n.lower().split() for n in negatives]
     filler = [w for p in plain[:500] for w in p[:20]] or [b"the"]
     for k, family in enumerate(families):
         for text in TEMPLATES[family]:
             words = text.encode().lower().split()
-            templates.append((k, np.unique(_hashes([words])[2])))
+            held = np.unique(_hashes([words])[2])
+            templates.append((k, held, held[np.isin(held, tell)]))
             for v in range(VARIANTS):
                 kept = [w for w in words if v == 0 or rng.random() > 0.08]
                 head, tail = (int(rng.integers(0, 4)) if v % 2 else 0 for _ in range(2))
