@@ -115,3 +115,14 @@ def test_redact_keeps_rows_and_columns(edge_docs):
 def test_many_matches_in_one_text(spark, n):
     got = secrets.secret_spans(rows(spark, ["token=abcdefgh " * n])).first().spans
     assert [(s.start, s.end) for s in got] == [(15 * i, 15 * i + 14) for i in range(n)]
+
+
+def test_private_keys_are_replaced_whole(spark):
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = "\n".join(["MIIEpAIBAAKCAQEA" + "aB3+/" * 9] * 30 + ["Qk9keQ=="])
+    texts = [f"before\n{head}\n{body}\n{end}\nafter", f"before\n{head}\n{body}\nsome words after", f"{head}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,00FF\n\n{body}\n{end}",
+             f"{head} is how such a key begins", f"{head}{body}{end} and {head}{body}", "x " * 100_000 + head + "\n" + "aB3+/" * 100_000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secrets.redact(rows).collect()}
+    assert [got[i] for i in range(len(texts))] == ["before\n[SECRET]\nafter", "before\n[SECRET]\nsome words after", "[SECRET]", "[SECRET] is how such a key begins",
+                                                  "[SECRET] and [SECRET]", "x " * 100_000 + "[SECRET]"]

@@ -11,7 +11,7 @@ between matches (running sums over exploded matches, one blob per group).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,6 +52,12 @@ EXTRA = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}+", hint="_"),
 )
 RULES = BASE + EXTRA
+#: what ``redact`` replaces: of a private key also its fields and body to the
+#: END line, or without one to the end of the base64 lines
+_PEM_FIELDS = r"(?:\s*[A-Za-z]+-[A-Za-z]+:[^\n]*){0,8}"
+_PEM_END = r"[^-]*+-----END [A-Z ]*PRIVATE KEY-----"
+_PEM_RUN = r"(?:\s*+[A-Za-z0-9+/]{16,}+={0,2}+){1,1000}+(?:\r?\n[A-Za-z0-9+/]{1,15}+={0,2}+(?=\r?\n|$))?"
+WHOLE = BASE + (replace(EXTRA[0], pattern=EXTRA[0].pattern + f"(?:{_PEM_FIELDS}(?:{_PEM_END}|{_PEM_RUN}))?", version=2), EXTRA[1])
 
 _FOUND = "array<struct<start:long,rule:string,end:long>>"
 _SPAN = "array<struct<start:long,kind:int,end:long>>"
@@ -131,7 +137,7 @@ def secret_spans(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule,
     return findings(docs, spark.read.schema(schema).parquet(ledger), rules)
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def redact(docs: DataFrame, mark: str = "[SECRET]", rules: tuple[Rule, ...] = WHOLE) -> DataFrame:
     """``docs`` with every found span of ``text`` replaced by ``mark``; spans
     that overlap count as one. Rows without a span, null texts included, stay
     as they are. A column that is named ``spans`` is kept."""
