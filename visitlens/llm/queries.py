@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlens.llm import langid, licenses, lmscore, mixing, neardup, packing, quality, secrets, simhash, urlfilter
+from visitlens.llm import langid, licenses, lmscore, mixing, neardup, packing, quality, secrets, simhash, urlfilter, veccodes
 from visitlens.llm.common import table
 
 
@@ -63,9 +63,16 @@ def op8_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return veccodes.code_report(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack, "op2_secrets": op2_secrets, "op3_mix": op3_mix, "op4_url_filter": op4_url_filter, "op5_neardup": op5_neardup, "op6_lm_score": op6_lm_score, "op7_simhash": op7_simhash, "op7_simhash_links": op7_simhash_links, "op8_license": op8_license, "op9_langid": op9_langid, "op10_quality": op10_quality}
+    found = (op1_pack, op2_secrets, op3_mix, op4_url_filter, op5_neardup, op6_lm_score, op7_simhash, op7_simhash_links,
+             op8_license, op9_langid, op10_quality, op11_vector_codes)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secrets": secrets.digest_sql(), "op4_url_filter": urlfilter.judge_sql()}
+    return {"op2_secrets": secrets.digest_sql(), "op4_url_filter": urlfilter.judge_sql(),
+            "op11_vector_codes": veccodes.report_sql()}
