@@ -40,15 +40,23 @@ def counted(rows):
 
 def brute(rows):
     n = counted(rows)
+    if any(len(w) > 1000 for w in n):  # too long for keys
+        links = {w: {v for v in n if near(w, v)} for w in n}
+        return chains(n, links)
     # words one deletion apart, or equal but for one place, share a key
     keys = {}
     for w in n:
         for k in {(w,)} | {(w[:i] + w[i + 1:],) for i in range(len(w))} | {(i, w[:i], w[i + 1:]) for i in range(len(w))}:
             keys.setdefault(k, set()).add(w)
-    form, links = {}, {w: set() for w in n}
+    links = {w: set() for w in n}
     for group in keys.values():
         for a in group:
             links[a] |= {b for b in group if near(a, b)}
+    return chains(n, links)
+
+
+def chains(n, links):
+    form = {}
     for w, around in links.items():
         best = min(around, key=lambda v: (-n[v], v), default=None)
         form[w] = best if best and n[best] >= 5 * n[w] else None
@@ -110,3 +118,10 @@ def test_index_finds_every_near_word_once(words):
     every = np.arange(len(words))
     found = [(words[q], words[w]) for left in (True, False) for qs, ws in variants.shard_pairs(words, every, every, left) for q, w in zip(qs, ws)]
     assert sorted(found) == sorted((a, b) for a in words for b in words if near(a, b))
+
+
+def test_very_long_words(spark):
+    long_ = "x" * 70_000
+    text = " ".join([long_] * 5 + [long_ + "y"] * 30 + [long_[:-1] + "é"] * 6 + ["abcdef"] * 9)
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert got(variants.variant_groups(df)) == brute([(1, text)])

@@ -33,6 +33,8 @@ MIN_CHARS, MIN_COUNT, FORM_RATIO = 6, 5, 5
 DROP_ONE_IN = 199
 #: index words of a shard, about; queries searched at a time
 SHARD_WORDS, QUERIES = 100_000, 20_000
+#: symbols of the queries searched at a time, at most (one very long word aside)
+AREA = 1 << 20
 
 
 class RankIndex:
@@ -161,21 +163,25 @@ def shard_pairs(words: list[str], indexed: np.ndarray, asked: np.ndarray, left:
     if not len(indexed) or not len(asked):
         return
     index = RankIndex([words[i] if not left else words[i][::-1] for i in indexed])
-    text, size = _matrix(words)
-    for a in range(0, len(asked), QUERIES):
-        ask = asked[a:a + QUERIES]
-        read = text[ask]
+    size = np.array([len(w) for w in words], np.int64)
+    asked, a = asked[np.argsort(size[asked], kind="stable")], 0
+    while a < len(asked):
+        k = QUERIES
+        while k > 1 and k * size[asked[min(a + k, len(asked)) - 1]] > AREA:
+            k //= 2
+        ask = asked[a:a + k]
+        a += k
         half = size[ask] // 2
-        if not left:  # read from the end
-            read, _ = _matrix([words[i][::-1] for i in ask])
+        read, _ = _matrix([words[i] if left else words[i][::-1] for i in ask])
         q, w = index.near(read, size[ask], half if left else size[ask] - half)
-        q, w = ask[q], indexed[w]
+        w = indexed[w]
         if not left:
-            k = min(text.shape[1], int(half.max(initial=0)))
-            same = (text[q, :k] == text[w, :k]) | (np.arange(k) >= size[q][:, None] // 2)
-            other = ~same.all(axis=1)
-            q, w = q[other], w[other]
-        yield q, w
+            begin, _ = _matrix([words[i][:h] for i, h in zip(ask, half)])
+            other, _ = _matrix([words[i][:h] for i, h in zip(w, half[q])])
+            begin = begin[q][:, :other.shape[1]]
+            differs = (begin != other).any(axis=1)
+            q, w = q[differs], w[differs]
+        yield ask[q], w
 
 
 def vocabulary(docs: DataFrame, min_chars: int = MIN_CHARS, min_count: int = MIN_COUNT, drop_one_in: int = DROP_ONE_IN) -> DataFrame:
