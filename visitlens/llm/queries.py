@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from visitlens.llm import langid, licenses, lmscore, mixing, neardup, packing, quality, secrets, simhash, urlfilter, variants, veccodes
+from visitlens.llm import langid, licenses, lmscore, mixing, neardup, packing, quality, secrets, simhash, urlfilter, variants, veccodes, warc
 from visitlens.llm.common import table
 
 
@@ -67,16 +67,20 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return veccodes.code_report(table(spark, sf_dir, "embeddings"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(table(spark, sf_dir, "pages"))
+
+
 def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variant_groups(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_pack, op2_secrets, op3_mix, op4_url_filter, op5_neardup, op6_lm_score, op7_simhash, op7_simhash_links,
-             op8_license, op9_langid, op10_quality, op11_vector_codes, op13_variants)
+             op8_license, op9_langid, op10_quality, op11_vector_codes, op12_warc, op13_variants)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_secrets": secrets.digest_sql(), "op4_url_filter": urlfilter.judge_sql(),
-            "op11_vector_codes": veccodes.report_sql()}
+            "op11_vector_codes": veccodes.report_sql(), "op12_warc": warc.report_sql()}
