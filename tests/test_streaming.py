@@ -3,6 +3,7 @@
 import os
 import uuid
 
+from visitlens.plans.ads import province_top3
 from visitlens.session import checkpoint_dir
 from visitlens.sources.logs import read_text_stream
 from visitlens.streaming.ads import AdTables, process_ad_batch, start_ad_stream
@@ -181,3 +182,52 @@ def test_a_vip_added_between_batches_counts(spark):
                             watermark="4 days", available_now=True).awaitTermination()
         spark.createDataFrame([(2, 2)], "id long, uid long").write.mode("append").parquet(vips)
     assert [r.uid for r in table.read().collect()] == [1]
+
+
+def test_top3_is_kept_up_by_group(spark):
+    """Only the (day, province) groups of a batch are replaced."""
+    t = AdTables.at(spark, f"{checkpoint_dir(spark)}/ads-{uuid.uuid4().hex}", merge_every=1)
+    t.seed_blacklist(spark.createDataFrame([], "userid long"))
+    for n, rows in enumerate([[_click(1, ad, province=p) for p in ("P1", "P2") for ad in (1, 2, 3) for _ in range(ad)],
+                              [_click(2, 4, province="P1")] * 9, [_click(2, 1, province="P1")] * 4]):
+        process_ad_batch(t, _lines(spark, rows), n)
+        want = sorted(tuple(r) for r in province_top3(t.ad_stat.read()).collect())
+        assert sorted(tuple(r) for r in t.province_top3().collect()) == want
+    assert ("20240101", "P1", 4, 9) in want and ("20240101", "P2", 3, 3) in want
+    before = want
+    process_ad_batch(t, _lines(spark, rows), 2)  # a replay
+    process_ad_batch(t, _lines(spark, rows), 0)  # one that the totals have
+    assert sorted(tuple(r) for r in t.province_top3().collect()) == before
+
+
+def test_stream_state_overwrites_changed_rows(spark):
+    """Minute counts from state: a late click within the watermark changes its
+    minute, one beyond it is dropped and shows in the query's progress."""
+    from visitlens.streaming.ads import start_trend_stream, trend_state_table
+
+    root = f"{checkpoint_dir(spark)}/state-{uuid.uuid4().hex}"
+    os.makedirs(f"{root}/in")
+    table = trend_state_table(spark, f"{root}/trend")
+    for n, rows in enumerate([[_click(1, 1), _click(1, 1)], [_click(1, 1, 10), _click(1, 1)], [_click(1, 1, 500)], [_click(1, 1, 501)], [_click(1, 1)]]):
+        with open(f"{root}/in/{n}.txt", "w") as fh:
+            fh.write("\n".join(rows) + "\n")
+        query = start_trend_stream(read_text_stream(spark, f"{root}/in", 1), spark.createDataFrame([], "userid long"), table,
+                                   f"{root}/ckpt", "30 minutes", available_now=True)
+        query.awaitTermination()
+    got = {(r["hour"], r["minute"]): r["click_count"] for r in table.read().collect()}
+    assert got == {("00", "00"): 3, ("00", "10"): 1, ("08", "20"): 1, ("08", "21"): 1}
+    assert sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"]) == 1
+
+
+def test_course_rejects_are_counted(spark):
+    from visitlens.streaming.orders import reject_table, start_rejects_stream
+
+    root = f"{checkpoint_dir(spark)}/rejects-{uuid.uuid4().hex}"
+    os.makedirs(f"{root}/in")
+    table = reject_table(spark, f"{root}/out", merge_every=1)
+    good = _course_line(1, "completeOrder", 1704067200)
+    for n, rows in enumerate([[good, "junk", "junk"], ["junk", good + "\tmore"], [good]]):
+        with open(f"{root}/in/{n}.txt", "w") as fh:
+            fh.write("\n".join(rows) + "\n")
+    start_rejects_stream(read_text_stream(spark, f"{root}/in", 1), table, f"{root}/ckpt", available_now=True).awaitTermination()
+    assert sorted(tuple(r) for r in table.read().collect()) == sorted([("junk", 3), (good + "\tmore", 1)])

@@ -26,21 +26,23 @@ from visitlens.sources import fixtures as src
 from visitlens.sources.logs import read_kafka_stream, read_text_stream
 from visitlens.sources.user_tables import UserTables
 from visitlens.streaming.ads import AdTables, start_ad_stream
-from visitlens.streaming.orders import recent_days, start_unpaid_stream, start_vip_stream, unpaid_table, vip_table
+from visitlens.streaming.orders import (
+    recent_days, reject_table, start_rejects_stream, start_unpaid_stream, start_vip_stream, unpaid_table, vip_table,
+)
 
 STREAMS = ("ads", "unpaid", "vip")
 
 
 def _stream(spark, a, data) -> None:
     if a.kafka:
-        lines = read_kafka_stream(spark, a.kafka, a.topic)
+        lines = read_kafka_stream(spark, a.kafka, a.topic, a.assign, a.starting_offsets)
     else:
         lines = read_text_stream(spark, a.lines, a.files_per_batch)
     out, checkpoint = a.out.rstrip("/"), f"{a.out.rstrip('/')}/checkpoint-{a.job}"
     often = {"available_now": a.once, "processing_time": a.every}
     if a.job == "ads":
         tables = AdTables.at(spark, out)
-        if not tables.blacklist.rows().where("run = 'seed'").limit(1).count():
+        if not tables.seeded():
             tables.seed_blacklist(src.initial_blacklist(spark, data))
         query = start_ad_stream(lines, tables, checkpoint, a.threshold, **often)
     elif a.job == "unpaid":
@@ -49,6 +51,9 @@ def _stream(spark, a, data) -> None:
     else:
         table = vip_table(spark, f"{out}/vip_increment_analysis")
         query = start_vip_stream(lines, src.ip_ranges(spark, data), table, checkpoint, src.ranges_bound(data), **often)
+    if a.job != "ads":  # the ad stream writes its rejects itself
+        rejects = start_rejects_stream(lines, reject_table(spark, f"{out}/course_rejects"), f"{checkpoint}-rejects", **often)
+        rejects.awaitTermination() if a.once else None
     query.awaitTermination()
     if a.job == "vip" and a.as_of:
         recent_days(table.read(), a.as_of).write.mode("overwrite").parquet(f"{out}/vip_increment_recent")
@@ -69,6 +74,8 @@ def main(argv=None) -> None:
     s.add_argument("--files-per-batch", type=int, default=None)
     s.add_argument("--kafka", help="bootstrap servers")
     s.add_argument("--topic")
+    s.add_argument("--assign", default=None, metavar="JSON", help='partitions instead of a topic: {"topic": [0, 1]}')
+    s.add_argument("--starting-offsets", default="latest", help='earliest, latest or JSON: {"topic": {"0": 23}}; a checkpoint goes before')
     s.add_argument("--once", action="store_true")
     s.add_argument("--every", default="5 seconds", help="time between micro-batches")
     s.add_argument("--threshold", type=int, default=100, help="clicks of one ad on a day that list a user")
@@ -78,8 +85,8 @@ def main(argv=None) -> None:
     s.add_argument("--watermark", default="4 days", help="how late an order-page visit may come")
     s.add_argument("--as-of", default=None, help="yyyy-MM-dd HH:mm:ss: also write the days that are recent by then")
     a = ap.parse_args(argv)
-    if a.job in STREAMS and not (a.kafka and a.topic) and not a.lines:
-        ap.error("a stream needs --lines or --kafka and --topic")
+    if a.job in STREAMS and not (a.kafka and (a.topic or a.assign)) and not a.lines:
+        ap.error("a stream needs --lines or --kafka and --topic or --assign")
     spark = build_session(a.master)
     data = UserTables(a.data, a.tables) if a.tables else a.data
     params = TaskParams.from_json(a.params)

@@ -569,6 +569,24 @@ def overwritten_by_key_sql() -> str:
 SELECT * FROM b UNION ALL SELECT * FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.date = a.date AND b.province = a.province)"""
 
 
+def stored_sums_sql() -> str:
+    return f"""WITH x AS ({_days_sql('AND event_id % 2 = 0')} UNION ALL {_days_sql('AND event_id % 2 = 1')} UNION ALL {_days_sql()})
+SELECT date, province, CAST(sum(n) AS BIGINT) AS n FROM x GROUP BY ALL"""
+
+
+def stored_by_minute_sql() -> str:
+    part = """SELECT strftime(ts, '%Y%m%d') AS date, strftime(ts, '%H') AS hour, strftime(ts, '%M') AS minute, event_id % 5 AS adid,
+  count(*) AS click_count FROM events WHERE event_type = 'click' AND event_id % 2 = {0} GROUP BY ALL"""
+    return f"""WITH a AS ({part.format(0)}), b AS ({part.format(1)})
+SELECT * FROM b UNION ALL SELECT * FROM a WHERE NOT EXISTS (
+  SELECT 1 FROM b WHERE b.date = a.date AND b.hour = a.hour AND b.minute = a.minute AND b.adid = a.adid)"""
+
+
+def counted_course_rejects_sql() -> str:
+    """Files have no NULL lines."""
+    return f"SELECT value, count(*) AS lines FROM ({course_rejects_sql()}) r WHERE value IS NOT NULL GROUP BY value"
+
+
 def replaced_groups_sql() -> str:
     return f"""WITH a AS ({_days_sql()}), b AS ({_days_sql('AND user_id % 50 = 0')})
 SELECT * FROM b UNION ALL SELECT * FROM a WHERE date NOT IN (SELECT date FROM b)"""

@@ -8,11 +8,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitlens.functions import columns as C
-from visitlens.plans import course
+from visitlens.plans import ads, course
 from visitlens.session import checkpoint_dir
 from visitlens.sinks import tables as K
+from visitlens.sinks.stored import KeyedTable
 from visitlens.sources import fixtures as src
 
 
@@ -80,6 +82,49 @@ def replaced_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.replace_groups(_days(spark, sf_dir), few, ["date"])
 
 
+DAY_SCHEMA = "date string, province string, n long"
+
+
+def _day_table(spark: SparkSession, name: str, **how) -> KeyedTable:
+    return KeyedTable(spark, _folder(spark, name), T.StructType.fromDDL(DAY_SCHEMA), ["date", "province"], "date", buckets=2, **how)
+
+
+def stored_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: the counts of even, of odd and again of all events added to a stored
+    table; the second merge is run twice with its number, and counts once."""
+    table = _day_table(spark, "k2")
+    for number, parity in enumerate((0, 1, 1, None)):
+        table.add(_days(spark, sf_dir, parity), "n", number - (number > 1))
+    return table.read()
+
+
+def stored_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3, K7: rows of even, then of odd events written to a stored table by key."""
+    table = _day_table(spark, "k3")
+    for parity in (0, 1):
+        table.upsert(_days(spark, sf_dir, parity))
+    return table.read()
+
+
+def stored_by_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: clicks by minute of even, then of odd events, stored under the four
+    columns that make up the minute's key."""
+    schema = T.StructType.fromDDL("date string, hour string, minute string, adid long, click_count long")
+    table = KeyedTable(spark, _folder(spark, "k4"), schema, ["date", "hour", "minute", "adid"], "date", buckets=2)
+    for parity in (0, 1):
+        ev = src.events(spark, sf_dir).where((F.col("event_type") == "click") & (F.col("event_id") % 2 == parity))
+        table.upsert(ads.click_trend(ev.select(F.col("ts").cast("timestamp").alias("ts"), (F.col("event_id") % 5).alias("adid"))))
+    return table.read()
+
+
+def stored_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: as ``replaced_groups``, in a stored table."""
+    table = _day_table(spark, "k5", bucket_by=["date"])
+    table.upsert(_days(spark, sf_dir))
+    table.replace(_days_of(spark, sf_dir), ["date"])
+    return table.read()
+
+
 def _days_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = src.events(spark, sf_dir).where((F.col("event_type") == "click") & (F.col("user_id") % 50 == 0))
     return (ev.groupBy(C.format_date("ts").alias("date"), F.concat(F.lit("P"), (F.col("user_id") % 10).cast("string")).alias("province"))

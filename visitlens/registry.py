@@ -13,7 +13,6 @@ from visitlens.session import configure
 from visitlens.streaming import runs
 from visitlens.sources import fixtures as src
 from visitlens.sources import logs
-from visitlens.streaming.ads import recent_trend
 from visitlens.streaming.orders import recent_days
 
 FLAGSHIP = "b10_area_top3"
@@ -86,10 +85,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "st_ad_stat": _q(lambda s, d: runs.run_ad_stream(s, d).ad_stat.read()),
         "st_province_top3": _q(lambda s, d: runs.run_ad_stream(s, d).province_top3()),
         "st_click_trend": _q(lambda s, d: runs.run_ad_stream(s, d).trend.read()),
-        "st_click_trend_last_hour": _q(lambda s, d: recent_trend(runs.run_ad_stream(s, d).trend.read(), 60)),
+        "st_click_trend_last_hour": _q(lambda s, d: runs.run_ad_stream(s, d).recent_trend(60)),
         "st_unpaid_followups": _q(lambda s, d: runs.run_unpaid_stream(s, d, WATERMARK)),
         "st_new_vips": _q(lambda s, d: runs.run_vip_stream(s, d)),
         "st_new_vips_recent": _q(lambda s, d: recent_days(runs.run_vip_stream(s, d), VIP_AS_OF)),
+        # logs merged into totals while the stream runs, after every batch
+        "st_merged_ad_stat": _q(lambda s, d: runs.run_ad_stream(s, d, slices=LOOP_SLICES, merge_every=1).ad_stat.read()),
+        "st_merged_user_counts": _q(lambda s, d: runs.run_ad_stream(s, d, TEST_THRESHOLD, LOOP_SLICES, 1).user_clicks.read()),
+        "st_merged_blacklist": _q(lambda s, d: runs.run_ad_stream(s, d, TEST_THRESHOLD, LOOP_SLICES, 1).blacklist.read()),
+        "st_slices_province_top3": _q(lambda s, d: runs.run_ad_stream(s, d, slices=LOOP_SLICES, merge_every=1).province_top3()),
+        "st_merged_new_vips": _q(lambda s, d: runs.run_vip_stream(s, d, 1)),
+        # counts in stream state, changed keys overwritten in a stored table
+        "st_state_click_trend": _q(lambda s, d: runs.run_state_stream(s, d, "trend", WATERMARK)),
+        "st_state_ad_stat": _q(lambda s, d: runs.run_state_stream(s, d, "stat", WATERMARK)),
+        "st_state_new_vips": _q(lambda s, d: runs.run_state_stream(s, d, "vip", WATERMARK)),
+        "st_course_rejects": _q(lambda s, d: runs.run_rejects_stream(s, d)),
         # the blacklist loop: three batches split by time, a threshold that users reach
         "st_ad_blacklist": _q(lambda s, d: runs.run_ad_stream(s, d, TEST_THRESHOLD, LOOP_SLICES).blacklist.read()),
         "st_ad_blacklist_counts": _q(lambda s, d: runs.run_ad_stream(s, d, TEST_THRESHOLD, LOOP_SLICES).user_clicks.read()),
@@ -103,6 +113,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "k1_appended_results": _q(checks.appended_results),
         "k3_overwritten_by_key": _q(checks.overwritten_by_key),
         "k5_replaced_groups": _q(checks.replaced_groups),
+        "k2_stored_sums": _q(checks.stored_sums),
+        "k3_stored_by_key": _q(checks.stored_by_key),
+        "k4_stored_by_minute": _q(checks.stored_by_minute),
+        "k5_stored_groups": _q(checks.stored_groups),
         "k8_written_text": _q(checks.written_text),
         "k9_written_day_table": _q(checks.written_day_table),
         "k10_saved_table": _q(checks.saved_table),
@@ -150,6 +164,15 @@ def oracle_sql() -> dict[str, str]:
         "st_unpaid_followups": O.unpaid_followups_sql(),
         "st_new_vips": O.new_vips_sql(),
         "st_new_vips_recent": O.new_vips_sql(VIP_AS_OF),
+        "st_merged_ad_stat": O.ad_stat_sql(),
+        "st_merged_user_counts": O.blacklist_loop_sql(LOOP_SLICES, TEST_THRESHOLD, "counts"),
+        "st_merged_blacklist": O.blacklist_loop_sql(LOOP_SLICES, TEST_THRESHOLD, "list"),
+        "st_slices_province_top3": O.province_top3_sql(),
+        "st_merged_new_vips": O.new_vips_sql(),
+        "st_state_click_trend": O.click_trend_sql(),
+        "st_state_ad_stat": O.ad_stat_sql(),
+        "st_state_new_vips": O.new_vips_sql(),
+        "st_course_rejects": O.counted_course_rejects_sql(),
         "st_ad_blacklist": O.blacklist_loop_sql(LOOP_SLICES, TEST_THRESHOLD, "list"),
         "st_ad_blacklist_counts": O.blacklist_loop_sql(LOOP_SLICES, TEST_THRESHOLD, "counts"),
         "p6_ad_rejects": O.ad_rejects_sql(),
@@ -160,6 +183,10 @@ def oracle_sql() -> dict[str, str]:
         "k1_appended_results": O.appended_results_sql(),
         "k3_overwritten_by_key": O.overwritten_by_key_sql(),
         "k5_replaced_groups": O.replaced_groups_sql(),
+        "k2_stored_sums": O.stored_sums_sql(),
+        "k3_stored_by_key": O.overwritten_by_key_sql(),
+        "k4_stored_by_minute": O.stored_by_minute_sql(),
+        "k5_stored_groups": O.replaced_groups_sql(),
         "k8_written_text": O.written_text_sql(),
         "k9_written_day_table": O.written_day_table_sql(),
         "k10_saved_table": O.saved_table_sql(),

@@ -1,23 +1,16 @@
-"""Sinks K1-K11: run-id append, set-based merges, tables of micro-batches.
+"""Sinks K1-K11: run-id append, merge meanings, text, day and managed tables.
 
 The merge meanings of the reference's MySQL upserts are plain DataFrame
 functions (``merge_overwrite``, ``merge_add``, ``replace_groups``,
-``append_new``). A stream writes what one micro-batch adds, under its run and
-batch id, to a ``BatchTable``; readers sum or deduplicate. A replayed batch
-overwrites its own rows and no others (Q16, K12), a new checkpoint is a new run
-that adds to the same table, and what a batch writes does not depend on how
-much the table holds. A JDBC upsert can replace the storage without touching
-the merge functions.
+``append_new``); ``visitlens.sinks.stored`` applies them to stored tables.
 """
 
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 # --- merge meanings -------------------------------------------------------------
@@ -88,63 +81,3 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     """K11."""
     df.createOrReplaceTempView(name)
     return df
-
-
-# --- tables of micro-batches ------------------------------------------------------
-
-def run_id(spark: SparkSession, checkpoint: str) -> str:
-    """Id of the streaming query that owns ``checkpoint``: the same after a
-    restart, another one for a new checkpoint."""
-    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
-
-
-class BatchTable:
-    """Rows that micro-batches add: ``<path>/run=<id>/batch=<n>``, one folder a
-    batch, cut by ``day_col`` inside if given, so that readers of some days
-    skip the rest.
-
-    ``read`` gives the table's meaning: with ``keys`` and ``value`` the sum of
-    ``value`` by ``keys``, else the distinct rows.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str] | None = None,
-                 value: str | None = None, day_col: str | None = None):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.keys, self.value, self.day_col = keys, value, day_col
-        # an empty first folder, so that a table without batches can be read
-        self._write(spark.createDataFrame([], schema), "ignore", "none", -1)
-
-    def _write(self, df: DataFrame, mode: str, run: str, batch: int) -> None:
-        out = df.select(*self.schema.names).write.mode(mode)
-        if self.day_col:
-            out = out.partitionBy(self.day_col)
-        out.parquet(f"{self.path}/run={run}/batch={batch}")
-
-    def append(self, df: DataFrame, run: str, batch: int) -> None:
-        """The rows of one batch; a replay replaces them."""
-        self._write(df, "overwrite", run, batch)
-
-    def rows(self, run: str | None = None, before: int | None = None) -> DataFrame:
-        """All rows with their run and batch; with ``run`` and ``before``
-        without that run's batches from ``before`` on, as that batch saw it."""
-        fields = [f for f in self.schema if f.name != self.day_col]
-        days = [f for f in self.schema if f.name == self.day_col]
-        schema = T.StructType([*fields, T.StructField("run", T.StringType()), T.StructField("batch", T.LongType()), *days])
-        found = self.spark.read.schema(schema).parquet(self.path)
-        return found if run is None else found.where((F.col("run") != run) | (F.col("batch") < before))
-
-    def merged(self, rows: DataFrame) -> DataFrame:
-        if self.value is None:
-            return rows.select(*self.schema.names).distinct()
-        kind = self.schema[self.value].dataType
-        return rows.groupBy(*self.keys).agg(F.sum(self.value).cast(kind).alias(self.value)).select(*self.schema.names)
-
-    def read(self, run: str | None = None, before: int | None = None) -> DataFrame:
-        return self.merged(self.rows(run, before))
-
-    def compacted(self, path: str) -> "BatchTable":
-        """A copy at ``path`` that holds the merged rows as one batch, for a
-        stream that is stopped meanwhile and goes on with the copy."""
-        out = BatchTable(self.spark, path, self.schema, self.keys, self.value, self.day_col)
-        out.append(self.read(), "compacted", 0)
-        return out
