@@ -1,4 +1,6 @@
+import math
 import re
+import time
 
 import numpy as np
 import pytest
@@ -100,3 +102,64 @@ def test_mixed_documents(small):
         assert text[r.doc_id].startswith(r.text)
         have[r.doc_id] = have.get(r.doc_id, 0) + len(words(r.text))
     assert have == {k: v for k, v in size.items() if v}
+
+
+def draws(spark, marked, others, drawn, n=4000):
+    df = spark.range(n).select(mixing.hypergeometric(*(F.lit(x).cast("long") for x in (marked, others, drawn)), F.col("id")).alias("k"))
+    return np.array([r.k for r in df.collect()])
+
+
+@pytest.mark.parametrize("marked,others,drawn", [(30, 50, 20), (500, 700, 300), (4_000, 1_000, 3_000), (70, 100_000, 60_000),
+                                                 (3_000_000, 5_000_000, 4_000_000), (10**9, 10**9, 10**9)])
+def test_draws_have_the_distribution(spark, marked, others, drawn):
+    """Mean, variance and all quantiles, by inversion and by rejection."""
+    got = draws(spark, marked, others, drawn)
+    total = marked + others
+    mean = drawn * marked / total
+    var = mean * others / total * (total - drawn) / (total - 1)
+    assert got.min() >= max(0, drawn - others) and got.max() <= min(marked, drawn)
+    assert abs(got.mean() - mean) < 4.5 * (var / len(got)) ** 0.5
+    assert abs(got.var() / var - 1) < 0.12
+    # the largest gap between the distribution functions, Kolmogorov's bound at 1e-4
+    lo, hi = int(max(0, mean - 8 * var**0.5)), int(min(marked, mean + 8 * var**0.5)) + 1
+    k = np.unique(np.linspace(lo, hi, 400_000).astype(np.int64)) if hi - lo > 400_000 else np.arange(lo, hi + 1)
+    ln = np.vectorize(lambda n: math.lgamma(n + 1))
+    ok = (k <= marked) & (k <= drawn) & (drawn - k <= others) & (k >= 0)
+    k = k[ok]
+    w = -(ln(k) + ln(marked - k) + ln(drawn - k) + ln(others - drawn + k))
+    cdf = np.cumsum(np.exp(w - w.max()))
+    cdf /= cdf[-1]
+    seen = np.searchsorted(np.sort(got), k, "right") / len(got)
+    assert np.abs(seen - cdf).max() < 2.23 / len(got) ** 0.5
+
+
+def test_joint_moments_of_the_tree(spark):
+    """Sources' blocks in a shard covary as in a random deal."""
+    quotas = spark.createDataFrame([(0, 3000), (1, 1500), (2, 500)], "source_no int, blocks long").coalesce(1)
+    rows = []
+    for seed in range(5):
+        tree = mixing.splitting_tree(quotas, 64, seed).collect()
+        table = np.array([r.quotas for r in sorted(tree)])
+        assert table.sum(axis=0).tolist() == [3000, 1500, 500] and set(table.sum(axis=1)) <= {78, 79}
+        rows.append(table)
+    x = np.array(rows).reshape(-1, 3)
+    p = np.array([0.6, 0.3, 0.1])
+    want = 78.125 * (5000 - 78.125) / 4999 * (np.diag(p) - np.outer(p, p))
+    assert np.abs(x.mean(axis=0) - 78.125 * p).max() < 1e-9
+    assert (np.abs(np.cov(x.T) - want) < 0.35 * np.abs(want) + 1).all()
+
+
+def test_many_sources_are_split_in_little_time(spark):
+    quotas = spark.range(2000).select(F.col("id").cast("int").alias("source_no"), F.lit(100).cast("long").alias("blocks"))
+    t = time.perf_counter()
+    tree = mixing.splitting_tree(quotas).collect()
+    took = time.perf_counter() - t
+    table = np.array([r.quotas for r in tree])
+    assert (table.sum(axis=0) == 100).all() and (table.sum(axis=1) == 3125).all()
+    assert took < 60, took
+
+
+def test_nodes_from_the_third_level_on_are_tasks(spark):
+    quotas = spark.createDataFrame([(0, 3000), (1, 1500)], "source_no int, blocks long")
+    parts = mixing.splitting_tree(quotas, 64).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts == 8

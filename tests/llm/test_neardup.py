@@ -120,3 +120,28 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 200), (200, 150), (300, 301)]
     got = dict(neardup.components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {**{i: 1 for i in range(1, 41)}, 100: 100, 200: 100, 150: 100, 300: 300, 301: 300}
+
+
+T = "one two three four five six seven eight nine ten eleven twelve"
+U = "a text of another kind that nothing else in here is like at all"
+NEAR = T + " thirteen"
+
+
+def kept_rows(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return sorted(((r.doc_id, r.text) for r in neardup.one_of_each(docs).collect()), key=str)
+
+
+def test_rows_that_share_an_id_are_told_apart(spark):
+    """A copy goes, the other text of its id stays; of equal rows one stays."""
+    for rows, left in [([(1, T), (5, T), (5, U)], [(1, T), (5, U)]),
+                       ([(5, T), (5, T), (5, U), (7, U)], [(5, T), (5, U)]),
+                       ([(3, T), (None, NEAR), (None, NEAR), (None, U), (None, U)], [(3, T), (None, U)]),
+                       ([(1, T), (2, NEAR), (3, U), (4, ""), (4, ""), (4, None)], [(1, T), (3, U), (4, ""), (4, ""), (4, None)])]:
+        assert kept_rows(spark, rows) == sorted(left, key=str)
+
+
+def test_rows_without_an_id_are_compared(spark):
+    docs = spark.createDataFrame([(8, T), (None, NEAR), (None, U), (9, U), (9, T), (None, "q w e r t y")], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(docs).collect()), key=str)
+    assert got == sorted([(8, 8, True), (None, 8, False), (None, 9, False), (9, 9, True), (9, 8, False), (None, None, True)], key=str)

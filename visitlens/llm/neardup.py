@@ -230,27 +230,59 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     doc_id, n_shingles, component_id, kept.
 
     Texts without a word, null ones included, have 0 shingles and no links.
-    Rows with equal sets are linked; among rows of one doc_id each counts. A
-    row with a null doc_id is compared like any other, but only a non-null id
-    can name a component (null if the component has none) or be kept; without
-    links it is kept.
-    """
-    spark = docs.sparkSession
-    arrow_rows(spark)
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
+    Every row is compared: rows that share a doc_id each with their own text,
+    rows without one too. ``component_id`` is the least doc_id of the component,
+    null if its rows have none. ``kept``: doc_id = component_id; a row of a
+    component without ids is kept. An empty table gives no rows."""
+    rows = _labelled(*_identified(docs.select("doc_id", "text")), percent)
+    return rows.select("doc_id", "n_shingles", "component_id",
+                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` less all but one of every component, that of the
+    least doc_id (rows without one last); rows without words all stay. Decided by
+    row: rows that share a doc_id are told apart, and of equal rows one stays."""
+    rows, own = _identified(docs)
+    found = _labelled(rows, own, percent).where("component is not null")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    kept = found.groupBy("component").agg(first.alias("first"), F.count(F.lit(1)).alias("held")).where("held > 1")
+    gone = (found.join(kept.select("component", F.col("first._row").alias("_first")), "component")
+            .where(F.col("_row") != F.col("_first")).select("_row"))
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+
+
+def _identified(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``docs`` with ``_row``, a number of the row's own: its doc_id where those
+    are there and distinct (True), else one given when the rows are written once."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("_row"))
+    again = ids.groupBy("_row").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or _row is null")
+    if again.isEmpty():
+        return docs.withColumn("_row", docs["doc_id"].cast("long")), True
+    return stage(docs.withColumn("_row", F.monotonically_increasing_id()), "identified"), False
+
+
+def _labelled(rows: DataFrame, own: bool, percent: int) -> DataFrame:
+    """(_row, doc_id, n_shingles, component, component_id): the component by the
+    least row number in it (null without words), and by the least doc_id."""
+    arrow_rows(rows.sparkSession)
+    texts = rows.select(F.col("_row").alias("doc_id"), "text")
     described = stage(texts.mapInArrow(_describe, "doc_id long, n_shingles long, set_key binary, bands array<long>"), "signatures")
-    # a class of equal sets is known by its least doc_id; classes of null ids alone link nothing else
+    # a class of equal sets is known by its least row
     classes = stage(described.where("set_key is not null").groupBy("set_key")
-                    .agg(F.min("doc_id").alias("id"), F.min_by("bands", F.coalesce("doc_id", F.lit(2**63 - 1))).alias("bands"))
-                    .where("id is not null"), "classes")
+                    .agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands")), "classes")
     labels = _linked(texts, classes, percent)
     named = classes.select("set_key", "id").join(labels, "id", "left").select(
-        "set_key", F.coalesce("component", "id").alias("_c"))
-    out = described.join(named, "set_key", "left").withColumn(
-        "component_id", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("_c")))
-    alone = F.col("doc_id").isNull() & F.col("component_id").isNull()
-    return out.select("doc_id", "n_shingles", "component_id",
-                      (F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)) | alone).alias("kept"))
+        "set_key", F.coalesce("component", "id").alias("component"))
+    out = described.join(named, "set_key", "left").select(F.col("doc_id").alias("_row"), "n_shingles", "component")
+    if own:
+        return out.select("_row", F.col("_row").alias("doc_id"), "n_shingles", "component",
+                          F.coalesce("component", "_row").alias("component_id"))
+    out = stage(out.join(rows.select("_row", F.col("doc_id").cast("long").alias("doc_id")), "_row"), "labelled")
+    least = out.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
+    return (out.join(least, "component", "left")
+            .select("_row", "doc_id", "n_shingles", "component",
+                    F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")))
 
 
 def _linked(texts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:

@@ -21,6 +21,8 @@ from visitlens.llm.common import arrow_rows, texts_as_bytes
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
 LEAST_WORDS = 10
+#: bytes that begin a character in UTF-8
+LEADING = bytes(b for b in range(256) if b & 0xC0 != 0x80)
 MOST_REPEATED = 20  # percent of the words
 
 
@@ -32,13 +34,22 @@ class Bands:
     one the highest of its length does, and the chunks' lowest. A text with more than ``bad_share`` of its judged
     bytes in chunks outside is rejected. The highest lie between prose and
     random letters and digits of that length; below 120 bytes zstandard stores
-    prose with a number or two as it stands, like random text, so there is none."""
+    prose with a number or two as it stands, like random text, so there is none.
+
+    They are those of prose in Latin letters. Other scripts say as much in fewer,
+    longer characters and compress less: of a piece (text or chunk) with at least
+    ``scripts[i][0]`` bytes a character on average the highest are ``scripts[i][1]``
+    (bytes from, highest); below the first length there is none. Random letters and
+    digits have one byte a character, so they keep the limits above in whatever
+    text they stand as a chunk."""
 
     whole: tuple[tuple[int, float, float], ...] = (
         (100, 0.40, float("inf")), (120, 0.40, 0.975), (150, 0.40, 0.925), (200, 0.40, 0.88), (300, 0.38, 0.80), (600, 0.38, 0.73),
         (1_000, 0.34, 0.68), (3_000, 0.30, 0.63), (10_000, 0.26, 0.60), (50_000, 0.22, 0.58))
     chunk_bytes: int = 4096
     chunk: tuple[float, float] = (0.15, 0.65)
+    scripts: tuple[tuple[float, tuple[tuple[int, float], ...]], ...] = (
+        (2.2, ((600, 0.97), (3_000, 0.90), (10_000, 0.85))), (1.15, ((300, 0.93), (1_000, 0.84), (3_000, 0.77))))
     bad_share: float = 0.25
     level: int = 3
 
@@ -75,9 +86,19 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
             len(lines) - len(set(lines)), repeated_words(words))
 
 
-def _limits(size: int, bands: Bands) -> tuple[float, float] | None:
-    """Lowest and highest ratio for a length; None: too short to judge."""
-    return next(((low, high) for least, low, high in reversed(bands.whole) if size >= least), None)
+def _highest(piece: bytes, latin: float, bands: Bands) -> float:
+    """Highest ratio for a piece: ``latin``, unless its script has limits of its own."""
+    chars = len(piece) if piece.isascii() else len(piece) - len(piece.translate(None, LEADING))
+    for least, limits in bands.scripts:
+        if len(piece) >= least * chars:
+            return next((high for size, high in reversed(limits) if len(piece) >= size), float("inf"))
+    return latin
+
+
+def _limits(piece: bytes, bands: Bands) -> tuple[float, float] | None:
+    """Lowest and highest ratio for a piece; None: too short to judge."""
+    found = next(((low, high) for least, low, high in reversed(bands.whole) if len(piece) >= least), None)
+    return found and (found[0], _highest(piece, found[1], bands))
 
 
 def compression(text: bytes, bands: Bands, codec: zstandard.ZstdCompressor) -> tuple[float | None, float, bool]:
@@ -89,14 +110,17 @@ def compression(text: bytes, bands: Bands, codec: zstandard.ZstdCompressor) -> t
     judged = bad = 0
     for i in range(0, len(text), bands.chunk_bytes):
         part = text[i:i + bands.chunk_bytes]
-        limits = bands.chunk if len(part) == bands.chunk_bytes else _limits(len(part), bands)
-        limits = limits and (bands.chunk[0], limits[1])
+        if len(part) == bands.chunk_bytes:
+            limits = bands.chunk[0], _highest(part, bands.chunk[1], bands)
+        else:
+            limits = _limits(part, bands)
+            limits = limits and (bands.chunk[0], limits[1])
         if limits:
             judged += len(part)
             x = len(codec.compress(part)) / len(part) if len(part) < len(text) else ratio
             bad += 0 if limits[0] <= x <= limits[1] else len(part)
     share = bad / judged if judged else 0.0
-    limits = _limits(len(text), bands)
+    limits = _limits(text, bands)
     return ratio, share, share <= bands.bad_share and (not limits or limits[0] <= ratio <= limits[1])
 
 
