@@ -28,25 +28,28 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near-duplicates, that of the least
-    doc_id; rows without a doc_id stay."""
-    gone = neardup.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """One row of every group of near-duplicates, that of the least doc_id;
+    decided by row, so a text that shares its id with a copy stays, and of equal
+    rows one stays. Rows whose text is null, empty or blank all stay."""
+    return neardup.one_of_each(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their secrets replaced by a mark."""
+    """All documents, their secrets replaced by a mark; a null text stays null,
+    equal rows stay equal, an empty table stays empty."""
     return secrets.redact(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as the mixture of the sources takes them: some left out,
-    some repeated, the last of a source cut at a word."""
+    some repeated, the last of a source cut at a word. A null or empty text has no
+    words and is not taken; a null source is one of its own."""
     return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences."""
+    """The pieces of the packed sequences; a null or empty text is its end mark
+    alone."""
     return packing.pack(docs, tokenizer_path())
 
 
