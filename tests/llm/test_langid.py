@@ -64,3 +64,21 @@ def test_edges_and_empty(edge_docs, no_docs):
 def test_nothing_to_learn(spark):
     rows = spark.createDataFrame([(1, "some text", None, None, 1), (2, None, "en", None, 1)], "doc_id long, text string, lang string, source string, n_chars long")
     assert {(r.lang_pred, r.rejected) for r in langid.language_report(rows).collect()} == {("und", True)}
+
+
+def test_limits_do_not_depend_on_the_partitions(spark, small):
+    one, many = langid.train(small.coalesce(1)), langid.train(small.repartition(13))
+    assert one.langs == many.langs and np.allclose(one.limits, many.limits, rtol=1e-6, atol=0)
+
+
+def test_clean_documents_stay_and_foreign_ones_go(spark):
+    """On a table large enough that every length class is calibrated."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = langid.language_report(docs).join(docs.select("doc_id", "lang", "text"), "doc_id").collect()
+    clean = [r for r in out if r.held_out and r.lang is not None and any(c.isalpha() for c in r.text or "")]
+    assert sum(not r.rejected for r in clean) >= 0.98 * len(clean)
+    foreign = ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava",
+               "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben",
+               "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(foreign)], "doc_id long, text string")
+    assert all(r.rejected for r in langid.identify(df, langid.train(docs), ["doc_id"]).collect())

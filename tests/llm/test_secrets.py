@@ -126,3 +126,18 @@ def test_private_keys_are_replaced_whole(spark):
     got = {r.doc_id: r.text for r in secrets.redact(rows).collect()}
     assert [got[i] for i in range(len(texts))] == ["before\n[SECRET]\nafter", "before\n[SECRET]\nsome words after", "[SECRET]", "[SECRET] is how such a key begins",
                                                   "[SECRET] and [SECRET]", "x " * 100_000 + "[SECRET]"]
+
+
+def test_private_keys_of_any_length_go_whole(spark):
+    """Without an END line too, and after any number of header fields."""
+    import base64
+    import random
+    rng = random.Random(1)
+    line = lambda: base64.b64encode(rng.randbytes(48)).decode()
+    head, tail = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    fields = "\n".join(f"Some-Field: value {i}" for i in range(20))
+    rows = [(1, "before " + "\n".join([head, *(line() for _ in range(1_500))]) + "\nwords that stay here"),
+            (2, "\n".join([head, fields, *(line() for _ in range(60_000))]) + "\nmore words"),
+            (3, "\n".join([head, *(line() for _ in range(1_200)), tail]) + "\nthe end")]
+    got = {r.doc_id: r.text for r in secrets.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "before [SECRET]\nwords that stay here", 2: "[SECRET]\nmore words", 3: "[SECRET]\nthe end"}

@@ -33,10 +33,13 @@ UNKNOWN = "und"
 LEARN, CALIBRATE = 4000, 2000
 #: characters (code points) counted or scored in one numpy pass
 PASS_CHARS = 400_000
-#: letters up to which a length class goes, and how far beyond the highest
-#: cross-entropy of its calibration documents (nats per character) is accepted
+#: letters up to which a length class goes, the last one aside
 LENGTHS = (20, 100, 400)
-SLACK = (2.0, 1.5, 1.0, 1.0)
+BANDS = len(LENGTHS) + 1
+#: share of a class's calibration documents below the point that sets its limit
+QUANTILE = 0.995
+#: documents from which a class has a limit of its own; how many make the spread half as sure as it can be
+LEAST, FEW = 5, 20
 
 _classes: np.ndarray | None = None
 
@@ -229,7 +232,7 @@ def train(docs: DataFrame, learn: int = LEARN, calibrate: int = CALIBRATE, order
     rows = docs.where("text is not null and lang is not null").where(fold(docs["doc_id"]) != 0)
     have = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not have:
-        return Model([], [], np.zeros(0, dtype=np.float32), np.zeros((len(SLACK), 0)))
+        return Model([], [], np.zeros(0, dtype=np.float32), np.zeros((BANDS, 0)))
     draw = (F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30))
     share = {k: min(1.0, (learn + calibrate) / n) for k, n in have.items()}
     upto = F.create_map(*[F.lit(x) for k, v in share.items() for x in (k, v)])[F.col("lang")]
@@ -240,17 +243,21 @@ def train(docs: DataFrame, learn: int = LEARN, calibrate: int = CALIBRATE, order
               .groupBy("lang", "n", "gram").agg(F.first("context").alias("context"), F.first("suffix").alias("suffix"), F.sum("count").alias("count")))
     table = counts.toPandas()
     if table.empty:
-        return Model([], [], np.zeros(0, dtype=np.float32), np.zeros((len(SLACK), 0)))
+        return Model([], [], np.zeros(0, dtype=np.float32), np.zeros((BANDS, 0)))
     model = fit(table, order)
     held = sample.where(F.col("_draw") >= split).select("lang", "text").mapInArrow(
-        _highest(model), "band int, lang int, entropy double").groupBy("band", "lang").agg(F.max("entropy")).collect()
-    limits = np.full((len(SLACK), len(model.langs)), np.nan)
-    for band, lang, entropy in held:
-        limits[band, lang] = entropy
-    # a class without calibration documents takes the highest limit of its language, or none
+        _own_entropy(model), "band int, lang int, entropy double").groupBy("band", "lang").agg(
+        F.percentile("entropy", F.array(F.lit(0.5), F.lit(QUANTILE))).alias("at"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST).collect()
+    limits = np.full((BANDS, len(model.langs)), np.nan)
+    for band, lang, (median, high), n in held:
+        # as far beyond the quantile as that lies beyond the median: the class's own spread, which few
+        # documents show the less the fewer they are
+        limits[band, lang] = high + (high - median) * (1 + FEW / n)
+    # a class with fewer than LEAST calibration documents takes the highest limit of its language, or none; shorter
+    # texts scatter more, so none has a lower limit than the longer ones
     for k in range(len(model.langs)):
         top = np.nanmax(limits[:, k]) if not np.isnan(limits[:, k]).all() else np.inf
-        limits[:, k] = np.where(np.isnan(limits[:, k]), top, limits[:, k]) + SLACK
+        limits[:, k] = np.maximum.accumulate(np.where(np.isnan(limits[:, k]), top, limits[:, k])[::-1])[::-1]
     model.limits = limits
     return model
 
@@ -259,8 +266,8 @@ def _band(letters: np.ndarray) -> np.ndarray:
     return np.searchsorted(LENGTHS, letters, side="left")
 
 
-def _highest(model: Model):
-    """99.5 % points of the calibration documents that get their own label."""
+def _own_entropy(model: Model):
+    """Cross-entropy of each calibration document that gets its own label."""
     place = {x: i for i, x in enumerate(model.langs)}
 
     def run(batches):
@@ -268,13 +275,9 @@ def _highest(model: Model):
             entropy, letters = model.score(texts_as_bytes(b))
             best = entropy.argmin(axis=1)
             own = np.array([place.get(x, -1) for x in b.column("lang").to_pylist()])
-            ok = (best == own) & (letters > 0)
-            for band in range(len(SLACK)):
-                for k in range(len(model.langs)):
-                    these = entropy[ok & (_band(letters) == band) & (best == k), k]
-                    if len(these):
-                        yield pa.RecordBatch.from_arrays([pa.array([band], pa.int32()), pa.array([k], pa.int32()),
-                                                          pa.array([float(np.quantile(these, 0.995))])], names=["band", "lang", "entropy"])
+            ok = np.flatnonzero((best == own) & (letters > 0))
+            yield pa.RecordBatch.from_arrays([pa.array(_band(letters)[ok].astype(np.int32)), pa.array(best[ok].astype(np.int32)),
+                                              pa.array(entropy[ok, best[ok]], pa.float64())], names=["band", "lang", "entropy"])
     return run
 
 

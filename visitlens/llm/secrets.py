@@ -54,10 +54,11 @@ EXTRA = (
 RULES = BASE + EXTRA
 #: what ``redact`` replaces: of a private key also its fields and body to the
 #: END line, or without one to the end of the base64 lines
-_PEM_FIELDS = r"(?:\s*[A-Za-z]+-[A-Za-z]+:[^\n]*){0,8}"
+# (possessive groups are matched in a loop, however many lines a key has)
+_PEM_FIELDS = r"(?:\s*+[A-Za-z]++-[A-Za-z]++:[^\n]*+)*+"
 _PEM_END = r"[^-]*+-----END [A-Z ]*PRIVATE KEY-----"
-_PEM_RUN = r"(?:\s*+[A-Za-z0-9+/]{16,}+={0,2}+){1,1000}+(?:\r?\n[A-Za-z0-9+/]{1,15}+={0,2}+(?=\r?\n|$))?"
-WHOLE = BASE + (replace(EXTRA[0], pattern=EXTRA[0].pattern + f"(?:{_PEM_FIELDS}(?:{_PEM_END}|{_PEM_RUN}))?", version=2), EXTRA[1])
+_PEM_RUN = r"(?:\s*+[A-Za-z0-9+/]{16,}+={0,2}+)++(?:\r?\n[A-Za-z0-9+/]{1,15}+={0,2}+(?=\r?\n|$))?"
+WHOLE = BASE + (replace(EXTRA[0], pattern=EXTRA[0].pattern + f"(?:{_PEM_FIELDS}(?:{_PEM_END}|{_PEM_RUN}))?", version=3), EXTRA[1])
 
 _FOUND = "array<struct<start:long,rule:string,end:long>>"
 _SPAN = "array<struct<start:long,kind:int,end:long>>"
