@@ -1,13 +1,16 @@
 """Operators and the quirks of SURVEY §2.14 on hand-made tables."""
 
+import bisect
 import datetime as dt
+import ipaddress
+import random
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from visitlens.functions import columns as C
 from visitlens.functions import predicates as P
-from visitlens.operators.rangejoin import ipv4_to_long, range_lookup, range_lookup_plain
+from visitlens.operators.rangejoin import ip_key, ipv4_to_long, range_lookup, range_lookup_plain, range_sweep
 from visitlens.operators.sample import stratified_sample
 from visitlens.operators.sequence import transition_counts
 from visitlens.operators.session_fold import fold_sessions, length_ratios
@@ -56,6 +59,71 @@ def test_ipv4_to_long(spark):
     assert [r[0] for r in df.select(ipv4_to_long(F.col("ip"))).collect()] == [167838211, None, None]
 
 
+def test_range_sweep_wide_ranges_hot_key(spark):
+    """100,000 ranges from one address to 2^27 wide, a third of the keys equal."""
+    rng, at, rows = random.Random(7), 0, []
+    for i in range(100_000):
+        first = at + rng.randrange(1, 50)
+        at = first + (1 << 27 if i % 20_000 == 0 else rng.randrange(0, 4000))
+        rows.append((first, at, i))
+    starts = [r[0] for r in rows]
+
+    def held(k):
+        i = bisect.bisect_right(starts, k) - 1
+        return rows[i][2] if i >= 0 and k <= rows[i][1] else None
+
+    keys = [rng.randrange(at + 100) for _ in range(4000)] + [starts[5] + 1] * 2500 + [k for k in starts[:500]]
+    keys += [0, at, at + 1]
+    ranges = spark.createDataFrame(rows, "start_num long, end_num long, owner int")
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)] + [(-1, None)], "id int, k long")
+    for parts in (3, 64):
+        got = {r.id: r.owner for r in range_sweep(df, "k", ranges, partitions=parts).collect()}
+        assert got == {i: held(k) for i, k in enumerate(keys)} | {-1: None}
+
+
+def test_range_sweep_carries_over_empty_slices(spark):
+    """One wide range and many keys: most slices have no start of their own."""
+    ranges = spark.createDataFrame([(10, 10_000, "wide"), (20_000, 20_000, "point"), (None, 5, "no"), (9, 3, "no")],
+                                   "start_num long, end_num long, k string")
+    df = spark.range(0, 21_000, 7).withColumnRenamed("id", "k").unionByName(spark.createDataFrame([(14,), (14,)], "k long"))
+    got = range_sweep(df, "k", ranges, partitions=40)
+    assert got.columns == ["k", "start_num", "end_num", "k"] and got.count() == 3002
+    rows = [(r[0], r[3]) for r in got.collect()]
+    assert sum(k == 14 for k, _ in rows) == 3
+    assert all(name == ("wide" if 10 <= k <= 10_000 else "point" if k == 20_000 else None) for k, name in rows)
+
+
+def test_range_sweep_empty_tables(spark):
+    ranges = spark.createDataFrame([(1, 5, "a"), (1, 9, "b")], "start_num long, end_num long, region string")
+    df = spark.createDataFrame([(4,), (4,), (8,), (None,)], "k long")
+    assert sorted((str(r.k), r.region) for r in range_sweep(df, "k", ranges).collect()) == \
+        [("4", "b"), ("4", "b"), ("8", "b"), ("None", None)]
+    assert [r.region for r in range_sweep(df, "k", ranges.limit(0)).collect()] == [None] * 4
+    assert range_sweep(df.limit(0), "k", ranges).collect() == []
+
+
+def test_range_sweep_of_addresses(spark):
+    """IPv6 and IPv4 ranges in one table, by sort key."""
+    nets = [ipaddress.ip_network(n) for n in ("2001:db8::/32", "2001:db9::/64", "fe80::/10", "10.0.0.0/8", "192.168.1.0/24")]
+    ranges = spark.createDataFrame([(str(n[0]), str(n[-1]), str(n)) for n in nets], "a string, b string, net string")
+    ranges = ranges.select(ip_key("a").alias("start_num"), ip_key("b").alias("end_num"), "net")
+    ips = ["2001:db8::1", "2001:DB8:ffff:0:0:0:0:9", "2001:db9:0:1::", "::1", "febf::1", "10.255.0.1", "192.168.2.0", "::", "1::2::3",
+           "12345::", "1:2:3", "1.2.3", None, ":1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7:8"]
+    df = spark.createDataFrame([(x,) for x in ips], "ip string").withColumn("key", ip_key("ip"))
+
+    def key(x):
+        try:
+            a = ipaddress.ip_address(x)
+        except ValueError:
+            return None
+        return f"{int(a) + (0xffff << 32 if a.version == 4 else 0):032x}"
+
+    def net(x):
+        return next((str(n) for n in nets if key(x) and ipaddress.ip_address(x) in n), None)
+
+    assert {r.ip: (r.key, r.net) for r in range_sweep(df, "key", ranges).collect()} == {x: (key(x), net(x)) for x in ips}
+
+
 def test_top_n_ties_and_group_limit(spark):
     df = spark.createDataFrame([("x", 5, 3), ("x", 5, 1), ("x", 4, 2), ("y", 1, 9)], "g string, c long, id long")
     out = top_n_per_group(df, ["g"], [F.desc("c"), F.asc("id")], 2)

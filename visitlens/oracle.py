@@ -442,6 +442,13 @@ c AS (SELECT province, count(*) AS cnt, dt FROM r GROUP BY province, dt)
 SELECT province, cnt, dt FROM c {recent}"""
 
 
+def swept_ranges_sql() -> str:
+    return """WITH e AS (
+  SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 77077 ELSE user_id * 1000 + event_id * 7919 % 1000 END AS position FROM events)
+SELECT e.event_id, CAST(e.position AS BIGINT) AS position, c.c_custkey
+FROM e LEFT JOIN customer c ON e.position BETWEEN c.c_custkey * 1000 AND c.c_custkey * 1000 + c.c_custkey % 1000"""
+
+
 # --- ad stream twins --------------------------------------------------------------
 
 def _kept_clicks_cte() -> str:

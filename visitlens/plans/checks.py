@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitlens.functions import columns as C
+from visitlens.operators.rangejoin import range_sweep
 from visitlens.plans import ads, course
 from visitlens.session import checkpoint_dir
 from visitlens.sinks import tables as K
@@ -50,6 +51,18 @@ def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         C.kv_field(pairs, "other").alias("missing_value"), C.kv_set(pairs, "user", F.lit("x")).alias("set_value"))
 
 
+def swept_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J9 over every event: the customer whose range of positions, narrow or wide,
+    holds the event's; a third of the events share one position."""
+    wide = F.col("c_custkey") % 1000
+    ranges = src.table(spark, sf_dir, "customer").select(
+        "c_custkey", (F.col("c_custkey") * 1000).alias("first"), (F.col("c_custkey") * 1000 + wide).alias("last"))
+    ev = src.events(spark, sf_dir)
+    at = F.when(F.col("event_id") % 3 == 0, 77_077).otherwise(F.col("user_id") * 1000 + F.col("event_id") * 7919 % 1000)
+    found = range_sweep(ev.select("event_id", at.cast("bigint").alias("position")), "position", ranges, "first", "last")
+    return found.select("event_id", "position", "c_custkey")
+
+
 def _days(spark: SparkSession, sf_dir: str, parity: int | None = None) -> DataFrame:
     """Clicks by (day, province): all, or those of event ids of one parity."""
     ev = src.events(spark, sf_dir).where(F.col("event_type") == "click")

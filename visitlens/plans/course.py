@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from visitlens.functions.columns import format_date, join_tabs, mask_phone, split_tabs, strip_line_breaks
 from visitlens.operators.joins import drop_members
-from visitlens.operators.rangejoin import ipv4_to_long, range_lookup
+from visitlens.operators.rangejoin import ipv4_to_long, range_lookup, range_sweep
 from visitlens.sources import fixtures as src
 from visitlens.sources.logs import F_PHONE, F_USERNAME, course_fields, parse_course_lines
 
@@ -102,10 +102,15 @@ def unpaid_followups(spark: SparkSession, sf_dir: str, window: str = "4 days", s
 
 
 def with_region(df: DataFrame, ranges: DataFrame, ranges_bound: int | None = None) -> DataFrame:
-    """Province by IP (J9); unknown addresses get the fixed unknown label."""
+    """Province by IP (J9); unknown addresses get the fixed unknown label. A range
+    table of unknown size is swept in order; a stream has no sorted sweep, so it
+    takes the buckets."""
     keyed = df.withColumn("_ip_num", ipv4_to_long(F.col("ip")))
-    joined = range_lookup(keyed, "_ip_num", ranges.select("start_num", "end_num", "region"),
-                          ranges_bound=ranges_bound)
+    table = ranges.select("start_num", "end_num", "region")
+    if ranges_bound is None and not df.isStreaming:
+        joined = range_sweep(keyed, "_ip_num", table)
+    else:
+        joined = range_lookup(keyed, "_ip_num", table, ranges_bound=ranges_bound)
     return (joined.withColumn("province", F.coalesce(F.col("region"), F.lit(src.UNKNOWN_REGION)))
             .drop("_ip_num", "start_num", "end_num", "region"))
 
@@ -122,11 +127,13 @@ def vip_increment(orders: DataFrame, ranges: DataFrame, as_of: str | None = None
     return counts.select("province", "cnt", "dt")
 
 
-def new_vips(spark: SparkSession, sf_dir: str, as_of: str | None = None) -> DataFrame:
+def new_vips(spark: SparkSession, sf_dir: str, as_of: str | None = None, swept: bool = False) -> DataFrame:
+    """B18 over the log; ``swept``: with the range table as one of unknown size."""
     # the first day that still counts; the log's own scan skips what is older
     first = None
     if as_of is not None:
         first = (datetime.datetime.fromisoformat(as_of) - datetime.timedelta(days=RECENT_DAYS)).date().isoformat()
     orders = parse_course_lines(src.course_lines(spark, sf_dir, first)).where(F.col("event_key") == "completeOrder")
     # the IP table: a few rows per range after the bucket explode
-    return vip_increment(orders, src.ip_ranges(spark, sf_dir), as_of, ranges_bound=src.ranges_bound(sf_dir))
+    bound = None if swept else src.ranges_bound(sf_dir)
+    return vip_increment(orders, src.ip_ranges(spark, sf_dir), as_of, ranges_bound=bound)

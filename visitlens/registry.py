@@ -78,6 +78,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "b17_unpaid_followups": _q(lambda s, d: course.unpaid_followups(s, d)),
         "b18_new_vips": _q(lambda s, d: course.new_vips(s, d)),
         "b18_new_vips_recent": _q(lambda s, d: course.new_vips(s, d, VIP_AS_OF)),
+        # the range table as one of unknown size, and a lookup of every event
+        "b18_new_vips_swept": _q(lambda s, d: course.new_vips(s, d, swept=True)),
+        "j9_swept_ranges": _q(checks.swept_ranges),
         # the streams themselves, run to completion over files staged from the
         # tables in several micro-batches (threshold 100: no driver user reaches
         # it, so the results must equal the batch twins); each key is a run
@@ -156,6 +159,8 @@ def oracle_sql() -> dict[str, str]:
         "b17_unpaid_followups": O.unpaid_followups_sql(),
         "b18_new_vips": O.new_vips_sql(),
         "b18_new_vips_recent": O.new_vips_sql(VIP_AS_OF),
+        "b18_new_vips_swept": O.new_vips_sql(),
+        "j9_swept_ranges": O.swept_ranges_sql(),
         "st_ad_user_click_count": O.user_click_counts_sql(),
         "st_ad_stat": O.ad_stat_sql(),
         "st_province_top3": O.province_top3_sql(),

@@ -86,17 +86,16 @@ def start_vip_stream(lines: DataFrame, ranges: DataFrame, table: BatchTable, che
                      ranges_bound: int | None = None, available_now: bool = False,
                      processing_time: str | None = "10 seconds") -> StreamingQuery:
     """Running count of ``completeOrder`` rows per (day, province)
-    (ST5); province by IP range (stream-static join, J9). Each batch adds its
-    counts (K2)."""
+    (ST5); province by IP range (J9), looked up batch by batch. Each batch adds
+    its counts (K2)."""
     orders = parse_course_lines(lines).where(F.col("event_key") == "completeOrder")
-    regioned = with_region(orders, ranges, ranges_bound)
 
     def sink(batch: DataFrame, run: str, batch_id: int) -> None:
         table.merge_log(run, batch_id)
-        counts = batch.groupBy("province", format_date("ts").alias("dt")).agg(F.count(F.lit(1)).alias("cnt"))
+        counts = with_region(batch, ranges, ranges_bound).groupBy("province", format_date("ts").alias("dt")).agg(F.count(F.lit(1)).alias("cnt"))
         table.append(counts, run, batch_id)
 
-    return start_batches(regioned, sink, checkpoint, "append", available_now, processing_time)
+    return start_batches(orders, sink, checkpoint, "append", available_now, processing_time)
 
 
 def start_vip_state_stream(lines: DataFrame, ranges: DataFrame, table: KeyedTable, checkpoint: str, watermark: str,
