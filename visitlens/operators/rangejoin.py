@@ -15,12 +15,14 @@ from visitlens.session import checkpoint_dir
 def ipv4_to_long(ip) -> F.Column:
     """Dotted IPv4 text -> number; NULL when malformed."""
     parts = F.split(ip if not isinstance(ip, str) else F.col(ip), r"\.")
-    octets = [F.get(parts, i).try_cast("bigint") for i in range(4)]
-    ok = (F.size(parts) == 4)
-    for o in octets:
-        ok = ok & o.between(0, 255)
-    value = octets[0] * 16777216 + octets[1] * 65536 + octets[2] * 256 + octets[3]
-    return F.when(ok, value)
+
+    def octet(x):
+        n = x.try_cast("bigint")
+        return F.when(n.between(0, 255), n)
+
+    # a fold over the parts, so that the text is split once, not once an octet
+    value = F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, x: acc * 256 + octet(x))
+    return F.when(F.size(parts) == 4, value)
 
 
 def ip_key(ip) -> F.Column:

@@ -8,7 +8,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.functions.columns import format_date, join_tabs, mask_phone, split_tabs, strip_line_breaks
+from visitlens.functions.columns import format_date, join_tabs, mask_phone, strip_line_breaks
 from visitlens.operators.joins import drop_members
 from visitlens.operators.rangejoin import ipv4_to_long, range_lookup, range_sweep
 from visitlens.sources import fixtures as src
@@ -72,7 +72,7 @@ def daily_study(spark: SparkSession, sf_dir: str, day: str | None = "2024-01-05"
 def clean_lines(lines: DataFrame) -> DataFrame:
     """Keep 17-field lines, mask the phone (field 9, Q13 fixed), strip
     line breaks from the user name (field 1). Output column ``line``."""
-    fields = F.transform(split_tabs("value"), lambda x, i: F.when(i == F_PHONE, mask_phone(x))
+    fields = F.transform("fields", lambda x, i: F.when(i == F_PHONE, mask_phone(x))
                          .when(i == F_USERNAME, strip_line_breaks(x)).otherwise(x))
     return course_fields(lines).select(join_tabs(fields).alias("line"))
 
