@@ -6,6 +6,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from visitlens.operators.session_fold import length_ratios, observed_lengths, observed_ratios
 from visitlens.params import TaskParams
 from visitlens.plans import course, jobs, session
 from visitlens.session import checkpoint_dir
@@ -28,6 +29,16 @@ def test_session_reports_equal_single_queries(spark):
     assert _rows(rep["top10_session"]) == _rows(session.top_sessions(spark, SF_SMALL, p))
 
 
+def test_lengths_observed_while_writing(spark):
+    """Counts of the write's own pass equal those of a pass of their own, no session included."""
+    rows = [(i % 2000, i % 70) for i in range(5000)]
+    df = spark.createDataFrame(rows, "visit_length long, step_length long").repartition(7)
+    for sessions in (df, df.where("visit_length < 0"), df.limit(0)):
+        observed, counted = observed_lengths(sessions)
+        observed.write.parquet(f"{checkpoint_dir(spark)}/observed-{uuid.uuid4().hex}")
+        assert _rows(observed_ratios(spark, counted)) == _rows(length_ratios(sessions))
+
+
 def test_run_session_job_appends_with_run_id(spark):
     out = f"{checkpoint_dir(spark)}/job-{uuid.uuid4().hex}"
     p = TaskParams.from_json(json.dumps({"startDate": "2024-01-01", "endDate": "2024-01-02",

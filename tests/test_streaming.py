@@ -111,6 +111,41 @@ def test_unpaid_stream_window_and_late_rows(spark):
     assert state_rows[-1] <= 4  # only the late window and user 5's windows are left in state
 
 
+def test_visits_in_time_and_late_ones_add_up(spark):
+    """Batches of shuffled visits, one replayed, one merged: each visit is counted
+    in all its windows or stands in the late table."""
+    import random
+    from visitlens.streaming.visits import VisitTables, process_visit_batch
+
+    rng, t0, day = random.Random(3), 1704067200, 86400
+    root = f"{checkpoint_dir(spark)}/visits-{uuid.uuid4().hex}"
+    tables = VisitTables.at(spark, root, merge_every=2, buckets=2)
+    vip = spark.createDataFrame([(2, 2)], "id long, uid long")
+    late, counts, seen = [], {}, None
+    for n in range(5):
+        visits = [(rng.randrange(1, 5), t0 + (5 * n + rng.randrange(-14, 5)) * day + 60 * day) for _ in range(30)]
+        if n == 3:
+            visits = []
+        lines = spark.createDataFrame([(_course_line(u, "enterOrderPage", t),) for u, t in visits] + [("spoiled",)], "value string")
+        for _ in range(2 if n in (2, 4) else 1):  # the same batch again
+            process_visit_batch(tables, lines, vip, n, "4 days", "2 days", 3, "6 days", "run")
+        for u, t in visits:
+            if seen is not None and t < seen - 6 * day:
+                late.append((u, t))
+            else:
+                for start in range(t - t % (2 * day) - 2 * day, t + 1, 2 * day):
+                    counts[start, u] = counts.get((start, u), 0) + 1
+        seen = max([t for _, t in visits] + ([seen] if seen is not None else []))
+    got = {(r.uid, r.event_time): r.visits for r in tables.late.read().collect()}
+    assert late and got == {k: late.count(k) for k in late}
+    assert {(r.window_start, r.uid): r.visits for r in tables.counts.read().collect()} == counts
+    assert {r.uid for r in tables.members.read().collect()} == {u for (_, u), n in counts.items() if n > 3 and u != 2}
+    # two windows a visit: kept and late ones are all of them
+    assert sum(counts.values()) // 2 + len(late) == 120
+    process_visit_batch(tables, lines, vip, 0, "4 days", "2 days", 3, "6 days", "run")  # the totals have it
+    assert sum(r.visits for r in tables.counts.read().collect()) == sum(counts.values())
+
+
 def test_vip_stream_counts_late_rows_on_their_day(spark):
     from visitlens.sources.fixtures import ip_ranges
     from visitlens.streaming.orders import start_vip_stream, vip_table

@@ -29,6 +29,7 @@ from visitlens.streaming.ads import AdTables, start_ad_stream
 from visitlens.streaming.orders import (
     recent_days, reject_table, start_rejects_stream, start_unpaid_stream, start_vip_stream, unpaid_table, vip_table,
 )
+from visitlens.streaming.visits import VisitTables, start_visit_stream
 
 STREAMS = ("ads", "unpaid", "vip")
 
@@ -45,6 +46,9 @@ def _stream(spark, a, data) -> None:
         if not tables.seeded():
             tables.seed_blacklist(src.initial_blacklist(spark, data))
         query = start_ad_stream(lines, tables, checkpoint, a.threshold, **often)
+    elif a.job == "unpaid" and a.keep_late:
+        query = start_visit_stream(lines, lambda: src.vip_users(spark, data), VisitTables.at(spark, out), checkpoint,
+                                   a.window, a.slide, a.min_visits, watermark=a.watermark, **often)
     elif a.job == "unpaid":
         query = start_unpaid_stream(lines, lambda: src.vip_users(spark, data), unpaid_table(spark, f"{out}/unpayment_record"),
                                     checkpoint, a.window, a.slide, a.min_visits, watermark=a.watermark, **often)
@@ -83,6 +87,7 @@ def main(argv=None) -> None:
     s.add_argument("--slide", default="2 days")
     s.add_argument("--min-visits", type=int, default=2)
     s.add_argument("--watermark", default="4 days", help="how late an order-page visit may come")
+    s.add_argument("--keep-late", action="store_true", help="write later visits to a table of their own")
     s.add_argument("--as-of", default=None, help="yyyy-MM-dd HH:mm:ss: also write the days that are recent by then")
     a = ap.parse_args(argv)
     if a.job in STREAMS and not (a.kafka and (a.topic or a.assign)) and not a.lines:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.functions.columns import seconds_between
@@ -40,16 +42,13 @@ def _in_bin(col: str, lo: int, hi: int | None):
     return (c >= lo) if hi is None else c.between(lo, hi)
 
 
-def length_ratios(sessions: DataFrame) -> DataFrame:
-    """A2 + A3: one row with ``session_count`` and each bin's share, HALF_UP
-    to two places. No session -> count 0 and NULL ratios (Q5 fixed). A visit
-    of 0 s is in no bin (Q4)."""
-    aggs = [F.count(F.lit(1)).alias("session_count")]
-    for name, lo, hi in VISIT_BINS:
-        aggs.append(F.count_if(_in_bin("visit_length", lo, hi)).alias(f"_v_{name}"))
-    for name, lo, hi in STEP_BINS:
-        aggs.append(F.count_if(_in_bin("step_length", lo, hi)).alias(f"_s_{name}"))
-    counts = sessions.agg(*aggs)
+def _bin_counts() -> list[F.Column]:
+    return [F.count(F.lit(1)).alias("session_count"),
+            *[F.count_if(_in_bin("visit_length", lo, hi)).alias(f"_v_{name}") for name, lo, hi in VISIT_BINS],
+            *[F.count_if(_in_bin("step_length", lo, hi)).alias(f"_s_{name}") for name, lo, hi in STEP_BINS]]
+
+
+def _shares(counts: DataFrame) -> DataFrame:
     total = F.col("session_count")
     cols = [total]
     for name, _, _ in VISIT_BINS:
@@ -59,5 +58,28 @@ def length_ratios(sessions: DataFrame) -> DataFrame:
     return counts.select(*cols)
 
 
+def length_ratios(sessions: DataFrame) -> DataFrame:
+    """A2 + A3: one row with ``session_count`` and each bin's share, HALF_UP
+    to two places. No session -> count 0 and NULL ratios (Q5 fixed). A visit
+    of 0 s is in no bin (Q4)."""
+    return _shares(sessions.agg(*_bin_counts()))
+
+
+def observed_lengths(sessions: DataFrame) -> tuple[DataFrame, Observation]:
+    """``sessions`` with the bins of ``length_ratios`` counted as a by-product
+    of the pass that writes them. Observe rows on their way into one write: their
+    tasks count once, also when run again, which tasks of earlier stages do not."""
+    counted = Observation(f"lengths-{uuid.uuid4().hex}")
+    return sessions.observe(counted, *_bin_counts()), counted
+
+
+def observed_ratios(spark: SparkSession, counted: Observation) -> DataFrame:
+    """A3 from the counts of ``observed_lengths``, once its write is done."""
+    got = counted.get
+    names = ["session_count", *[f"_v_{n}" for n, _, _ in VISIT_BINS], *[f"_s_{n}" for n, _, _ in STEP_BINS]]
+    # a table found empty while planning leaves no counts
+    return _shares(spark.range(1).select(*[F.lit(got.get(n, 0)).cast("bigint").alias(n) for n in names]))
+
+
 RATIO_COLUMNS = (["session_count"] + [f"visit_length_{n}_ratio" for n, _, _ in VISIT_BINS]
                  + [f"step_length_{n}_ratio" for n, _, _ in STEP_BINS])

@@ -415,11 +415,34 @@ def clean_course_log_sql() -> str:
     return f"WITH {course_lines_cte()}\nSELECT concat_ws(chr(9), {', '.join(parts)}) AS line FROM valid"
 
 
-def unpaid_followups_sql(window_days: int = 4, slide_days: int = 2, min_visits: int = 2) -> str:
+ORDER_PAGE = "SELECT uid, phone, event_time FROM course WHERE event_key = 'enterOrderPage'"
+
+
+def _visits_in_time(first_day: str, late_days: int) -> tuple[str, str]:
+    """Visits from ``first_day`` on are delivered first, the others after them:
+    late if more than ``late_days`` before the last of the first. CTEs, late rows."""
+    first = f"epoch(TIMESTAMP '{first_day}')"
+    return (f"v AS ({ORDER_PAGE}),\nm AS (SELECT max(event_time) - {late_days * 86400} AS mark FROM v WHERE event_time >= {first})",
+            f"event_time < {first} AND event_time < mark")
+
+
+def late_visits_sql(first_day: str, late_days: int) -> str:
+    ctes, late = _visits_in_time(first_day, late_days)
+    return f"""WITH {course_cte()}, {ctes}
+SELECT uid, phone, event_time, count(*) AS visits, strftime(epoch_ms(event_time * 1000), '%Y-%m-%d') AS dt
+FROM v, m WHERE {late} GROUP BY uid, phone, event_time"""
+
+
+def timely_followups_sql(first_day: str, late_days: int) -> str:
+    ctes, late = _visits_in_time(first_day, late_days)
+    return unpaid_followups_sql(before=f"{ctes},\n", visits=f"SELECT uid, phone, event_time FROM v, m WHERE NOT ({late})")
+
+
+def unpaid_followups_sql(window_days: int = 4, slide_days: int = 2, min_visits: int = 2, before: str = "", visits: str = ORDER_PAGE) -> str:
     w, s = window_days * 86400, slide_days * 86400
     k = ", ".join(f"({i})" for i in range(-(-w // s)))
     return f"""WITH {course_cte()}, {VIP_CTE},
-o AS (SELECT uid, phone, event_time FROM course WHERE event_key = 'enterOrderPage'),
+{before}o AS ({visits}),
 wins AS (SELECT o.uid, o.phone, (o.event_time // {s}) * {s} - kk.k * {s} AS ws
          FROM o, (VALUES {k}) kk(k)),
 c AS (SELECT uid, phone, ws, count(*) AS visits FROM wins

@@ -1,9 +1,9 @@
 """Whole jobs as a user runs them: task parameters in, result tables out.
 
 ``session_job`` runs B3, B4, B5, B6, B7 over one filtered session profile.
-The profile (one shuffle of the action log) is materialised once with
-``checkpoint()`` in the shared checkpoint folder and every report reads it,
-instead of folding the actions again per report. Results are appended with
+The profile (one shuffle of the action log) is written once in the shared
+checkpoint folder and every report reads it, instead of folding the actions
+again per report; the length bins (B3) are counted while it is written. Results are appended with
 the run id (K1).
 """
 
@@ -18,7 +18,7 @@ from visitlens.functions.columns import format_date, format_time
 from visitlens.functions.predicates import session_filter
 from visitlens.operators.joins import broadcast_bounded
 from visitlens.operators.sample import stratified_sample
-from visitlens.operators.session_fold import length_ratios
+from visitlens.operators.session_fold import observed_lengths, observed_ratios
 from visitlens.params import TaskParams
 from visitlens.plans import page, product
 from visitlens.plans.session import (DETAIL_COLUMNS, SAMPLE_COLUMNS, kept_category_counts,
@@ -32,13 +32,15 @@ def session_reports(spark: SparkSession, sf_dir: str, params: TaskParams, sample
                     seed: str = "visitlens", k: int = 10, n: int = 10) -> dict[str, DataFrame]:
     """B3-B7 from one materialised profile of the filtered sessions."""
     configure(spark)
-    checkpoint_dir(spark)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/visitlens-jobs/profile-{uuid.uuid4().hex}"
     acts = src.actions(spark, sf_dir, params.start_date, params.end_date)
     filtered = (profile_frame(acts, src.users(spark, sf_dir)).where(session_filter(params))
                 .select("session_id", "start_ts", "start_time", "visit_length", "step_length",
-                        "search_keywords", "click_category_ids")
-                .checkpoint(eager=True))
-    ratios = length_ratios(filtered)
+                        "search_keywords", "click_category_ids"))
+    observed, lengths = observed_lengths(filtered)
+    observed.write.parquet(path)
+    filtered = spark.read.schema(filtered.schema).parquet(path)
+    ratios = observed_ratios(spark, lengths)
     sample = stratified_sample(filtered.withColumn("_day", format_date("start_ts"))
                                .withColumn("_hour", F.hour("start_ts")),
                                "_day", "_hour", "session_id", sample_total, seed,

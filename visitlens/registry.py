@@ -36,6 +36,10 @@ VIP_AS_OF = "2024-01-30 12:00:00"
 WATERMARK = "60 days"
 LOOP_SLICES = ((None, "2024-01-10"), ("2024-01-11", "2024-01-20"), ("2024-01-21", None))
 
+# the last days come first, so that earlier ones are late in part
+LATE_SLICES = (LOOP_SLICES[2], LOOP_SLICES[0], LOOP_SLICES[1])
+LATE_DAYS = 12
+
 
 def _q(fn):
     """Wrap a plan so every call runs with the session settings it needs."""
@@ -103,6 +107,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "st_state_ad_stat": _q(lambda s, d: runs.run_state_stream(s, d, "stat", WATERMARK)),
         "st_state_new_vips": _q(lambda s, d: runs.run_state_stream(s, d, "vip", WATERMARK)),
         "st_course_rejects": _q(lambda s, d: runs.run_rejects_stream(s, d)),
+        # visits that come later than the watermark, and the follow-ups of the others
+        "st_late_visits": _q(lambda s, d: runs.run_visit_stream(s, d, f"{LATE_DAYS} days", LATE_SLICES, 1).late.read()),
+        "st_timely_followups": _q(lambda s, d: runs.run_visit_stream(s, d, f"{LATE_DAYS} days", LATE_SLICES, 1).members.read()),
         # the blacklist loop: three batches split by time, a threshold that users reach
         "st_ad_blacklist": _q(lambda s, d: runs.run_ad_stream(s, d, TEST_THRESHOLD, LOOP_SLICES).blacklist.read()),
         "st_ad_blacklist_counts": _q(lambda s, d: runs.run_ad_stream(s, d, TEST_THRESHOLD, LOOP_SLICES).user_clicks.read()),
@@ -178,6 +185,8 @@ def oracle_sql() -> dict[str, str]:
         "st_state_ad_stat": O.ad_stat_sql(),
         "st_state_new_vips": O.new_vips_sql(),
         "st_course_rejects": O.counted_course_rejects_sql(),
+        "st_late_visits": O.late_visits_sql(LATE_SLICES[0][0], LATE_DAYS),
+        "st_timely_followups": O.timely_followups_sql(LATE_SLICES[0][0], LATE_DAYS),
         "st_ad_blacklist": O.blacklist_loop_sql(LOOP_SLICES, TEST_THRESHOLD, "list"),
         "st_ad_blacklist_counts": O.blacklist_loop_sql(LOOP_SLICES, TEST_THRESHOLD, "counts"),
         "p6_ad_rejects": O.ad_rejects_sql(),

@@ -23,6 +23,7 @@ from visitlens.streaming.orders import (
     reject_table, start_rejects_stream, start_unpaid_stream, start_vip_state_stream, start_vip_stream, unpaid_table,
     vip_state_table, vip_table,
 )
+from visitlens.streaming.visits import VisitTables, start_visit_stream
 
 #: micro-batches of a run, and lines of a staged file, about
 BATCHES = 3
@@ -70,6 +71,19 @@ def run_unpaid_stream(spark: SparkSession, sf_dir: str, watermark: str) -> DataF
     return table.read()
 
 
+def run_visit_stream(spark: SparkSession, sf_dir: str, watermark: str, slices: tuple[tuple[str | None, str | None], ...],
+                     merge_every: int = MERGE_EVERY) -> VisitTables:
+    """The follow-ups with late visits kept; ``slices`` as in ``run_ad_stream``,
+    in any order of time."""
+    root = scratch(spark, "visits")
+    tables = VisitTables.at(spark, f"{root}/tables", merge_every, DAY_BUCKETS)
+    for i, (first, last) in enumerate(slices):
+        share = BATCHES * stage_lines(src.course_lines(spark, sf_dir, first, last), f"{root}/input/{i}")
+        start_visit_stream(read_text_stream(spark, f"{root}/input/*", share), lambda: src.vip_users(spark, sf_dir), tables,
+                           f"{root}/checkpoint", watermark=watermark, available_now=True).awaitTermination()
+    return tables
+
+
 def run_vip_stream(spark: SparkSession, sf_dir: str, merge_every: int = MERGE_EVERY) -> DataFrame:
     root = scratch(spark, "vip")
     share = stage_lines(src.course_lines(spark, sf_dir), f"{root}/input")
