@@ -109,7 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "st_course_rejects": _q(lambda s, d: runs.run_rejects_stream(s, d)),
         # visits that come later than the watermark, and the follow-ups of the others
         "st_late_visits": _q(lambda s, d: runs.run_visit_stream(s, d, f"{LATE_DAYS} days", LATE_SLICES, 1).late.read()),
-        "st_timely_followups": _q(lambda s, d: runs.run_visit_stream(s, d, f"{LATE_DAYS} days", LATE_SLICES, 1).members.read()),
+        "st_timely_followups": _q(lambda s, d: runs.run_visit_stream(s, d, f"{LATE_DAYS} days", LATE_SLICES).members.read()),
         # the blacklist loop: three batches split by time, a threshold that users reach
         "st_ad_blacklist": _q(lambda s, d: runs.run_ad_stream(s, d, TEST_THRESHOLD, LOOP_SLICES).blacklist.read()),
         "st_ad_blacklist_counts": _q(lambda s, d: runs.run_ad_stream(s, d, TEST_THRESHOLD, LOOP_SLICES).user_clicks.read()),

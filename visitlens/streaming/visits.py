@@ -11,6 +11,7 @@ the two add up to all visits.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,15 +73,16 @@ def process_visit_batch(tables: VisitTables, lines: DataFrame, vip: DataFrame, b
     totals only the partitions of its own windows and users are read."""
     if any(t.has(run, batch_id) for t in tables.added()):
         return
-    for table in tables.added():
-        table.merge_log(run, batch_id)
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        list(pool.map(lambda table: table.merge_log(run, batch_id), tables.added()))
     visits = (parse_course_lines(lines).where(F.col("event_key") == "enterOrderPage")
               .select("uid", "phone", "event_time", "ts").persist())
     try:
         before = tables.seen_before(run, batch_id, visits.agg(F.max("event_time")).first()[0])
         late = F.lit(False) if before is None else F.col("ts") < F.timestamp_seconds(F.lit(before)) - F.expr(f"INTERVAL {watermark}")
-        tables.late.append(visits.where(late).groupBy("uid", "phone", "event_time", format_date("ts").alias("dt"))
-                           .agg(F.count(F.lit(1)).alias("visits")), run, batch_id)
+        if before is not None:  # no empty folder per table
+            tables.late.append(visits.where(late).groupBy("uid", "phone", "event_time", format_date("ts").alias("dt"))
+                               .agg(F.count(F.lit(1)).alias("visits")), run, batch_id)
         delta = (visits.where(~late).groupBy(F.window("ts", window, slide).alias("w"), "uid", "phone")
                  .agg(F.count(F.lit(1)).alias("visits"))
                  .select(F.unix_seconds("w.start").alias("window_start"), "uid", "phone", "visits",
