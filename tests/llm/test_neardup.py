@@ -8,9 +8,9 @@ from hypothesis import strategies as st
 from visitlens.llm import neardup
 
 
-def shingles(text):
+def shingles(text, k=4):
     w = (text or "").encode().lower().split()
-    return frozenset(tuple(w[i:i + 4]) for i in range(len(w) - 3)) if len(w) >= 4 else frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
 
 
 def alike(a, b):
@@ -18,9 +18,9 @@ def alike(a, b):
     return bool(a) and bool(b) and 100 * both >= 80 * (len(a) + len(b) - both)
 
 
-def brute(rows):
+def brute(rows, k=4):
     """{doc_id: (size, component)} by comparing every pair."""
-    sets = [(i, shingles(t)) for i, t in rows]
+    sets = [(i, shingles(t, k)) for i, t in rows]
     root = {i: i for i, _ in sets}
 
     def find(x):
@@ -35,11 +35,11 @@ def brute(rows):
     return {i: (len(s), find(i)) for i, s in sets}
 
 
-def check(docs):
-    got = neardup.near_duplicates(docs).collect()
+def check(docs, k=4):
+    got = neardup.near_duplicates(docs, shingle=k).collect()
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     assert len(got) == len(rows)
-    want = brute([r for r in rows if r[0] is not None])
+    want = brute([r for r in rows if r[0] is not None], k)
     for r in got:
         if r.doc_id is not None:
             assert (r.n_shingles, r.component_id) == want[r.doc_id], r
@@ -83,6 +83,23 @@ def test_links_between_copies(spark, texts):
     check(spark.createDataFrame([(i, texts[k]) for i, k in enumerate(order)], "doc_id long, text string"))
 
 
+@pytest.mark.parametrize("k", [5, 9])
+def test_longer_shingles(spark, k):
+    words = "a b c d e f g h i j k l".split()
+    short = [" ".join(words[:n]) for n in range(len(words) + 1)]
+    texts = short + [t.upper() for t in short] + star(80, 12, seed=k)
+    check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), k)
+
+
+def test_one_changed_word_among_43(spark):
+    """40 shingles of four words, four of them changed: 36 of 44; of five words 34 of 44."""
+    base = [f"w{i}" for i in range(43)]
+    near = [*base[:20], "other", *base[21:]]
+    docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(near))], "doc_id long, text string")
+    assert [r.kept for r in neardup.near_duplicates(docs).orderBy("doc_id").collect()] == [True, False]
+    assert [r.kept for r in neardup.near_duplicates(docs, shingle=5).orderBy("doc_id").collect()] == [True, True]
+
+
 def test_short_texts(spark):
     texts = ["a b c", "A  b\nc", "a b", "a b c d", "a b c d e", "a b c d e f g h i j", "a b c d e f g h i j k", "b", "B", "", None, " \n"]
     check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))

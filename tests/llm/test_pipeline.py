@@ -20,7 +20,7 @@ def test_stages_by_brute_force(spark, small):
     # clean documents stay: all that the labels name and that have letters, but for 3 %
     assert known.count() >= 0.97 * docs.count()
     single = stage(steps["near_dedup"](spark, known, SF), "t")
-    want = near_brute([(r.doc_id, r.text) for r in known.collect()])
+    want = near_brute([(r.doc_id, r.text) for r in known.collect()], 5)
     assert single.columns == names
     assert sorted(r.doc_id for r in single.collect()) == sorted(i for i, (_, c) in want.items() if i == c)
     clean = stage(steps["secret_scan"](spark, single, SF), "t")

@@ -52,6 +52,8 @@ class _Words(dict):
 _words = _Words()
 _MULT = np.array([0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                   0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
+# more for shingles of five words and longer
+_MULT = np.concatenate((_MULT, mix64(np.arange(1, 25, dtype=np.uint64)) | _U(1)))
 
 
 def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> list[np.ndarray]:
@@ -121,26 +123,30 @@ def bands(sig: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def _describe(batches):
-    for b in batches:
-        n, key, keys = [], [], []
-        for s in shingle_sets(texts_as_bytes(b)):
-            n.append(len(s))
-            key.append(xxhash.xxh128_digest(s.tobytes()) if len(s) else None)
-            keys.append(bands(signature(s)) if len(s) else None)
-        lists = pa.ListArray.from_arrays(
-            pa.array(np.concatenate(([0], np.cumsum([0 if k is None else len(k) for k in keys]))), pa.int32()),
-            pa.array(np.concatenate([k for k in keys if k is not None] or [np.empty(0, np.int64)]), pa.int64()))
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(key, pa.binary()), lists],
-                                         names=["doc_id", "n_shingles", "set_key", "bands"])
+def _describe(shingle: int):
+    def run(batches):
+        for b in batches:
+            n, key, keys = [], [], []
+            for s in shingle_sets(texts_as_bytes(b), shingle):
+                n.append(len(s))
+                key.append(xxhash.xxh128_digest(s.tobytes()) if len(s) else None)
+                keys.append(bands(signature(s)) if len(s) else None)
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.concatenate(([0], np.cumsum([0 if k is None else len(k) for k in keys]))), pa.int32()),
+                pa.array(np.concatenate([k for k in keys if k is not None] or [np.empty(0, np.int64)]), pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(key, pa.binary()), lists],
+                                             names=["doc_id", "n_shingles", "set_key", "bands"])
+    return run
 
 
-def _sets(batches):
-    for b in batches:
-        sets = shingle_sets(texts_as_bytes(b))
-        yield pa.RecordBatch.from_arrays(
-            [b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-            names=["id", "n", "hashes"])
+def _sets(shingle: int):
+    def run(batches):
+        for b in batches:
+            sets = shingle_sets(texts_as_bytes(b), shingle)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                names=["id", "n", "hashes"])
+    return run
 
 
 def _confirm(percent: int):
@@ -225,26 +231,27 @@ def _contested_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFr
 
 # --- the operator ------------------------------------------------------------------
 
-def near_duplicates(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
     """One row per row of ``docs`` (doc_id long, text, any more columns):
-    doc_id, n_shingles, component_id, kept.
+    doc_id, n_shingles, component_id, kept. Sets hold runs of ``shingle`` words
+    (1 to 16).
 
     Texts without a word, null ones included, have 0 shingles and no links.
     Every row is compared: rows that share a doc_id each with their own text,
     rows without one too. ``component_id`` is the least doc_id of the component,
     null if its rows have none. ``kept``: doc_id = component_id; a row of a
     component without ids is kept. An empty table gives no rows."""
-    rows = _labelled(*_identified(docs.select("doc_id", "text")), percent)
+    rows = _labelled(*_identified(docs.select("doc_id", "text")), percent, shingle)
     return rows.select("doc_id", "n_shingles", "component_id",
                        F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
 
 
-def one_of_each(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` less all but one of every component, that of the
     least doc_id (rows without one last); rows without words all stay. Decided by
     row: rows that share a doc_id are told apart, and of equal rows one stays."""
     rows, own = _identified(docs)
-    found = _labelled(rows, own, percent).where("component is not null")
+    found = _labelled(rows, own, percent, shingle).where("component is not null")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
     kept = found.groupBy("component").agg(first.alias("first"), F.count(F.lit(1)).alias("held")).where("held > 1")
     gone = (found.join(kept.select("component", F.col("first._row").alias("_first")), "component")
@@ -262,16 +269,16 @@ def _identified(docs: DataFrame) -> tuple[DataFrame, bool]:
     return stage(docs.withColumn("_row", F.monotonically_increasing_id()), "identified"), False
 
 
-def _labelled(rows: DataFrame, own: bool, percent: int) -> DataFrame:
+def _labelled(rows: DataFrame, own: bool, percent: int, shingle: int) -> DataFrame:
     """(_row, doc_id, n_shingles, component, component_id): the component by the
     least row number in it (null without words), and by the least doc_id."""
     arrow_rows(rows.sparkSession)
     texts = rows.select(F.col("_row").alias("doc_id"), "text")
-    described = stage(texts.mapInArrow(_describe, "doc_id long, n_shingles long, set_key binary, bands array<long>"), "signatures")
+    described = stage(texts.mapInArrow(_describe(shingle), "doc_id long, n_shingles long, set_key binary, bands array<long>"), "signatures")
     # a class of equal sets is known by its least row
     classes = stage(described.where("set_key is not null").groupBy("set_key")
                     .agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands")), "classes")
-    labels = _linked(texts, classes, percent)
+    labels = _linked(texts, classes, percent, shingle)
     named = classes.select("set_key", "id").join(labels, "id", "left").select(
         "set_key", F.coalesce("component", "id").alias("component"))
     out = described.join(named, "set_key", "left").select(F.col("doc_id").alias("_row"), "n_shingles", "component")
@@ -285,7 +292,7 @@ def _labelled(rows: DataFrame, own: bool, percent: int) -> DataFrame:
                     F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")))
 
 
-def _linked(texts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _linked(texts: DataFrame, classes: DataFrame, percent: int, shingle: int) -> DataFrame:
     member = classes.select("id", F.explode("bands").alias("bucket"))
     crowd = member.groupBy("bucket").agg(F.count("*").alias("crowd")).where("crowd > 1")
     member = stage(member.join(crowd, "bucket"), "buckets")
@@ -298,7 +305,7 @@ def _linked(texts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     needed = member.select("id").distinct()
     # equal sets have equal texts up to case and white space: any row of the class's id with that set will do
     chosen = texts.join(needed, texts["doc_id"] == needed["id"]).select("id", "text")
-    sets = stage(chosen.mapInArrow(_sets, "id long, n long, hashes binary").where("n > 0"), "sets")
+    sets = stage(chosen.mapInArrow(_sets(shingle), "id long, n long, hashes binary").where("n > 0"), "sets")
     edges = stage(_verified(star, sets, percent), "links")
     labels = components(edges)
     member = member.join(labels, "id", "left").select("id", "bucket", "crowd", F.coalesce("component", "id").alias("component"))
