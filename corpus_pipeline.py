@@ -15,6 +15,8 @@ from visitlens.llm.common import arrow_rows, stage
 from visitlens.llm.queries import tokenizer_path
 from visitlens.session import configure
 
+#: words of a shingle by which the near-duplicate stage compares texts
+SHINGLE = 5
 #: SQL cannot express the character models and the signatures
 ORACLE_SQL = None
 
@@ -28,10 +30,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of every group of near-duplicates, that of the least doc_id;
-    decided by row, so a text that shares its id with a copy stays, and of equal
-    rows one stays. Rows whose text is null, empty or blank all stay."""
-    return neardup.one_of_each(docs)
+    """One row of every group of near-duplicates, that of the least doc_id. Texts
+    are alike that share 80 % of their runs of ``SHINGLE`` words. Decided
+    by row, so a text that shares its id with a copy stays, and of equal rows one
+    stays. Rows whose text is null, empty or blank all stay."""
+    return neardup.one_of_each(docs, shingle=SHINGLE)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
