@@ -59,15 +59,32 @@ def all_of(preds) -> Column:
     return reduce(lambda a, b: a & b, preds)
 
 
-def session_filter(params: TaskParams) -> Column:
-    """P4 over a session profile (age, professional, city, sex, keywords,
-    categories). Keywords and categories test the array columns
-    ``search_keyword_list`` / ``click_category_list`` (Q3 fixed)."""
+def user_filter(params: TaskParams) -> Column:
+    """P4 over the user's attributes (age, professional, city, sex)."""
     return all_of([
         in_range("age", params.start_age, params.end_age),
         one_of("professional", params.list_of("professionals")),
         one_of("city", params.list_of("cities")),
         equals("sex", params.sex),
+    ])
+
+
+def action_tests(params: TaskParams) -> dict[str, Column]:
+    """P2 as predicates over single actions, by name: a session passes one when
+    any of its actions does. Equals ``overlaps`` over the session's distinct
+    lists, without the lists."""
+    category = one_of("click_category_id", [int(v) for v in params.list_of("category_ids")])
+    tests = {"has_keyword": one_of("search_keyword", params.list_of("keywords")),
+             "has_category": None if category is None else category & (F.col("click_category_id") != -1)}
+    return {name: test for name, test in tests.items() if test is not None}
+
+
+def session_filter(params: TaskParams) -> Column:
+    """P4 over a session profile (age, professional, city, sex, keywords,
+    categories). Keywords and categories test the array columns
+    ``search_keyword_list`` / ``click_category_list`` (Q3 fixed)."""
+    return all_of([
+        user_filter(params),
         overlaps("search_keyword_list", params.list_of("keywords")),
         overlaps("click_category_list", [int(v) for v in params.list_of("category_ids")],
                  "bigint"),

@@ -17,14 +17,17 @@ STEP_BINS = [("1_3", 1, 3), ("4_6", 4, 6), ("7_9", 7, 9), ("10_30", 10, 30),
              ("30_60", 31, 60), ("60", 61, None)]
 
 
-def fold_sessions(actions: DataFrame) -> DataFrame:
+def fold_sessions(actions: DataFrame, **tests: F.Column) -> DataFrame:
     """One row per session: user, first/last action time, visit length in
     whole seconds, step count, distinct keywords and click categories
-    (sorted arrays; exact distinct, Q1/Q2 fixed).
+    (sorted arrays; exact distinct, Q1/Q2 fixed), and for each of ``tests``, a
+    predicate over actions, whether any action passes it.
 
     A single hash aggregation: partial aggregates are built before the
     shuffle, so a session with very many actions ships one partial row per
-    map task, and the distinct sets are bounded by the vocabularies.
+    map task. A report that asks for the two lists gathers a session's distinct
+    values in one row; lists that no report uses are pruned, and
+    ``session_values`` gives them in parts of bounded size.
     """
     cat = F.when(F.col("click_category_id") != -1, F.col("click_category_id"))
     return (actions.groupBy("session_id")
@@ -33,7 +36,8 @@ def fold_sessions(actions: DataFrame) -> DataFrame:
                  F.max("action_time").alias("end_ts"),
                  F.count(F.lit(1)).alias("step_length"),
                  F.array_sort(F.collect_set("search_keyword")).alias("search_keyword_list"),
-                 F.array_sort(F.collect_set(cat)).alias("click_category_list"))
+                 F.array_sort(F.collect_set(cat)).alias("click_category_list"),
+                 *[F.coalesce(F.bool_or(test), F.lit(False)).alias(name) for name, test in tests.items()])
             .withColumn("visit_length", seconds_between("start_ts", "end_ts")))
 
 

@@ -238,6 +238,20 @@ def filtered_sessions_sql(params) -> str:
     return f"WITH {profile_ctes(params)}\nSELECT {PROFILE_SELECT} FROM filtered"
 
 
+def session_lists_sql(params, part_values: int = 100000) -> str:
+    digits = " ".join(f"WHEN n <= {part_values * 16 ** d} THEN {d}" for d in range(7))
+    return f"""WITH {actions_cte(params.start_date, params.end_date)},
+held AS (
+  SELECT DISTINCT session_id, 'keyword' AS kind, search_keyword AS value FROM actions WHERE search_keyword IS NOT NULL
+  UNION ALL
+  SELECT DISTINCT session_id, 'category', CAST(click_category_id AS VARCHAR) FROM actions WHERE click_category_id <> -1
+),
+sized AS (SELECT *, count(*) OVER (PARTITION BY session_id, kind) AS n FROM held),
+parted AS (SELECT *, left(md5(value), CASE {digits} ELSE 7 END) AS part FROM sized)
+SELECT session_id, kind, part, count(*) AS n_values, string_agg(value, ',' ORDER BY value) AS values_text
+FROM parted GROUP BY session_id, kind, part"""
+
+
 def ratio_sql(a: str, n: str) -> str:
     """HALF_UP(a / n, 2) for non-negative integers, NULL when n = 0."""
     return f"CASE WHEN {n} = 0 THEN NULL ELSE ((200 * {a} + {n}) // (2 * {n})) / 100.0 END"

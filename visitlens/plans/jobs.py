@@ -15,14 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.functions.columns import format_date, format_time
-from visitlens.functions.predicates import session_filter
 from visitlens.operators.joins import broadcast_bounded
 from visitlens.operators.sample import stratified_sample
 from visitlens.operators.session_fold import observed_lengths, observed_ratios
 from visitlens.params import TaskParams
 from visitlens.plans import page, product
-from visitlens.plans.session import (DETAIL_COLUMNS, SAMPLE_COLUMNS, kept_category_counts,
-                                     profile_frame, rank_categories, rank_sessions)
+from visitlens.plans.session import (DETAIL_COLUMNS, SAMPLE_COLUMNS, filter_sessions,
+                                     kept_category_counts, rank_categories, rank_sessions)
 from visitlens.session import checkpoint_dir, configure
 from visitlens.sinks.tables import append_result
 from visitlens.sources import fixtures as src
@@ -34,7 +33,7 @@ def session_reports(spark: SparkSession, sf_dir: str, params: TaskParams, sample
     configure(spark)
     path = f"{checkpoint_dir(spark).rstrip('/')}/visitlens-jobs/profile-{uuid.uuid4().hex}"
     acts = src.actions(spark, sf_dir, params.start_date, params.end_date)
-    filtered = (profile_frame(acts, src.users(spark, sf_dir)).where(session_filter(params))
+    filtered = (filter_sessions(acts, src.users(spark, sf_dir), params)
                 .select("session_id", "start_ts", "start_time", "visit_length", "step_length",
                         "search_keywords", "click_category_ids"))
     observed, lengths = observed_lengths(filtered)

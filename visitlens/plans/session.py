@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.functions.columns import format_date, format_time, sorted_distinct_text, split_ids
-from visitlens.functions.predicates import session_filter
+from visitlens.functions.predicates import action_tests, all_of, user_filter
 from visitlens.operators.joins import broadcast_bounded
 from visitlens.operators.sample import stratified_sample
 from visitlens.operators.session_fold import fold_sessions, length_ratios
+from visitlens.operators.session_values import PART_VALUES, session_values
 from visitlens.operators.topn import top_k, top_n_per_group
 from visitlens.params import TaskParams
 from visitlens.sources import fixtures as src
@@ -25,8 +26,8 @@ TOP_CATEGORY_COLUMNS = ["categoryid", "click_count", "order_count", "pay_count"]
 TOP_SESSION_COLUMNS = ["categoryid", "session_id", "click_count"]
 
 
-def profile_frame(actions: DataFrame, users: DataFrame) -> DataFrame:
-    """Session fold joined with the user's attributes (J1, inner: sessions
+def with_users(sessions: DataFrame, users: DataFrame) -> DataFrame:
+    """A session fold joined with the user's attributes (J1, inner: sessions
     without a user are dropped, Q23). Keeps the internal list and time
     columns for filters and later reports.
 
@@ -34,7 +35,6 @@ def profile_frame(actions: DataFrame, users: DataFrame) -> DataFrame:
     broadcast when measured small, otherwise sort-merge with skew splitting
     of hot user keys.
     """
-    sessions = fold_sessions(actions)
     u = users.select("user_id", "age", "professional", "sex", "city")
     return (sessions.join(u, "user_id", "inner")
             .withColumn("start_time", format_time("start_ts"))
@@ -42,18 +42,38 @@ def profile_frame(actions: DataFrame, users: DataFrame) -> DataFrame:
             .withColumn("click_category_ids", sorted_distinct_text(F.col("click_category_list"))))
 
 
-def _profile(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:
-    return profile_frame(src.actions(spark, sf_dir, params.start_date, params.end_date),
-                         src.users(spark, sf_dir))
+def _actions(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:
+    return src.actions(spark, sf_dir, params.start_date, params.end_date)
 
 
 def session_profile(spark: SparkSession, sf_dir: str, params: TaskParams = TaskParams()) -> DataFrame:
     """B1: one row per session in the date range."""
-    return _profile(spark, sf_dir, params).select(*PROFILE_COLUMNS)
+    return with_users(fold_sessions(_actions(spark, sf_dir, params)), src.users(spark, sf_dir)).select(*PROFILE_COLUMNS)
+
+
+def session_lists(spark: SparkSession, sf_dir: str, params: TaskParams = TaskParams(), part_values: int = PART_VALUES) -> DataFrame:
+    """A1: the distinct keywords and categories of every session in the date
+    range, in parts of bounded size, as text."""
+    return (session_values(_actions(spark, sf_dir, params), part_values)
+            .select("session_id", "kind", "part", "n_values", F.array_join("value_list", ",").alias("values_text")))
+
+
+def passing(sessions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
+    """The sessions, folded with ``action_tests(params)``, that pass every set
+    parameter (P4)."""
+    tests = action_tests(params)
+    return with_users(sessions, users).where(all_of([user_filter(params), *map(F.col, tests)])).drop(*tests)
+
+
+def filter_sessions(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
+    """The sessions of ``actions`` that pass every set parameter. Keywords and
+    categories are tested on the actions within the fold, so the lists are
+    gathered only where a report shows them."""
+    return passing(fold_sessions(actions, **action_tests(params)), users, params)
 
 
 def filtered_frame(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:
-    return _profile(spark, sf_dir, params).where(session_filter(params))
+    return filter_sessions(_actions(spark, sf_dir, params), src.users(spark, sf_dir), params)
 
 
 def filtered_sessions(spark: SparkSession, sf_dir: str, params: TaskParams = TaskParams()) -> DataFrame:
@@ -113,8 +133,7 @@ def kept_category_counts(actions: DataFrame, sessions: DataFrame) -> DataFrame:
 
 
 def _counts(spark: SparkSession, sf_dir: str, params: TaskParams) -> DataFrame:
-    return kept_category_counts(src.actions(spark, sf_dir, params.start_date, params.end_date),
-                                filtered_frame(spark, sf_dir, params))
+    return kept_category_counts(_actions(spark, sf_dir, params), filtered_frame(spark, sf_dir, params))
 
 
 def rank_categories(counts: DataFrame, k: int = 10) -> DataFrame:

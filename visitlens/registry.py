@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from visitlens import oracle as O
 from visitlens.params import TaskParams
-from visitlens.plans import ads, checks, course, page, product, session
+from visitlens.plans import ads, checks, course, keyed, page, product, session
 from visitlens.session import configure
 from visitlens.streaming import runs
 from visitlens.sources import fixtures as src
@@ -53,6 +53,12 @@ def _q(fn):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "b1_session_profile": _q(lambda s, d: session.session_profile(s, d, P)),
+        # the distinct lists in parts of bounded size; parted from two values on
+        "a1_session_lists": _q(lambda s, d: session.session_lists(s, d, P)),
+        "a1_session_lists_parted": _q(lambda s, d: session.session_lists(s, d, P, 1)),
+        # over actions stored by session
+        "b1_session_profile_stored": _q(lambda s, d: keyed.session_profile(keyed.store_actions(s, d), src.users(s, d), P)),
+        "b6_top10_categories_stored": _q(lambda s, d: keyed.top_categories(keyed.store_actions(s, d), src.users(s, d), P)),
         "b2_filtered_sessions": _q(lambda s, d: session.filtered_sessions(s, d, P)),
         "b2_filtered_sessions_all_params": _q(lambda s, d: session.filtered_sessions(s, d, P_ALL)),
         "b3_length_ratios": _q(lambda s, d: session.length_report(s, d, P)),
@@ -137,6 +143,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "b1_session_profile": O.session_profile_sql(P),
+        "a1_session_lists": O.session_lists_sql(P),
+        "a1_session_lists_parted": O.session_lists_sql(P, 1),
+        "b1_session_profile_stored": O.session_profile_sql(P),
+        "b6_top10_categories_stored": O.top_categories_sql(P),
         "b2_filtered_sessions": O.filtered_sessions_sql(P),
         "b2_filtered_sessions_all_params": O.filtered_sessions_sql(P_ALL),
         "b3_length_ratios": O.length_report_sql(P),
