@@ -1,11 +1,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from visitlens.llm import neardup
+from visitlens.llm.common import row_slices
 
 
 def shingles(text, k=4):
@@ -116,6 +118,19 @@ def test_edges(edge_docs, no_docs, spark):
     assert neardup.near_duplicates(no_docs).count() == 0
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(0, 40)), max_size=30), st.integers(1, 60))
+def test_row_slices_keep_rows_and_bound(sizes, limit):
+    texts = [None if n is None else "x" * n for n in sizes]
+    b = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["id", "text"])
+    parts = list(row_slices([b, b], "text", limit=limit))
+    assert [r for p in parts for r in p.to_pylist()] == 2 * b.to_pylist()
+    for p in parts:
+        # a slice holds no more than the limit but for its last row that reaches over it
+        held = [len(t or "") for t in p.column("text").to_pylist()]
+        assert p.num_rows == 1 or sum(held) - held[0] < limit
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=300))
 def test_signature_holds_members_of_the_set(hashes):

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,17 @@ def arrow_rows(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def row_slices(batches: Iterable[pa.RecordBatch], *columns: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in order, in batches whose texts or bytes in
+    ``columns`` are about ``limit`` bytes at most, or one row."""
+    for b in batches:
+        size = sum(pc.fill_null(pc.binary_length(b.column(b.schema.get_field_index(c))), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                   for c in columns)
+        ends = np.flatnonzero(np.diff(np.cumsum(size) // limit, append=-1)) + 1
+        for start, end in zip([0, *ends[:-1]], ends):
+            yield b.slice(start, end - start)
+
+
 def texts_as_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """UTF-8 bytes of a text column; null reads as empty."""
     got = batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import arrow_rows, chunks, mix64, stage, texts_as_bytes
+from visitlens.llm.common import arrow_rows, chunks, mix64, row_slices, stage, texts_as_bytes
 
 SHINGLE = 4
 THRESHOLD = 80  # percent of the union
@@ -125,7 +125,7 @@ def bands(sig: np.ndarray) -> np.ndarray:
 
 def _describe(shingle: int):
     def run(batches):
-        for b in batches:
+        for b in row_slices(batches, "text"):
             n, key, keys = [], [], []
             for s in shingle_sets(texts_as_bytes(b), shingle):
                 n.append(len(s))
@@ -141,7 +141,7 @@ def _describe(shingle: int):
 
 def _sets(shingle: int):
     def run(batches):
-        for b in batches:
+        for b in row_slices(batches, "text"):
             sets = shingle_sets(texts_as_bytes(b), shingle)
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
@@ -151,7 +151,7 @@ def _sets(shingle: int):
 
 def _confirm(percent: int):
     def run(batches):
-        for b in batches:
+        for b in row_slices(batches, "h1", "h2"):
             keep = []
             for x, y in zip(b.column("h1").to_pylist(), b.column("h2").to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
